@@ -18,7 +18,8 @@ FEW_VALUES = 5
 
 def inject_drift(df: DataFrame, cycle: str = "month", period: int = 12, bk: str = "transaction_bk") -> DataFrame:
     """Shift the hour by nine, raise amounts by 1.8 and move the cyclic column by four to six; the rest stays."""
-    step = F.lit(4) + F.pmod(F.crc32(F.col(bk).cast("binary")), F.lit(3))
+    draw = F.conv(F.substring(F.md5(F.col(bk)), 1, 4), 16, 10).cast("int")
+    step = F.lit(4) + draw % 3
     return df.withColumns(
         {
             "hour": ((F.col("hour") + 9) % 24).cast("int"),

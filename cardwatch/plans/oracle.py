@@ -110,6 +110,50 @@ SELECT split, count(*) AS n_rows, count(*) FILTER (WHERE is_fraud) AS n_fraud,
 FROM split_rows GROUP BY split"""
 
 
+MESSAGES = """
+, lines0 AS (SELECT *, cast(substr(transaction_bk, 4, 9) AS bigint) - 1 AS event_id,
+    (cast(substr(transaction_bk, 4, 9) AS bigint) - 1) % 40 AS m FROM staging),
+lines1 AS (SELECT event_id, m, event_ts, concat('{', concat_ws(',',
+    concat('"transaction_bk":"', transaction_bk, '"'),
+    CASE WHEN m = 23 THEN '"client_id":null' ELSE concat('"client_id":"', client_id, '"') END,
+    concat('"horodatage":"', CASE WHEN m = 31 THEN 'no time' ELSE strftime(event_ts, '%Y-%m-%dT%H:%M:%S') END, '"'),
+    CASE WHEN m = 19 THEN concat('"montant":"', cast(amount AS varchar), '"') WHEN m = 29 THEN '"montant":true'
+         ELSE concat('"montant":', cast(amount AS varchar)) END,
+    concat('"canal":"', channel, '"'),
+    CASE WHEN m <> 17 THEN concat('"mcc_code":"', mcc_code, '"') END,
+    concat('"pays_transaction":"', tx_country, '"'),
+    concat('"distance_domicile_km":', cast(home_distance_km AS varchar)),
+    concat('"authentification":"', auth_method, '"'),
+    CASE WHEN m = 37 THEN '"note":"kept out"' END), '}') AS full_line FROM lines0),
+lines AS (SELECT l.event_id, l.event_ts, CASE m WHEN 7 THEN substr(full_line, 1, 30) WHEN 11 THEN '42' WHEN 13 THEN '[1,2]' ELSE full_line END AS line
+    FROM lines1 l JOIN (SELECT unnest([1, 2]) AS c) x ON c = 1 OR m = 3),
+parsed AS (SELECT *, CASE WHEN json_valid(line) THEN line END AS j FROM lines),
+judged AS (SELECT event_id, j, coalesce(
+    CASE WHEN j IS NULL THEN 'json_invalide' END,
+""" + ",\n".join(
+    f"""    CASE WHEN json_type(j, '$.{name}') IS NULL THEN 'champ_manquant: {name}'
+         WHEN json_type(j, '$.{name}') NOT IN ({kinds}) THEN 'type_invalide: {name}' END"""
+    for name, kinds in [
+        (n, "'DOUBLE', 'BIGINT', 'UBIGINT'" if n in ("montant", "distance_domicile_km") else "'VARCHAR'")
+        for n in (
+            "transaction_bk", "client_id", "horodatage", "montant", "canal", "mcc_code", "pays_transaction",
+            "distance_domicile_km", "authentification",
+        )
+    ]
+) + """,
+    CASE WHEN try_cast(json_extract_string(j, '$.horodatage') AS timestamp) IS NULL THEN 'valeur_invalide: horodatage' END) AS reason
+    FROM parsed),
+accepted AS (SELECT DISTINCT json_extract_string(j, '$.transaction_bk') AS transaction_bk, json_extract_string(j, '$.client_id') AS client_id,
+    cast(json_extract_string(j, '$.horodatage') AS timestamp) AS event_ts, cast(json_extract_string(j, '$.montant') AS decimal(12,2)) AS amount,
+    json_extract_string(j, '$.canal') AS channel, json_extract_string(j, '$.mcc_code') AS mcc_code FROM judged WHERE reason IS NULL),
+runs AS (SELECT *, CASE WHEN epoch_us(event_ts) - lag(epoch_us(event_ts)) OVER w >= 3600000000 THEN 1 ELSE 0 END AS opens
+    FROM accepted WINDOW w AS (PARTITION BY client_id ORDER BY event_ts, transaction_bk)),
+sess AS (SELECT *, sum(opens) OVER (PARTITION BY client_id ORDER BY event_ts, transaction_bk) AS sid FROM runs),
+counters AS (SELECT client_id, max(event_ts) AS last_ts, count(*) AS nb_tx_1h, cast(sum(amount) AS double) AS amount_1h
+    FROM (SELECT *, max(sid) OVER (PARTITION BY client_id) AS top FROM sess) z WHERE sid = top GROUP BY client_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     sql: dict[str, str] = {}
 
@@ -287,4 +331,48 @@ SELECT threshold, round(total, 2) AS fraud_amount_total, round(avoided, 2) AS fr
        round((avoided - cast(fa * 8.0 AS double)) * cast(4.8 AS double), 2) AS net_benefit_per_year FROM k"""
     sql["top_fraud"] = BASE + """
 SELECT transaction_bk, score FROM scored WHERE is_fraud AND score >= 0.5 ORDER BY score DESC, transaction_bk LIMIT 1"""
+
+    # Streaming
+    sql["validate_events"] = BASE + MESSAGES + """
+SELECT coalesce(reason, 'valid') AS reason, count(*) AS n,
+       cast(sum(CASE WHEN json_type(j, '$.montant') = 'DOUBLE' THEN cast(json_extract_string(j, '$.montant') AS decimal(12,2))
+                     WHEN reason = 'type_invalide: montant' AND json_type(j, '$.montant') = 'VARCHAR'
+                     THEN cast(json_extract_string(j, '$.montant') AS decimal(12,2))
+                     WHEN json_type(j, '$.montant') = 'BOOLEAN' THEN 1.00 END) AS double) AS amount
+FROM judged GROUP BY 1"""
+    sql["stream_ingest"] = BASE + MESSAGES + """
+SELECT s.transaction_bk, cast(c.client_key AS bigint) AS client_key, cast(coalesce(t.time_key, 0) AS bigint) AS time_key,
+       cast(coalesce(a.channel_key, 0) AS bigint) AS channel_key, strftime(s.event_ts, '%Y-%m-%d %H:%M:%S') AS event_time,
+       cast(s.amount AS double) AS amount, 'open' AS label, 'stream' AS ingestion_mode
+FROM accepted s JOIN dim_client c ON c.client_id = s.client_id
+LEFT JOIN known_time t ON t.hour_ts = date_trunc('hour', s.event_ts)
+LEFT JOIN known_channel a ON a.channel = s.channel AND a.mcc_code = s.mcc_code"""
+    sql["stream_dead_letters"] = BASE + MESSAGES + """
+SELECT reason, count(*) AS n FROM judged WHERE reason IS NOT NULL GROUP BY reason"""
+    sql["stream_totals"] = BASE + MESSAGES + """
+SELECT (SELECT count(*) FROM accepted) AS ingested, (SELECT count(*) FROM judged WHERE reason IS NOT NULL) AS rejected,
+       (SELECT count(*) FROM judged WHERE reason IS NULL) - (SELECT count(*) FROM accepted) AS duplicates"""
+    sql["online_counters"] = BASE + MESSAGES + """
+SELECT client_id, strftime(last_ts, '%Y-%m-%d %H:%M:%S') AS last_ts, nb_tx_1h, amount_1h FROM counters"""
+    sql["enrich_online"] = BASE + MESSAGES + """
+SELECT l.transaction_bk, coalesce(c.nb_tx_1h, -1) AS nb_tx_1h, coalesce(c.amount_1h, -1.0) AS amount_1h
+FROM labelled l LEFT JOIN counters c ON c.client_id = l.client_id AND c.nb_tx_1h > 1"""
+    sql["run_log_state"] = BASE + """
+, d AS (SELECT cast(event_ts AS date) AS day, min(event_ts) AS s, max(event_ts) AS e, count(*) AS n FROM staging GROUP BY 1),
+x AS (SELECT *, day = max(day) OVER () AS newest FROM d)
+SELECT strftime(day, '%Y-%m-%d') AS run_id, CASE WHEN newest THEN 'RUNNING' WHEN n % 7 = 0 THEN 'ERROR' ELSE 'OK' END AS status,
+       CASE WHEN newest THEN -1 ELSE n END AS n_rows,
+       CASE WHEN newest THEN -1 ELSE (epoch_us(e) - epoch_us(s)) // 1000 END AS duration_ms,
+       CASE WHEN NOT newest AND n % 7 = 0 THEN 'row count is a multiple of seven' ELSE '' END AS message,
+       strftime(s, '%Y-%m-%d %H:%M:%S') AS started_at,
+       CASE WHEN newest THEN 'open' ELSE strftime(e, '%Y-%m-%d %H:%M:%S') END AS ended_at FROM x"""
+    sql["stream_dedup"] = BASE + """
+SELECT client_id, count(*) AS n, cast(sum(amount) AS double) AS amount FROM staging GROUP BY client_id"""
+    sql["stream_sessions"] = BASE + """
+, g AS (SELECT client_id, transaction_bk, event_ts, amount, CASE WHEN epoch_us(event_ts) - lag(epoch_us(event_ts)) OVER w > 3600000000 THEN 1 ELSE 0 END AS opens
+  FROM staging WINDOW w AS (PARTITION BY client_id ORDER BY event_ts, transaction_bk)),
+s AS (SELECT *, sum(opens) OVER (PARTITION BY client_id ORDER BY event_ts, transaction_bk) AS sid FROM g),
+c AS (SELECT client_id, sid, min(event_ts) AS s, max(event_ts) AS e, count(*) AS n, sum(amount) AS amount FROM s GROUP BY client_id, sid)
+SELECT client_id, strftime(s, '%Y-%m-%d %H:%M:%S') AS start_ts, n, cast(amount AS double) AS amount FROM c
+WHERE e + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 24 HOUR"""
     return sql

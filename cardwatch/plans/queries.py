@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardwatch import schema
-from cardwatch.operators import dimensions, evaluate, load, marts, profile, quality, windows
+from cardwatch.operators import dimensions, evaluate, load, marts, profile, quality, score, windows
 from cardwatch.plans import inputs
+from cardwatch.session import run_dir
+from cardwatch.sources import logs
+from cardwatch.streaming import ingest, validate
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -238,7 +241,118 @@ def top_fraud(spark: SparkSession, src: str) -> DataFrame:
     return evaluate.top_fraud(inputs.scored(spark, src)).select("transaction_bk", "score")
 
 
+def validate_events(spark: SparkSession, src: str) -> DataFrame:
+    judged = validate.judge_events(inputs.messages(spark, src))
+    return judged.groupBy(F.coalesce("reason", F.lit("valid")).alias("reason")).agg(
+        F.count("*").alias("n"), F.sum("amount").cast("double").alias("amount")
+    )
+
+
+def stream_ingest(spark: SparkSession, src: str) -> DataFrame:
+    """Facts after the streaming job has seen all messages, duplicates and broken ones included."""
+    facts = inputs.ingested(spark, src).facts(spark)
+    return facts.select(
+        "transaction_bk",
+        *[F.col(c).cast("bigint").alias(c) for c in ("client_key", "time_key", "channel_key")],
+        _text("event_ts").alias("event_time"),
+        F.col("amount").cast("double").alias("amount"),
+        F.coalesce(F.col("is_fraud").cast("string"), F.lit("open")).alias("label"),
+        F.col("ingestion_mode").cast("string").alias("ingestion_mode"),
+    )
+
+
+def stream_dead_letters(spark: SparkSession, src: str) -> DataFrame:
+    dead = inputs.ingested(spark, src).dead_letters(spark)
+    reason = F.get_json_object("envelope", "$.erreur").alias("reason")
+    return dead.groupBy(reason).agg(F.count("*").alias("n"))
+
+
+def stream_totals(spark: SparkSession, src: str) -> DataFrame:
+    return ingest.totals(inputs.ingested(spark, src).run_log(spark))
+
+
+def run_log_state(spark: SparkSession, src: str) -> DataFrame:
+    """State of every daily load: opened at its first event, closed at its last one unless it is the newest."""
+    rows = inputs.staging(spark, src)
+    days = rows.groupBy(F.to_date("event_ts").alias("day")).agg(
+        F.min("event_ts").alias("s"), F.max("event_ts").alias("e"), F.count("*").alias("n")
+    )
+    last = days.agg(F.max("day")).scalar()
+    opened = days.select(
+        F.date_format("day", "yyyy-MM-dd").alias("run_id"),
+        F.lit("daily").alias("source"),
+        F.lit("batch").alias("mode"),
+        F.lit("RUNNING").alias("status"),
+        F.lit(None).cast("bigint").alias("n_rows"),
+        F.lit(None).cast("bigint").alias("duration_ms"),
+        F.lit(None).cast("string").alias("message"),
+        F.col("s").alias("at"),
+    )
+    closed = days.where(F.col("day") < last).select(
+        F.date_format("day", "yyyy-MM-dd").alias("run_id"),
+        F.lit("daily").alias("source"),
+        F.lit("batch").alias("mode"),
+        F.when(F.col("n") % 7 == 0, "ERROR").otherwise("OK").alias("status"),
+        F.col("n").alias("n_rows"),
+        F.floor((F.unix_micros("e") - F.unix_micros("s")) / F.lit(1000)).alias("duration_ms"),
+        F.when(F.col("n") % 7 == 0, "row count is a multiple of seven").alias("message"),
+        F.col("e").alias("at"),
+    )
+    state = logs.run_log_state(opened.unionByName(closed))
+    return state.select(
+        "run_id",
+        "status",
+        F.coalesce("n_rows", F.lit(-1)).alias("n_rows"),
+        F.coalesce("duration_ms", F.lit(-1)).alias("duration_ms"),
+        F.coalesce("message", F.lit("")).alias("message"),
+        _text("started_at").alias("started_at"),
+        F.coalesce(_text("ended_at"), F.lit("open")).alias("ended_at"),
+    )
+
+
+def online_counters(spark: SparkSession, src: str) -> DataFrame:
+    """Client counters as the streaming job left them."""
+    return inputs.ingested(spark, src).counters(spark).select(
+        "client_id", _text("last_ts").alias("last_ts"), "nb_tx_1h", "amount_1h"
+    )
+
+
+def enrich_online(spark: SparkSession, src: str) -> DataFrame:
+    """Facts with the online counters of their client; clients without counters get none."""
+    counters = inputs.ingested(spark, src).counters(spark).where(F.col("nb_tx_1h") > 1)
+    rows = inputs.labelled(spark, src).select("transaction_bk", "client_id")
+    found = score.enrich_online(rows, counters)
+    return found.select(
+        "transaction_bk",
+        F.coalesce("online.nb_tx_1h", F.lit(-1)).alias("nb_tx_1h"),
+        F.coalesce("online.amount_1h", F.lit(-1.0)).alias("amount_1h"),
+    )
+
+
+def stream_dedup(spark: SparkSession, src: str) -> DataFrame:
+    """The event stream twice over: the state lets each business key through once."""
+    folder = run_dir(spark, "dedup")
+    events = inputs.event_stream(spark, src)
+    twice = events.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
+    ingest.drain(ingest.drop_seen(twice), f"{folder}/out", f"{folder}/checkpoint")
+    kept = spark.read.parquet(f"{folder}/out")
+    return kept.groupBy("client_id").agg(F.count("*").alias("n"), F.sum("amount").cast("double").alias("amount"))
+
+
+def stream_sessions(spark: SparkSession, src: str) -> DataFrame:
+    """Activity sessions that the watermark has closed."""
+    folder = run_dir(spark, "sessions")
+    ingest.drain(
+        ingest.closed_sessions(inputs.event_stream(spark, src)), f"{folder}/out", f"{folder}/checkpoint"
+    )
+    return spark.read.parquet(f"{folder}/out").select(
+        "client_id", _text("start_ts").alias("start_ts"), "n", F.col("amount").cast("double").alias("amount")
+    )
+
+
 REGISTERED: list[Query] = [
+    validate_events, stream_ingest, stream_dead_letters, stream_totals, run_log_state, online_counters,
+    enrich_online, stream_dedup, stream_sessions,
     load_facts, rejects, pending, mart_kpis, mart_ingestion, mart_hourly, mart_fraud_type, integrity_anti,
     quality_suite, constraint_violations, late_labels, calendar, class_imbalance, rate_by_dimension,
     country_pivot, peak_rates, describe_by_class, boxplot, histogram_log_amount, zscore_card, iqr_card,
