@@ -3,41 +3,60 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from typing import NamedTuple
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardwatch.functions.scalar import one_hot, standardised
 from cardwatch.functions.spread import exact_quantiles
-from cardwatch.operators.prepare import Prep, class_ratio, with_weight
+from cardwatch.operators.prepare import Prep, with_weight
 
 
-def _with_label(df: DataFrame) -> DataFrame:
-    return df.where(F.col("is_fraud").isNotNull()).withColumn("label", F.col("is_fraud").cast("double"))
+class Counts(NamedTuple):
+    n: int
+    frauds: int
 
+    @property
+    def ratio(self) -> float:
+        """Legitimate rows per fraud."""
+        if not self.frauds:
+            raise ValueError("no positive row to learn from")
+        return (self.n - self.frauds) / self.frauds
 
-def _fit(train: DataFrame, inputs: Sequence[str], classifier) -> PipelineModel:
-    rows = train.persist()
+
+def _fit(
+    train: DataFrame,
+    inputs: Sequence[str],
+    classifier: Callable[[Counts], Estimator],
+    fraud_weight: Callable[[Counts], float] | None = None,
+    extra: Sequence[str] = (),
+) -> PipelineModel:
+    """Assemble the inputs of the labelled rows and fit; the rows are computed once and kept for all passes."""
+    label = F.col("is_fraud").cast("double").alias("label")
+    rows = train.where(F.col("is_fraud").isNotNull()).select(*inputs, *extra, "is_fraud", label).persist()
     try:
-        return Pipeline(stages=[VectorAssembler(inputCols=list(inputs), outputCol="features"), classifier]).fit(rows)
+        counts = Counts(*rows.agg(F.count("*"), F.count_if("is_fraud")).first())
+        weighted = rows if fraud_weight is None else with_weight(rows, fraud_weight(counts))
+        vector = VectorAssembler(inputCols=list(inputs), outputCol="features")
+        return Pipeline(stages=[vector, classifier(counts)]).fit(weighted)
     finally:
         rows.unpersist()
 
 
-def fit_logistic(train: DataFrame, inputs: Sequence[str], weighted: bool = False) -> PipelineModel:
-    """L2 logistic regression with unit penalty on the summed loss, which is 1/n on Spark's mean loss."""
-    rows = _with_label(train)
-    n = rows.count()
-    model = LogisticRegression(maxIter=1000, regParam=1.0 / max(n, 1), standardization=False)
-    if weighted:
-        model = model.setWeightCol("weight")
-    columns = [*inputs, "label", *(["weight"] if weighted else [])]
-    return _fit(rows.select(*columns), inputs, model)
+def _logistic(counts: Counts) -> LogisticRegression:
+    """Unit L2 penalty on the summed loss, which is 1/n on Spark's mean loss."""
+    return LogisticRegression(maxIter=1000, regParam=1.0 / counts.n, standardization=False)
+
+
+def fit_logistic(train: DataFrame, inputs: Sequence[str]) -> PipelineModel:
+    """Logistic regression without class weights."""
+    return _fit(train, inputs, _logistic)
 
 
 def fit_boosted(
@@ -50,14 +69,11 @@ def fit_boosted(
     validation: str | None = None,
 ) -> PipelineModel:
     """Gradient-boosted trees; a fraud weighs as much as the legitimate rows per fraud."""
-    rows = _with_label(train)
-    rows = with_weight(rows, class_ratio(rows))
     model = GBTClassifier(maxIter=trees, stepSize=step, maxDepth=depth, weightCol="weight", seed=seed)
-    columns = [*inputs, "label", "weight"]
     if validation:
         model = model.setValidationIndicatorCol(validation)
-        columns.append(validation)
-    return _fit(rows.select(*columns), inputs, model)
+    extra = [validation] if validation else []
+    return _fit(train, inputs, lambda counts: model, lambda counts: counts.ratio, extra)
 
 
 def apply_model(df: DataFrame, model: PipelineModel) -> DataFrame:
@@ -68,19 +84,15 @@ def apply_model(df: DataFrame, model: PipelineModel) -> DataFrame:
     )
 
 
-def importances(model: PipelineModel) -> DataFrame:
+def importances(spark: SparkSession, model: PipelineModel) -> DataFrame:
     """Impurity gain per input of a tree model, as (feature, importance)."""
     inputs, trees = model.stages[0].getInputCols(), model.stages[-1]
-    values = trees.featureImportances.toArray()
-    from pyspark.sql import SparkSession
-
-    spark = SparkSession.getActiveSession()
-    rows = [(name, float(v)) for name, v in zip(inputs, values)]
+    rows = [(name, float(v)) for name, v in zip(inputs, trees.featureImportances.toArray())]
     return spark.createDataFrame(rows, "feature string, importance double")
 
 
-def top_importances(model: PipelineModel, k: int = 15) -> DataFrame:
-    return importances(model).orderBy(F.desc("importance"), "feature").limit(k)
+def top_importances(spark: SparkSession, model: PipelineModel, k: int = 15) -> DataFrame:
+    return importances(spark, model).orderBy(F.desc("importance"), "feature").limit(k)
 
 
 def fit_reconstruction(train: DataFrame, inputs: Sequence[str], size: int = 3) -> PipelineModel:
@@ -116,12 +128,14 @@ def anomaly_flags(errors: DataFrame, legit_train: DataFrame, q: float = 0.99) ->
 
 
 def flatten_sequences(
-    seq: DataFrame, prep: Prep, numeric: Sequence[str] = ("amount", "home_distance_km", "hour")
+    seq: DataFrame,
+    prep: Prep,
+    length: int = 5,
+    numeric: Sequence[str] = ("amount", "home_distance_km", "hour"),
 ) -> tuple[DataFrame, list[str]]:
     """Sequence steps as one column per step and field, with the client's segment and income."""
-    steps = len(seq.select("steps").first()["steps"]) if seq.take(1) else 0
     encoded = {}
-    for i in range(steps):
+    for i in range(length):
         step = F.col("steps")[i]
         for c in numeric:
             mean, std = prep.scale[c]
@@ -136,5 +150,9 @@ def flatten_sequences(
 
 def fit_sequence_classifier(train: DataFrame, inputs: Sequence[str]) -> PipelineModel:
     """Classifier over flattened sequences; a fraud weighs the square root of the class ratio."""
-    rows = with_weight(train.where(F.col("is_fraud").isNotNull()), math.sqrt(class_ratio(train)))
-    return fit_logistic(rows, inputs, weighted=True)
+    return _fit(
+        train,
+        inputs,
+        lambda counts: _logistic(counts).setWeightCol("weight"),
+        lambda counts: math.sqrt(counts.ratio),
+    )

@@ -125,9 +125,13 @@ def load_facts(
 
 
 def complete_labels(fact: DataFrame, labels: DataFrame) -> DataFrame:
-    """Fill labels that arrived later; a label that is already set stays."""
-    late = labels.select(
-        "transaction_bk", F.col("is_fraud").alias("_late"), F.col("fraud_type").alias("_late_type")
+    """Fill labels that arrived later; a label that is already set stays.
+
+    Of several labels for one transaction a fraud outranks a legitimate one.
+    """
+    late = labels.groupBy("transaction_bk").agg(F.max(F.struct("is_fraud", "fraud_type")).alias("_l"))
+    late = late.select(
+        "transaction_bk", F.col("_l.is_fraud").alias("_late"), F.col("_l.fraud_type").alias("_late_type")
     )
     open_case = F.col("is_fraud").isNull()
     return (

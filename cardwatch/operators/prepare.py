@@ -50,6 +50,7 @@ def fit_prep(
 ) -> Prep:
     """Parameters of the preparation: one aggregation, and the distinct values of each category."""
     row = train.agg(
+        F.count("*").alias("n"),
         *[F.avg(c).cast("double").alias(f"m_{c}") for c in numeric],
         *[F.stddev_pop(c).cast("double").alias(f"s_{c}") for c in numeric],
     ).first()

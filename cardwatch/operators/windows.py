@@ -246,15 +246,19 @@ def split_summary(df: DataFrame, ts: str = "event_ts") -> DataFrame:
     )
 
 
+def _keyed_hash(column: str, seed: int):
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(column)))
+
+
 def holdout_split(df: DataFrame, share: float = 0.1, seed: int = 42, bk: str = "transaction_bk") -> DataFrame:
     """Adds `is_validation` for about `share` of the rows, chosen by a hash of key and seed."""
-    draw = F.pmod(F.xxhash64(F.col(bk), F.lit(seed)), F.lit(1_000_000)) / F.lit(1_000_000.0)
+    draw = F.conv(F.substring(_keyed_hash(bk, seed), 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
     return df.withColumn("is_validation", draw < F.lit(share))
 
 
 def sample_rows(df: DataFrame, n: int, seed: int = 42, bk: str = "transaction_bk") -> DataFrame:
     """`n` rows without replacement in the order of a keyed hash: the same rows on every run."""
-    return df.orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(bk))), bk).limit(n)
+    return df.orderBy(_keyed_hash(bk, seed), bk).limit(n)
 
 
 def sample_with_replacement(df: DataFrame, share: float, seed: int = 42) -> DataFrame:
@@ -266,4 +270,4 @@ def random_keys(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     keys = df.select(key).distinct()
     if keys.isEmpty():
         raise ValueError(f"no {key} to draw from")
-    return keys.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    return keys.orderBy(_keyed_hash(key, seed), key).limit(n)

@@ -154,6 +154,40 @@ counters AS (SELECT client_id, max(event_ts) AS last_ts, count(*) AS nb_tx_1h, c
 """
 
 
+DRIFT_NUMERIC = ("amount", "home_distance_km", "net_income", "hour", "dow", "day")
+DRIFT_CATEGORICAL = ("is_weekend", "is_night", "auth_method", "channel", "segment")
+
+
+def _drift(columns_by_scenario: dict[str, dict[str, str]]) -> str:
+    """Distances per scenario and column; a scenario maps columns to their expression on the current side."""
+    long, texts = [], []
+    for scenario, changed in columns_by_scenario.items():
+        for c in (*DRIFT_NUMERIC, *DRIFT_CATEGORICAL):
+            expr = f"CASE WHEN split = 'train' THEN {c} ELSE {changed.get(c, c)} END" if c in changed else c
+            if c in DRIFT_NUMERIC:
+                long.append(f"SELECT '{scenario}' AS scenario, '{c}' AS feature, split, cast({expr} AS double) AS x FROM split_rows")
+            texts.append(
+                f"SELECT '{scenario}' AS scenario, '{c}' AS feature, split, cast({expr} AS varchar) AS x FROM split_rows"
+            )
+    return f"""
+, longnum AS ({' UNION ALL '.join(long)}),
+numcnt AS (SELECT scenario, feature, x, count(*) FILTER (WHERE split = 'train') AS r, count(*) FILTER (WHERE split = 'test') AS c
+    FROM longnum GROUP BY scenario, feature, x),
+numcdf AS (SELECT *, sum(r) OVER w / sum(r) OVER f AS fr, sum(c) OVER w / sum(c) OVER f AS fc, lead(x) OVER w - x AS dx FROM numcnt
+    WINDOW w AS (PARTITION BY scenario, feature ORDER BY x), f AS (PARTITION BY scenario, feature)),
+numstd AS (SELECT scenario, feature, stddev_pop(x) AS sd, count(DISTINCT x) AS n_values FROM longnum WHERE split = 'train' GROUP BY scenario, feature),
+numdist AS (SELECT d.scenario, d.feature, sum(abs(fr - fc) * coalesce(dx, 0.0)) / greatest(max(sd), 0.001) AS score, max(n_values) AS n_values
+    FROM numcdf d JOIN numstd s ON s.scenario = d.scenario AND s.feature = d.feature GROUP BY d.scenario, d.feature),
+longtxt AS ({' UNION ALL '.join(texts)}),
+txtcnt AS (SELECT scenario, feature, x, count(*) FILTER (WHERE split = 'train') AS r, count(*) FILTER (WHERE split = 'test') AS c
+    FROM longtxt GROUP BY scenario, feature, x),
+txtp AS (SELECT *, r / sum(r) OVER f AS p, c / sum(c) OVER f AS q FROM txtcnt WINDOW f AS (PARTITION BY scenario, feature)),
+txtdist AS (SELECT scenario, feature, sqrt(greatest(sum((CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0.0 END
+      + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0.0 END) / 2), 0.0)) AS score,
+      count(*) FILTER (WHERE p > 0) AS n_values FROM txtp GROUP BY scenario, feature)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     sql: dict[str, str] = {}
 
@@ -332,6 +366,124 @@ SELECT threshold, round(total, 2) AS fraud_amount_total, round(avoided, 2) AS fr
     sql["top_fraud"] = BASE + """
 SELECT transaction_bk, score FROM scored WHERE is_fraud AND score >= 0.5 ORDER BY score DESC, transaction_bk LIMIT 1"""
 
+    sql["staged_once"] = BASE + """
+SELECT ingestion_mode, count(*) AS n, cast(sum(amount) AS double) AS amount FROM staging
+WHERE event_ts >= TIMESTAMP '2024-01-15 00:00:00' GROUP BY ingestion_mode"""
+    sql["processed_rows"] = BASE + """
+SELECT ingestion_mode, count(*) AS n FROM staging s
+WHERE EXISTS (SELECT 1 FROM fact f WHERE f.transaction_bk = s.transaction_bk) GROUP BY ingestion_mode"""
+    sql["enforced_rows"] = BASE + """
+SELECT concat_ws(',', CASE WHEN is_fraud IS NULL THEN 'not_null:is_fraud' END, CASE WHEN length(auth_method) > 4 THEN 'length:auth_method' END,
+       CASE WHEN tx_country <> 'FR' THEN 'domain:tx_country' END) AS broken, count(*) AS n FROM staging GROUP BY 1"""
+    sql["column_defaults"] = BASE + """
+SELECT coalesce(fraud_type, 'none') AS fraud_type, 'active' AS status, count(*) AS n FROM staging GROUP BY 1"""
+    sql["bulk_text"] = BASE + """
+SELECT transaction_bk, strftime(event_ts, '%Y-%m-%d %H:%M:%S') AS event_time, cast(amount AS double) AS amount, channel,
+       coalesce(cast(is_fraud AS varchar), 'open') AS label, coalesce(fraud_type, '') AS fraud_type FROM staging"""
+    sql["channel_reload"] = BASE + """
+SELECT row_number() OVER (ORDER BY channel, mcc_code) AS channel_key, channel, mcc_code
+FROM (SELECT DISTINCT channel, mcc_code FROM staging) x UNION ALL SELECT 0, 'unknown', '0000'"""
+    sql["random_clients"] = BASE + """
+SELECT client_id FROM (SELECT DISTINCT client_id FROM fact) x ORDER BY md5(concat('42|', client_id)), client_id LIMIT 20"""
+    sql["holdout"] = BASE + """
+SELECT cast(concat('0x', substr(md5(concat('42|', transaction_bk)), 1, 8)) AS bigint) / 4294967296.0 < 0.1 AS is_validation,
+       count(*) AS n, count(*) FILTER (WHERE is_fraud) AS n_fraud FROM labelled GROUP BY 1"""
+    sql["class_weights"] = BASE + """
+SELECT round(cast(count(*) FILTER (WHERE NOT is_fraud) AS double) / count(*) FILTER (WHERE is_fraud), 6) AS ratio,
+       round(sqrt(cast(count(*) FILTER (WHERE NOT is_fraud) AS double) / count(*) FILTER (WHERE is_fraud)), 6) AS root,
+       count(DISTINCT client_id) AS n_clients FROM labelled"""
+    sql["production_models"] = BASE + """
+SELECT channel AS name, max(day(event_ts)) AS version, concat(channel, '/', cast(max(day(event_ts)) AS varchar)) AS path
+FROM staging GROUP BY channel"""
+    sql["smote"] = BASE + ORDERED + """
+, c AS (SELECT count(*) FILTER (WHERE is_fraud) AS p, count(*) FILTER (WHERE NOT is_fraud) AS n FROM split_rows WHERE split = 'train')
+SELECT true AS is_fraud, false AS synthetic, p AS n FROM c UNION ALL SELECT false, false, n FROM c
+UNION ALL SELECT true, true, cast(floor(cast(0.3 AS double) * n) AS bigint) - p FROM c"""
+    sql["metric_summary"] = BASE + """
+, st AS (SELECT avg(amount) AS m, stddev_samp(amount) AS s FROM labelled),
+z AS (SELECT abs((amount - m) / s) > 3 AS flag, is_fraud FROM labelled, st)
+SELECT 'imbalance' AS section, 'n_total' AS key, cast(count(*) AS double) AS value FROM labelled
+UNION ALL SELECT 'imbalance', 'n_fraud', count(*) FILTER (WHERE is_fraud) FROM labelled
+UNION ALL SELECT 'imbalance', 'n_legit', count(*) FILTER (WHERE NOT is_fraud) FROM labelled
+UNION ALL SELECT 'imbalance', 'fraud_rate_pct', round_even(100.0 * count(*) FILTER (WHERE is_fraud) / count(*), 3) FROM labelled
+UNION ALL SELECT 'imbalance', 'legit_per_fraud',
+    round_even(cast(count(*) FILTER (WHERE NOT is_fraud) AS double) / count(*) FILTER (WHERE is_fraud), 0) FROM labelled
+UNION ALL SELECT 'zscore', 'n_signals', count(*) FILTER (WHERE flag) FROM z
+UNION ALL SELECT 'zscore', 'tp', count(*) FILTER (WHERE flag AND is_fraud) FROM z
+UNION ALL SELECT 'zscore', 'fp', count(*) FILTER (WHERE flag AND NOT is_fraud) FROM z
+UNION ALL SELECT 'mart', 'n_transactions', count(*) FROM fact
+UNION ALL SELECT 'mart', 'n_frauds', count(*) FILTER (WHERE is_fraud) FROM fact
+UNION ALL SELECT 'mart', 'n_unlabelled', count(*) FILTER (WHERE is_fraud IS NULL) FROM fact"""
+    scaled = ["amount", "home_distance_km", "net_income", "hour", "dow", "month"]
+    sql["standardised_features"] = (
+        BASE
+        + ", st AS (SELECT "
+        + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in scaled)
+        + " FROM labelled) SELECT transaction_bk, "
+        + ", ".join(f"round(({c} - m_{c}) / CASE WHEN s_{c} = 0 THEN 1.0 ELSE s_{c} END, 6) AS x_{c}" for c in scaled)
+        + ", cast(is_weekend AS double) AS x_is_weekend, cast(is_night AS double) AS x_is_night FROM labelled, st"
+    )
+    sql["one_hot"] = BASE + """
+SELECT cast(auth_method = '3ds' AS double) AS x_auth_method_3ds, cast(auth_method = 'none' AS double) AS x_auth_method_none,
+       cast(auth_method = 'puce_pin' AS double) AS x_auth_method_puce_pin,
+       cast(CASE auth_method WHEN 'puce_pin' THEN 0 WHEN '3ds' THEN 1 ELSE -1 END AS bigint) AS idx, count(*) AS n
+FROM labelled GROUP BY 1, 2, 3, 4"""
+    sql["risk_bands"] = BASE + """
+SELECT CASE WHEN score >= 0.9 THEN 'high' WHEN score >= 0.5 THEN 'medium' ELSE 'low' END AS risk_level,
+       score >= 0.5 AS fraud_at_default, score >= 0.9 AS fraud_at_tuned, count(*) AS n FROM scored GROUP BY 1, 2, 3"""
+    sql["validate_requests"] = BASE + """
+, r AS (SELECT *, cast(substr(transaction_bk, 4, 9) AS bigint) AS nr FROM labelled),
+q AS (SELECT concat_ws(',',
+    CASE WHEN NOT (CASE WHEN nr % 11 = 0 THEN -amount ELSE amount END > 0) THEN 'amount' END,
+    CASE WHEN NOT home_distance_km >= 0 THEN 'home_distance_km' END,
+    CASE WHEN NOT net_income > 0 THEN 'net_income' END,
+    CASE WHEN nr % 13 = 0 THEN 'hour' END,
+    CASE WHEN nr % 17 = 0 THEN 'dow' END,
+    CASE WHEN nr % 19 = 0 THEN 'month' END,
+    CASE WHEN auth_method NOT IN ('puce_pin', '3ds') THEN 'auth_method' END,
+    CASE WHEN channel NOT IN ('click', 'error', 'view', 'purchase', 'login') THEN 'channel' END,
+    CASE WHEN segment NOT IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY') THEN 'segment' END) AS errors FROM r)
+SELECT errors, count(*) AS n FROM q GROUP BY errors"""
+    weights = {"home_distance_km": -0.15, "amount": 0.004, "net_income": 0.0001, "hour": 0.02, "dow": -0.05, "month": 0.5}
+    sql["top_contributions_linear"] = (
+        BASE
+        + ", st AS (SELECT " + ", ".join(f"avg({c}) AS m_{c}" for c in weights) + " FROM labelled), c AS ("
+        + " UNION ALL ".join(
+            f"SELECT transaction_bk, '{c}' AS feature, cast({w} AS double) * ({c} - m_{c}) AS v FROM labelled, st" for c, w in weights.items()
+        )
+        + """), o AS (SELECT *, row_number() OVER (PARTITION BY transaction_bk ORDER BY abs(v) DESC, feature) - 1 AS place FROM c)
+SELECT transaction_bk, place, feature, round_even(v, 4) AS impact FROM o WHERE place < 5"""
+    )
+    plain = {"normal": {}}
+    moved = {
+        "hour": "(hour + 9) % 24",
+        "amount": "round_even(amount * cast(1.8 AS double), 2)",
+        "day": "((day - 1 + 4 + cast(concat('0x', substr(md5(transaction_bk), 1, 4)) AS int) % 3) % 31) + 1",
+    }
+    sql["drift_numeric"] = BASE + ORDERED + _drift(plain) + """
+SELECT feature, 'wasserstein' AS method, round(score, 6) AS score, n_values FROM numdist"""
+    sql["drift_categorical"] = BASE + ORDERED + _drift(plain) + f"""
+SELECT feature, 'jensen_shannon' AS method, round(score, 6) AS score, n_values FROM txtdist
+WHERE feature IN {DRIFT_CATEGORICAL}"""
+    sql["drift_verdict"] = BASE + ORDERED + _drift({**plain, "injected": moved}) + f"""
+, verdict AS (SELECT scenario, feature, score >= 0.1 AS drifted FROM numdist WHERE n_values > 5
+  UNION ALL SELECT scenario, feature, score >= 0.1 FROM txtdist WHERE feature IN {DRIFT_CATEGORICAL} OR n_values <= 5)
+SELECT scenario, count(*) AS n_columns, count(*) FILTER (WHERE drifted) AS n_drifted,
+       round_even(avg(cast(drifted AS int)) * 100, 2) AS drifted_pct, avg(cast(drifted AS int)) > 0.2 AS alert,
+       coalesce(string_agg(feature, ',' ORDER BY feature) FILTER (WHERE drifted), '') AS drifted_columns FROM verdict GROUP BY scenario"""
+    sql["retention_check"] = BASE + """
+SELECT ingestion_mode, count(*) AS n_expired FROM fact WHERE event_ts < TIMESTAMP '2024-02-01 00:00:00' - INTERVAL 20 DAY
+GROUP BY ingestion_mode"""
+    sql["audit_report"] = BASE + """
+, a AS (SELECT 'minimisation' AS principle, 'no_identifying_column' AS control, cast(0 AS bigint) AS findings
+  UNION ALL SELECT 'pseudonymisation', 'client_key_opaque', count(*) FROM dim_client WHERE NOT regexp_matches(client_id, '^C[0-9]{7}[02468]$')
+  UNION ALL SELECT 'security', 'no_card_data', 0
+  UNION ALL SELECT 'explanation', 'decisions_explained', 0
+  UNION ALL SELECT 'accountability', 'processing_logged', 1
+  UNION ALL SELECT 'storage_limitation', 'retention_respected', count(*) FROM fact WHERE event_ts < TIMESTAMP '2024-02-01 00:00:00' - INTERVAL 25 DAY
+  UNION ALL SELECT 'subject_rights', 'no_identity_mapping', 0)
+SELECT *, CASE WHEN findings = 0 THEN 'OK' ELSE 'KO' END AS status FROM a"""
+
     # Streaming
     sql["validate_events"] = BASE + MESSAGES + """
 SELECT coalesce(reason, 'valid') AS reason, count(*) AS n,

@@ -8,10 +8,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardwatch import schema
-from cardwatch.operators import dimensions, evaluate, load, marts, profile, quality, score, windows
-from cardwatch.plans import inputs
+from cardwatch.functions.scalar import category_index
+from cardwatch.operators import (
+    audit,
+    dimensions,
+    drift,
+    evaluate,
+    explain,
+    learn,
+    load,
+    marts,
+    prepare,
+    profile,
+    quality,
+    score,
+    windows,
+)
+from cardwatch.operators.oversample import oversample
+from cardwatch.plans import inputs, models
 from cardwatch.session import run_dir
-from cardwatch.sources import logs
+from cardwatch.sources import logs, tables
 from cardwatch.streaming import ingest, validate
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -350,7 +366,322 @@ def stream_sessions(spark: SparkSession, src: str) -> DataFrame:
     )
 
 
+def metric_summary(spark: SparkSession, src: str) -> DataFrame:
+    """Three one-row results as one long frame of sections, keys and values."""
+    rows = inputs.labelled(spark, src)
+    sections = {
+        "imbalance": profile.class_imbalance(rows),
+        "zscore": profile.detector_card(profile.zscore_flags(rows, "amount")).select("n_signals", "tp", "fp"),
+        "mart": marts.mart_kpis(inputs.fact(spark, src)).select("n_transactions", "n_frauds", "n_unlabelled"),
+    }
+    return logs.summary(sections).withColumn("value", F.col("value").cast("double"))
+
+
+def standardised_features(spark: SparkSession, src: str) -> DataFrame:
+    rows = inputs.labelled(spark, src)
+    prep = prepare.fit_prep(rows, categorical=())
+    return prepare.apply_prep(rows, prep).select(
+        "transaction_bk", *[F.round(c, 6).alias(c) for c in prep.columns]
+    )
+
+
+def one_hot(spark: SparkSession, src: str) -> DataFrame:
+    """Rows per encoded combination of the categorical features."""
+    rows = inputs.labelled(spark, src)
+    prep = prepare.fit_prep(rows, numeric=(), binary=(), categorical=("auth_method",))
+    index = category_index("auth_method", ["puce_pin", "3ds"])
+    coded = prepare.apply_prep(rows, prep).withColumn("idx", F.coalesce(index, F.lit(-1)).cast("bigint"))
+    return coded.groupBy(*prep.columns, "idx").agg(F.count("*").alias("n"))
+
+
+def risk_bands(spark: SparkSession, src: str) -> DataFrame:
+    decided = score.decide(inputs.scored(spark, src), tuned=0.9)
+    return decided.groupBy("risk_level", "fraud_at_default", "fraud_at_tuned").agg(F.count("*").alias("n"))
+
+
+def validate_requests(spark: SparkSession, src: str) -> DataFrame:
+    """Requests made of the facts, some of them out of their domain, with the rules they break."""
+    number = F.substring("transaction_bk", 4, 9).cast("bigint")
+    requests = inputs.labelled(spark, src).withColumns(
+        {
+            "amount": F.when(number % 11 == 0, -F.col("amount")).otherwise(F.col("amount")),
+            "hour": F.when(number % 13 == 0, 24).otherwise(F.col("hour")),
+            "dow": F.when(number % 17 == 0, 0).otherwise(F.col("dow")),
+            "month": F.when(number % 19 == 0, F.lit(None)).otherwise(F.col("month")),
+        }
+    )
+    judged = score.judge_requests(
+        requests,
+        {
+            "auth_method": ("puce_pin", "3ds"),
+            "channel": ("click", "error", "view", "purchase", "login"),
+            "segment": ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"),
+        },
+    )
+    return judged.groupBy(F.concat_ws(",", "errors").alias("errors")).agg(F.count("*").alias("n"))
+
+
+# Coefficients of the fixed score, for explanations that need no fitted model.
+LINEAR = {"home_distance_km": -0.15, "amount": 0.004, "net_income": 0.0001, "hour": 0.02, "dow": -0.05, "month": 0.5}
+
+
+def top_contributions_linear(spark: SparkSession, src: str) -> DataFrame:
+    rows = inputs.labelled(spark, src)
+    means = rows.agg(*[F.avg(c).alias(c) for c in LINEAR]).first()
+    top = score.top_contributions(score.linear_contributions(LINEAR, means.asDict()))
+    return rows.select("transaction_bk", F.posexplode(top).alias("place", "f")).select(
+        "transaction_bk", F.col("place").cast("bigint").alias("place"), "f.feature", "f.impact"
+    )
+
+
+DRIFT_NUMERIC = ("amount", "home_distance_km", "net_income", "hour", "dow", "day")
+DRIFT_CATEGORICAL = ("is_weekend", "is_night", "auth_method", "channel", "segment")
+
+
+def _drift_sides(spark: SparkSession, src: str) -> tuple[DataFrame, DataFrame]:
+    rows = windows.split_positional(inputs.labelled(spark, src))
+    return rows.where(F.col("split") == "train"), rows.where(F.col("split") == "test")
+
+
+def drift_numeric(spark: SparkSession, src: str) -> DataFrame:
+    found = drift.numeric_drift(*_drift_sides(spark, src), DRIFT_NUMERIC)
+    return found.select("feature", "method", F.round("score", 6).alias("score"), "n_values")
+
+
+def drift_categorical(spark: SparkSession, src: str) -> DataFrame:
+    found = drift.categorical_drift(*_drift_sides(spark, src), DRIFT_CATEGORICAL)
+    return found.select("feature", "method", F.round("score", 6).alias("score"), "n_values")
+
+
+def drift_verdict(spark: SparkSession, src: str) -> DataFrame:
+    """The later rows as they are, and with drift injected into hour, amount and day."""
+    reference, current = _drift_sides(spark, src)
+    moved = drift.inject_drift(current, "day", 31)
+    scenarios = (("normal", current), ("injected", moved))
+    reports = [
+        drift.drift_report(reference, side, DRIFT_NUMERIC, DRIFT_CATEGORICAL, name) for name, side in scenarios
+    ]
+    return reports[0].unionByName(reports[1])
+
+
+def retention_check(spark: SparkSession, src: str) -> DataFrame:
+    old = audit.expired(inputs.fact(spark, src), F.lit(inputs.AS_OF).cast("timestamp"), "20 DAYS")
+    return old.groupBy("ingestion_mode").agg(F.count("*").alias("n_expired"))
+
+
+def audit_report(spark: SparkSession, src: str) -> DataFrame:
+    dims, facts = inputs.dims(spark, src), inputs.fact(spark, src)
+    rows = inputs.scored(spark, src)
+    explained = rows.withColumn(
+        "top_features",
+        score.top_contributions({"amount": F.col("amount"), "distance": F.col("home_distance_km")}),
+    )
+    tables = {
+        "staging": inputs.staging(spark, src), "fact": facts, "branch": dims.branch, "client": dims.client,
+        "time": dims.time, "channel": dims.channel, "run_log": explained,
+    }
+    return audit.audit(
+        spark, tables, dims.client, facts, explained, F.lit(inputs.AS_OF).cast("timestamp"),
+        key_pattern="^C[0-9]{7}[02468]$", retention="25 DAYS",
+    )
+
+
+def logreg_eval(spark: SparkSession, src: str) -> DataFrame:
+    data = models.split(spark, src)
+    return evaluate.evaluate(learn.apply_model(data.test, models.logistic(spark, src)))
+
+
+def smote(spark: SparkSession, src: str) -> DataFrame:
+    """Class sizes of the training rows after oversampling."""
+    data = models.split(spark, src)
+    return oversample(data.train, data.prep.columns).groupBy("is_fraud", "synthetic").agg(F.count("*").alias("n"))
+
+
+def smote_logreg_eval(spark: SparkSession, src: str) -> DataFrame:
+    data = models.split(spark, src)
+    return evaluate.evaluate(learn.apply_model(data.test, models.oversampled_logistic(spark, src)))
+
+
+def gbt_eval(spark: SparkSession, src: str) -> DataFrame:
+    data = models.split(spark, src)
+    return evaluate.evaluate(learn.apply_model(data.test, models.boosted(spark, src)))
+
+
+def gbt_importance(spark: SparkSession, src: str) -> DataFrame:
+    return learn.top_importances(spark, models.boosted(spark, src))
+
+
+def tree_shap(spark: SparkSession, src: str) -> DataFrame:
+    """Contribution of every feature over all test rows."""
+    data = models.split(spark, src)
+    explained = explain.tree_contributions(data.test, models.boosted(spark, src))
+    return explain.contribution_summary(explained, data.prep.columns)
+
+
+def pca_anomaly(spark: SparkSession, src: str) -> DataFrame:
+    data = models.split(spark, src)
+    model = models.reconstruction(spark, src)
+    legit = learn.reconstruction_error(data.train.where(~F.col("is_fraud")), model)
+    flagged = learn.anomaly_flags(learn.reconstruction_error(data.test, model), legit)
+    return profile.detector_card(flagged, digits=4)
+
+
+def pca_detection_by_type(spark: SparkSession, src: str) -> DataFrame:
+    """Share of the frauds of each type whose reconstruction error is flagged."""
+    data = models.split(spark, src)
+    model = models.reconstruction(spark, src)
+    legit = learn.reconstruction_error(data.train.where(~F.col("is_fraud")), model)
+    flagged = learn.anomaly_flags(learn.reconstruction_error(data.test, model), legit)
+    return evaluate.detection_by_type(flagged.withColumn("score", F.col("flag").cast("int")))
+
+
+def sequence_classifier(spark: SparkSession, src: str) -> DataFrame:
+    rows = windows.split_quantile(inputs.labelled(spark, src))
+    prep = prepare.fit_prep(rows.where(F.col("split") == "train"))
+    flat, columns = learn.flatten_sequences(windows.sequences(rows), prep)
+    model = learn.fit_sequence_classifier(flat.where(F.col("split") == "train"), columns)
+    return evaluate.evaluate(learn.apply_model(flat.where(F.col("split") == "test"), model))
+
+
+def score_batch(spark: SparkSession, src: str) -> DataFrame:
+    """Test rows through validation, scoring, decision, explanation and online enrichment."""
+    data = models.split(spark, src)
+    requests = data.test.withColumnsRenamed({"split": "_split"})
+    accepted, _ = score.validate_requests(requests, data.prep.categories)
+    model = models.boosted(spark, src)
+    explained = explain.top_factors(explain.tree_contributions(accepted, model), data.prep.columns)
+    decided = score.decide(learn.apply_model(accepted, model), tuned=0.8)
+    joined = decided.join(explained.select("transaction_bk", "top_features"), "transaction_bk")
+    enriched = score.enrich_online(joined, inputs.ingested(spark, src).counters(spark))
+    return enriched.select(
+        "transaction_bk", "score", "fraud_at_default", "fraud_at_tuned", "risk_level",
+        F.col("top_features").cast("string").alias("top_features"),
+        F.coalesce("online.nb_tx_1h", F.lit(-1)).alias("nb_tx_1h"),
+        F.lit(f"gbt-{models.TREES}").alias("model_version"),
+    )
+
+
+def staged_once(spark: SparkSession, src: str) -> DataFrame:
+    """A batch with every row twice meets a staging table that holds the first half of the month."""
+    rows = inputs.staging(spark, src)
+    stored = rows.where(F.col("event_ts") < F.lit("2024-01-15").cast("timestamp"))
+    added = load.stage_insert(rows.unionByName(rows), stored)
+    return added.groupBy("ingestion_mode").agg(
+        F.count("*").alias("n"), F.sum("amount").cast("double").alias("amount")
+    )
+
+
+def processed_rows(spark: SparkSession, src: str) -> DataFrame:
+    done = load.processed(inputs.staging(spark, src), inputs.fact(spark, src))
+    return done.groupBy("ingestion_mode").agg(F.count("*").alias("n"))
+
+
+def enforced_rows(spark: SparkSession, src: str) -> DataFrame:
+    """Rows that pass and rows that fail a set of constraints, by the rules they break."""
+    rules = schema.Constraints(
+        not_null=("transaction_bk", "is_fraud"), max_length={"auth_method": 4}, domain={"tx_country": ("FR",)}
+    )
+    good, bad = quality.enforce(inputs.staging(spark, src), rules)
+    passed = good.agg(F.count("*").alias("n")).select(F.lit("").alias("broken"), "n")
+    failed = bad.groupBy(F.concat_ws(",", "broken_rules").alias("broken")).agg(F.count("*").alias("n"))
+    return passed.unionByName(failed)
+
+
+def column_defaults(spark: SparkSession, src: str) -> DataFrame:
+    """Missing fraud types and a missing status column filled with defaults."""
+    filled = load.fill_defaults(
+        inputs.staging(spark, src), {"fraud_type": F.lit("none"), "status": F.lit("active")}
+    )
+    return filled.groupBy("fraud_type", "status").agg(F.count("*").alias("n"))
+
+
+def bulk_text(spark: SparkSession, src: str) -> DataFrame:
+    """Staging rows written as a bulk text file and read back with their schema."""
+    path = run_dir(spark, "bulk")
+    rows = inputs.staging(spark, src)
+    tables.write_tsv(rows, path)
+    back = tables.read_tsv(spark, path, rows.schema)
+    return back.select(
+        "transaction_bk",
+        _text("event_ts").alias("event_time"),
+        F.col("amount").cast("double").alias("amount"),
+        "channel",
+        F.coalesce(F.col("is_fraud").cast("string"), F.lit("open")).alias("label"),
+        F.coalesce("fraud_type", F.lit("")).alias("fraud_type"),
+    )
+
+
+def channel_reload(spark: SparkSession, src: str) -> DataFrame:
+    """Full refresh of the channel dimension, twice, with its unknown member."""
+    path = run_dir(spark, "channel")
+    pairs = inputs.staging(spark, src).select("channel", "mcc_code").distinct()
+    keyed = dimensions.channel_dimension(pairs)
+    known, unknown = keyed.where("channel_key > 0"), keyed.where("channel_key = 0")
+    for _ in range(2):
+        tables.reload(known, path, unknown)
+    stored = spark.read.schema(keyed.schema).parquet(path)
+    return stored.withColumn("channel_key", F.col("channel_key").cast("bigint"))
+
+
+def random_clients(spark: SparkSession, src: str) -> DataFrame:
+    return windows.random_keys(inputs.fact(spark, src), "client_id", 20)
+
+
+def resampled_rows(spark: SparkSession, src: str) -> DataFrame:
+    """A sample with replacement of a fifth of the labelled rows."""
+    rows = inputs.labelled(spark, src).select("transaction_bk", "amount")
+    return windows.sample_with_replacement(rows, 0.2)
+
+
+def holdout(spark: SparkSession, src: str) -> DataFrame:
+    rows = windows.holdout_split(inputs.labelled(spark, src))
+    return rows.groupBy("is_validation").agg(F.count("*").alias("n"), F.count_if("is_fraud").alias("n_fraud"))
+
+
+def class_weights(spark: SparkSession, src: str) -> DataFrame:
+    """Legitimate rows per fraud, its square root, and the number of clients behind the rows."""
+    rows = inputs.labelled(spark, src)
+    ratio = F.try_divide(F.count_if(~F.col("is_fraud")).cast("double"), F.count_if("is_fraud"))
+    return rows.agg(
+        F.round(ratio, 6).alias("ratio"),
+        F.round(F.sqrt(ratio), 6).alias("root"),
+        F.countDistinct("client_id").alias("n_clients"),
+    )
+
+
+def production_models(spark: SparkSession, src: str) -> DataFrame:
+    """Run log with one model version per channel and day; the highest version is in production."""
+    day = F.to_date("event_ts")
+    runs = (
+        inputs.staging(spark, src)
+        .groupBy(F.col("channel").alias("name"), F.dayofmonth(day).alias("version"))
+        .agg(F.count_if("is_fraud").cast("double").alias("value"))
+        .withColumn("path", F.concat_ws("/", "name", F.col("version").cast("string")))
+    )
+    return logs.production_model(runs).withColumn("version", F.col("version").cast("bigint"))
+
+
+def saved_model(spark: SparkSession, src: str) -> DataFrame:
+    """Evaluation of the logistic model after it was stored with its threshold and loaded again."""
+    path = run_dir(spark, "model")
+    logs.save_model(spark, models.logistic(spark, src), 0.4, path)
+    model, threshold = logs.load_model(spark, path)
+    return evaluate.evaluate(learn.apply_model(models.split(spark, src).test, model), threshold)
+
+
+def error_histogram(spark: SparkSession, src: str) -> DataFrame:
+    data = models.split(spark, src)
+    errors = learn.reconstruction_error(data.test, models.reconstruction(spark, src))
+    return profile.histogram(errors, F.log10(F.col("error") + 1e-6), "is_fraud", 60)
+
+
 REGISTERED: list[Query] = [
+    staged_once, processed_rows, enforced_rows, column_defaults, bulk_text, channel_reload, random_clients,
+    resampled_rows, holdout, class_weights, production_models, saved_model, error_histogram,
+    metric_summary, standardised_features, one_hot, risk_bands, validate_requests, top_contributions_linear,
+    drift_numeric, drift_categorical, drift_verdict, retention_check, audit_report,
+    logreg_eval, smote, smote_logreg_eval, gbt_eval, gbt_importance, tree_shap, pca_anomaly,
+    pca_detection_by_type, sequence_classifier, score_batch,
     validate_events, stream_ingest, stream_dead_letters, stream_totals, run_log_state, online_counters,
     enrich_online, stream_dedup, stream_sessions,
     load_facts, rejects, pending, mart_kpis, mart_ingestion, mart_hourly, mart_fraud_type, integrity_anti,

@@ -67,10 +67,9 @@ def audit_totals(results: DataFrame) -> DataFrame:
     return results.agg(F.count_if(F.col("status") == "OK").alias("n_ok"), F.count("*").alias("n_total"))
 
 
-def save_model(model: PipelineModel, threshold: float, path: str) -> None:
+def save_model(spark: SparkSession, model: PipelineModel, threshold: float, path: str) -> None:
     """The fitted pipeline, and beside it the decision threshold."""
     model.write().overwrite().save(f"{path}/pipeline")
-    spark = SparkSession.getActiveSession()
     spark.range(1).select(F.lit(float(threshold)).alias("threshold")).write.mode("overwrite").parquet(f"{path}/threshold")
 
 

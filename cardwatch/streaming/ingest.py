@@ -185,9 +185,23 @@ def retry_pending(spark: SparkSession, dims: Dims, house: Warehouse) -> DataFram
     return load_facts(house.staged(spark), dims, house.facts(spark), "stream").facts
 
 
-def drop_seen(events: DataFrame, memory: str = DEDUP_MEMORY, ts: str = "event_ts", key: str = "transaction_bk") -> DataFrame:
-    """Streaming de-duplication that remembers a key for the given time."""
-    return events.withWatermark(ts, memory).dropDuplicatesWithinWatermark([key])
+def drop_seen(
+    events: DataFrame,
+    memory: str = DEDUP_MEMORY,
+    ts: str = "event_ts",
+    key: str = "transaction_bk",
+    salts: int = 8,
+) -> DataFrame:
+    """Streaming de-duplication that remembers a key for the given time.
+
+    Copies are first dropped per key and source partition, so that a key with very many copies is not one
+    task's work, and then per key.
+    """
+    watched = events.withWatermark(ts, memory)
+    if salts > 1:
+        salted = watched.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+        watched = salted.dropDuplicatesWithinWatermark([key, "_salt"]).drop("_salt")
+    return watched.dropDuplicatesWithinWatermark([key])
 
 
 def closed_sessions(
@@ -195,9 +209,9 @@ def closed_sessions(
 ) -> DataFrame:
     """Count and amount of each finished activity session per client, as a stream.
 
-    With `spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition` set, the events of a
-    busy client are merged before the shuffle.
+    Events are merged into sessions before the shuffle, so a busy client sends few rows per task.
     """
+    events.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     return (
         events.withWatermark(ts, delay)
         .groupBy("client_id", F.session_window(ts, f"{gap_s} seconds").alias("w"))
