@@ -93,7 +93,7 @@ def tree_contributions(df: DataFrame, model: PipelineModel, keep: Sequence[str]
     def explain_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         base, leaves = tables.value
         for pdf in batches:
-            x = pdf[inputs].to_numpy(dtype="float64")
+            x = pdf[list(inputs)].to_numpy(dtype="float64")
             total = np.zeros_like(x)
             for features, lows, highs, table in leaves:
                 pattern = np.zeros(len(x), dtype=np.int64)
@@ -104,7 +104,7 @@ def tree_contributions(df: DataFrame, model: PipelineModel, keep: Sequence[str]
 
     fields = [f for f in df.select(*kept).schema.fields]
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    return df.select(*kept, *inputs).mapInPandas(
+    return df.select(*kept, *[c for c in inputs if c not in kept]).mapInPandas(
         explain_batches, f"{ddl}, base double, contributions array<double>"
     )
 
