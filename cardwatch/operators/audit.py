@@ -28,7 +28,7 @@ def metastore_columns(spark: SparkSession, database: str) -> DataFrame:
     rows = [
         (t.name, c.name, c.dataType)
         for t in spark.catalog.listTables(database)
-        for c in spark.catalog.listColumns(f"{database}.{t.name}")
+        for c in spark.catalog.listColumns(t.name if t.isTemporary else f"{database}.{t.name}")
     ]
     return spark.createDataFrame(rows, "table string, column string, type string")
 

@@ -74,7 +74,9 @@ def judge_events(raw: DataFrame, fields: Sequence[Field] = EVENT_FIELDS) -> Data
     for failed, name in [*checks, *value_checks]:
         reason = reason.when(failed, F.lit(name))
     judged = parsed.withColumns(typed).withColumn("reason", reason)
-    return judged.select(F.col("value").alias("raw"), "reason", *typed)
+    # Filters on the reason must not move below this point: they would parse the text once per use.
+    whole = F.struct(F.col("value").alias("raw"), "reason", *typed)
+    return judged.select(F.explode(F.array(whole)).alias("_judged")).select("_judged.*")
 
 
 def valid_events(judged: DataFrame, fields: Sequence[Field] = EVENT_FIELDS) -> DataFrame:
