@@ -42,6 +42,7 @@ def _fit(
     rows = train.where(F.col("is_fraud").isNotNull()).select(*inputs, *extra, "is_fraud", label).persist()
     try:
         counts = Counts(*rows.agg(F.count("*"), F.count_if("is_fraud")).first())
+        rows = _spread(rows)
         weighted = rows if fraud_weight is None else with_weight(rows, fraud_weight(counts))
         vector = VectorAssembler(inputCols=list(inputs), outputCol="features")
         return Pipeline(stages=[vector, classifier(counts)]).fit(weighted)
@@ -49,9 +50,20 @@ def _fit(
         rows.unpersist()
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """Stored rows in at least as many partitions as there are cores, since every iteration reads them."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() >= cores:
+        return rows
+    more = rows.repartition(cores).persist()
+    more.count()
+    rows.unpersist()
+    return more
+
+
 def _logistic(counts: Counts) -> LogisticRegression:
     """Unit L2 penalty on the summed loss, which is 1/n on Spark's mean loss."""
-    return LogisticRegression(maxIter=1000, regParam=1.0 / counts.n, standardization=False)
+    return LogisticRegression(maxIter=1000, tol=1e-4, regParam=1.0 / counts.n, standardization=False)
 
 
 def fit_logistic(train: DataFrame, inputs: Sequence[str]) -> PipelineModel:

@@ -34,12 +34,17 @@ class Prep:
         return [f"x_{n}" for n in (*self.scale, *self.binary, *hot)]
 
 
-def known_values(df: DataFrame, column: str) -> tuple[str, ...]:
-    """Distinct values of a categorical column; too many of them mean that it is none."""
-    found = df.select(column).where(F.col(column).isNotNull()).distinct().limit(MAX_CATEGORIES + 1).collect()
-    if len(found) > MAX_CATEGORIES:
-        raise ValueError(f"{column} has more than {MAX_CATEGORIES} values")
-    return tuple(sorted(r[0] for r in found))
+def known_values(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[str, ...]]:
+    """Sorted distinct values of the categorical columns, in one pass; too many mean that one is none."""
+    if not columns:
+        return {}
+    pairs = ", ".join(f"'{c}', CAST(`{c}` AS STRING)" for c in columns)
+    melted = df.selectExpr(f"stack({len(columns)}, {pairs}) AS (feature, value)").where("value IS NOT NULL")
+    limit = MAX_CATEGORIES * len(columns)
+    found = melted.distinct().limit(limit + 1).collect()
+    if len(found) > limit:
+        raise ValueError(f"more than {limit} values in {', '.join(columns)}")
+    return {c: tuple(sorted(r["value"] for r in found if r["feature"] == c)) for c in columns}
 
 
 def fit_prep(
@@ -55,7 +60,7 @@ def fit_prep(
         *[F.stddev_pop(c).cast("double").alias(f"s_{c}") for c in numeric],
     ).first()
     scale = {c: (row[f"m_{c}"], row[f"s_{c}"]) for c in numeric}
-    return Prep(scale, tuple(binary), {c: known_values(train, c) for c in categorical})
+    return Prep(scale, tuple(binary), known_values(train, categorical))
 
 
 def apply_prep(df: DataFrame, prep: Prep) -> DataFrame:

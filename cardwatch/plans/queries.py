@@ -549,10 +549,10 @@ def score_batch(spark: SparkSession, src: str) -> DataFrame:
     requests = data.test.withColumnsRenamed({"split": "_split"})
     accepted, _ = score.validate_requests(requests, data.prep.categories)
     model = models.boosted(spark, src)
-    explained = explain.top_factors(explain.tree_contributions(accepted, model), data.prep.columns)
-    decided = score.decide(learn.apply_model(accepted, model), tuned=0.8)
-    joined = decided.join(explained.select("transaction_bk", "top_features"), "transaction_bk")
-    enriched = score.enrich_online(joined, inputs.ingested(spark, src).counters(spark))
+    scored = learn.apply_model(accepted, model)
+    explained = explain.tree_contributions(scored, model, keep=("transaction_bk", "client_id", "score"))
+    decided = score.decide(explain.top_factors(explained, data.prep.columns), tuned=0.8)
+    enriched = score.enrich_online(decided, inputs.ingested(spark, src).counters(spark))
     return enriched.select(
         "transaction_bk", "score", "fraud_at_default", "fraud_at_tuned", "risk_level",
         F.col("top_features").cast("string").alias("top_features"),
