@@ -19,6 +19,9 @@ from cardwatch.session import shared_dir
 MAX_GROUP_ROWS = 5_000_000
 # A frame is sent to every executor only when its row count is known to be at most this.
 BROADCAST_ROWS = 500_000
+# Quantiles of at most this many rows are found without a sketch; accuracy of the sketch beyond that.
+SORT_ROWS = 1_000_000
+SKETCH_ACCURACY = 10_000
 
 
 def broadcast_if_small(frame: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
@@ -33,7 +36,7 @@ def running_totals(
     by: Sequence[str] = (),
     next_of: str | None = None,
 ) -> DataFrame:
-    """Running sums `run_<c>` of the columns `totals` in the given order, inside each `by` group.
+    """Running sums `run_<c>` and whole sums `all_<c>` of the columns `totals` in the given order, per `by` group.
 
     The frame is range-partitioned on (by, order), each range is summed on its own, and the sums of
     the ranges before it are added: neither a long group nor the whole frame meets in one task.
@@ -56,6 +59,7 @@ def running_totals(
         *by,
         "_range",
         *[F.sum(f"_sum_{c}").over(earlier).alias(f"_before_{c}") for c in totals],
+        *[F.sum(f"_sum_{c}").over(Window.partitionBy(*by)).alias(f"all_{c}") for c in totals],
         *([F.lead("_first").over(across).alias("_next_first")] if next_of else []),
     )
     inside = Window.partitionBy(*by, "_range").orderBy(*order)
@@ -70,35 +74,61 @@ def running_totals(
         result = result.withColumn(f"next_{next_of}", F.coalesce("_local_next", "_next_first"))
     for c in totals:
         result = result.withColumn(f"run_{c}", F.col(f"_local_{c}") + F.coalesce(f"_before_{c}", F.lit(0)))
-    keep = [*df.columns, *[f"run_{c}" for c in totals], *([f"next_{next_of}"] if next_of else [])]
+    sums_out = [f"{kind}_{c}" for c in totals for kind in ("run", "all")]
+    keep = [*df.columns, *sums_out, *([f"next_{next_of}"] if next_of else [])]
     return result.select(*keep)
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = ()
+    df: DataFrame,
+    value: str,
+    probs: Sequence[float],
+    by: Sequence[str] = (),
+    sort_rows: int = SORT_ROWS,
 ) -> DataFrame:
     """Linearly interpolated quantiles `q_<i>`, one row per `by` group (one row when `by` is empty).
 
-    Works on counts per distinct value, so repeated values cost nothing and no task or driver
-    receives all values of a group, which the built-in exact percentile would need.
+    A sketch first brackets each quantile; rows outside the brackets are only counted, and the few rows
+    inside are added up per distinct value and put in order. Groups of up to `sort_rows` rows skip the
+    sketch. No task or driver receives all values of a group, which the built-in exact percentile needs.
     """
     keys = list(by) or ["_all"]
-    source = df if by else df.withColumn("_all", F.lit(0))
-    counts = (
-        source.where(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).cast("double").alias("_v"))
-        .agg(F.count("*").alias("_n"))
+    source = (df if by else df.withColumn("_all", F.lit(0))).where(F.col(value).isNotNull())
+    source = source.select(*keys, F.col(value).cast("double").alias("_v"))
+    margin = 3.0 / SKETCH_ACCURACY
+    ends = [min(max(p + d, 0.0), 1.0) for p in probs for d in (-margin, margin)]
+    sketch = source.groupBy(*keys).agg(
+        F.count("*").alias("_total"), F.percentile_approx("_v", ends, SKETCH_ACCURACY).alias("_ends")
+    )
+    small = F.col("_total") <= sort_rows
+    bounds = []
+    for i in range(len(probs)):
+        bounds.append(F.when(small, float("-inf")).otherwise(F.col("_ends")[2 * i]).alias(f"_from_{i}"))
+        # NaN sorts above infinity, so it is the open upper end.
+        bounds.append(F.when(small, float("nan")).otherwise(F.col("_ends")[2 * i + 1]).alias(f"_to_{i}"))
+    shared_dir(df.sparkSession)
+    brackets = sketch.select(*keys, "_total", *bounds).checkpoint()  # one row per group
+    n_groups = brackets.count()
+    placed = source.join(broadcast_if_small(brackets, n_groups), keys)
+    inside = F.lit(False)
+    for i in range(len(probs)):
+        inside = inside | F.col("_v").between(F.col(f"_from_{i}"), F.col(f"_to_{i}"))
+    skipped = placed.where(~inside).groupBy(*keys).agg(
+        *[F.count_if(F.col("_v") < F.col(f"_from_{i}")).alias(f"_skip_{i}") for i in range(len(probs))]
     )
+    counts = placed.where(inside).groupBy(*keys, "_v").agg(F.count("*").alias("_n"))
     ranked = running_totals(counts, ["_v"], ["_n"], by=keys)
-    sizes = ranked.groupBy(*keys).agg(F.sum("_n").alias("_total"))
-    placed = ranked.join(sizes, keys)
+    groups = brackets.join(skipped, keys, "left")
+    ranked = ranked.join(broadcast_if_small(groups, n_groups), keys)
     picks = []
     for i, p in enumerate(probs):
         at = (F.col("_total") - 1) * F.lit(float(p))
-        picks.append(F.min(F.when(F.col("run__n") > F.floor(at), F.col("_v"))).alias(f"_lo_{i}"))
-        picks.append(F.min(F.when(F.col("run__n") > F.ceil(at), F.col("_v"))).alias(f"_hi_{i}"))
+        upto = F.col("run__n") + F.coalesce(f"_skip_{i}", F.lit(0))
+        mine = F.col("_v") >= F.col(f"_from_{i}")
+        picks.append(F.min(F.when(mine & (upto > F.floor(at)), F.col("_v"))).alias(f"_lo_{i}"))
+        picks.append(F.min(F.when(mine & (upto > F.ceil(at)), F.col("_v"))).alias(f"_hi_{i}"))
         picks.append(F.max(at - F.floor(at)).alias(f"_w_{i}"))
-    row = placed.groupBy(*keys).agg(*picks)
+    row = ranked.groupBy(*keys).agg(*picks)
     return row.select(
         *by,
         *[

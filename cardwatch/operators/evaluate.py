@@ -20,37 +20,32 @@ ANNUAL_FACTOR = 12 / 2.5
 
 
 def score_steps(scores: DataFrame, score: str = "score", label: str = "is_fraud") -> DataFrame:
-    """Positives and negatives per distinct score with their running totals from the top score down."""
+    """Positives and negatives per distinct score, their totals from the top score down, and overall (p, n)."""
     counts = (
         scores.where(F.col(label).isNotNull())
         .groupBy(F.col(score).cast("double").alias("score"))
         .agg(F.count_if(F.col(label)).alias("pos"), F.count_if(~F.col(label)).alias("neg"))
     )
     return running_totals(counts, [F.desc("score")], ["pos", "neg"]).withColumnsRenamed(
-        {"run_pos": "tp", "run_neg": "fp"}
+        {"run_pos": "tp", "run_neg": "fp", "all_pos": "p", "all_neg": "n"}
     )
 
 
-def _with_sums(steps: DataFrame) -> DataFrame:
-    sums = steps.agg(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n")).alias("s")).scalar()
-    return steps.withColumns({"_p": sums["p"], "_q": sums["n"]})
-
-
 def roc_points(scores: DataFrame, score: str = "score") -> DataFrame:
     """False and true positive rate at every distinct score."""
-    return _with_sums(score_steps(scores, score)).select(
+    return score_steps(scores, score).select(
         "score",
-        F.round(ratio(F.col("fp"), F.col("_q")), 6).alias("fpr"),
-        F.round(ratio(F.col("tp"), F.col("_p")), 6).alias("tpr"),
+        F.round(ratio(F.col("fp"), F.col("n")), 6).alias("fpr"),
+        F.round(ratio(F.col("tp"), F.col("p")), 6).alias("tpr"),
     )
 
 
 def pr_points(scores: DataFrame, score: str = "score") -> DataFrame:
     """Precision and recall at every distinct score."""
-    return _with_sums(score_steps(scores, score)).select(
+    return score_steps(scores, score).select(
         "score",
         F.round(ratio(F.col("tp"), F.col("tp") + F.col("fp")), 6).alias("precision"),
-        F.round(ratio(F.col("tp"), F.col("_p")), 6).alias("recall"),
+        F.round(ratio(F.col("tp"), F.col("p")), 6).alias("recall"),
     )
 
 

@@ -110,7 +110,7 @@ def boxplot(df: DataFrame, column: str) -> DataFrame:
     rows = _long(df, [column])
     box = exact_quantiles(rows, "x", [0.25, 0.5, 0.75], by=["is_fraud"])
     reach = F.lit(1.5) * (F.col("q_2") - F.col("q_0"))
-    fenced = rows.join(box, "is_fraud")
+    fenced = rows.join(F.broadcast(box), "is_fraud")  # one row per class
     inside = F.col("x").between(F.col("q_0") - reach, F.col("q_2") + reach)
     return fenced.groupBy("is_fraud").agg(
         F.min(F.when(inside, F.col("x"))).alias("whisker_low"),
@@ -128,7 +128,7 @@ def histogram(df: DataFrame, value: Column, by: str, bins: int = 50) -> DataFram
         F.min("x").alias("lo"), F.max("x").alias("hi"), F.count("x").alias("total")
     )
     width = F.when(F.col("hi") > F.col("lo"), (F.col("hi") - F.col("lo")) / F.lit(float(bins))).otherwise(1.0)
-    placed = rows.join(span.withColumn("width", width), by)
+    placed = rows.join(F.broadcast(span.withColumn("width", width)), by)  # one row per class
     number = F.least(F.floor((F.col("x") - F.col("lo")) / F.col("width")), F.lit(bins - 1)).cast("int")
     counts = placed.groupBy(by, number.alias("bin")).agg(
         F.count("x").alias("n"),

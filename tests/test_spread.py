@@ -48,6 +48,17 @@ def test_exact_quantiles_interpolate(scattered):
         assert np.allclose(r[1:], np.quantile(mine, probs))
 
 
+def test_exact_quantiles_of_bracketed_rows(scattered):
+    rng = np.random.default_rng(6)
+    values = np.concatenate([rng.exponential(size=60_000), np.repeat(0.7, 30_000)])
+    df = scattered.createDataFrame([(float(v), i % 3) for i, v in enumerate(values)], "v double, c int").persist()
+    probs = [0.001, 0.25, 0.5, 0.62, 0.99, 1.0]
+    for limit in (10, 40_000, 10**6):
+        assert np.allclose(exact_quantiles(df, "v", probs, sort_rows=limit).first(), np.quantile(values, probs))
+    for r in exact_quantiles(df, "v", probs, by=["c"], sort_rows=10).collect():
+        assert np.allclose(r[1:], np.quantile(values[np.arange(len(values)) % 3 == r["c"]], probs))
+
+
 def hot_rows(spark, n=900, seed=5):
     """A third of the rows belongs to one client, with bursts, ties and pauses."""
     rng = random.Random(seed)
