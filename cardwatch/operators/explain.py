@@ -12,7 +12,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardwatch.operators.score import top_of
+from cardwatch.operators.score import linear_contributions, top_of
 from cardwatch.session import run_dir
 
 
@@ -109,6 +109,20 @@ def tree_contributions(df: DataFrame, model: PipelineModel, keep: Sequence[str]
     )
 
 
+def logistic_contributions(
+    df: DataFrame, model: PipelineModel, background: DataFrame, keep: Sequence[str] = ("transaction_bk",)
+) -> DataFrame:
+    """The same for a logistic model: coefficient times distance from the background mean, all in columns."""
+    inputs, fitted = model.stages[0].getInputCols(), model.stages[-1]
+    weights = dict(zip(inputs, map(float, fitted.coefficients.toArray())))
+    means = background.agg(*[F.avg(c).alias(c) for c in inputs]).first().asDict()
+    base = float(fitted.intercept) + sum(weights[c] * means[c] for c in inputs)
+    parts = linear_contributions(weights, means)
+    return df.select(
+        *keep, F.lit(base).alias("base"), F.array(*[parts[c] for c in inputs]).alias("contributions")
+    )
+
+
 def top_factors(explained: DataFrame, inputs: Sequence[str], k: int = 5) -> DataFrame:
     """Adds `top_features`, the k largest contributions by absolute value."""
     names = F.array(*[F.lit(n.removeprefix("x_")) for n in inputs])

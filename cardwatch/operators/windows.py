@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from cardwatch.functions.spread import (
     MAX_GROUP_ROWS,
+    Chunked,
     exact_quantiles,
     running_totals,
     time_chunks,
@@ -57,9 +58,16 @@ def session_counters(
     bk: str = "transaction_bk",
     amount: str = "amount",
     max_rows: int = MAX_GROUP_ROWS,
+    n_rows: int | None = None,
 ) -> DataFrame:
-    """Running count `n_session` and sum `amount_session` that restart after `gap_s` seconds of silence."""
-    chunked = time_chunks(df, key, ts, max_rows)
+    """Running count `n_session` and sum `amount_session` that restart after `gap_s` seconds of silence.
+
+    `n_rows` states the size of the frame when it is known: up to `max_rows` no client can exceed the limit.
+    """
+    if n_rows is not None and n_rows <= max_rows:
+        chunked = Chunked(df.withColumn("_chunk", F.lit(0)), False)
+    else:
+        chunked = time_chunks(df, key, ts, max_rows)
     w = Window.partitionBy(key, "_chunk").orderBy(ts, bk)
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
     micros = F.unix_micros(ts)

@@ -518,6 +518,16 @@ def tree_shap(spark: SparkSession, src: str) -> DataFrame:
     return explain.contribution_summary(explained, data.prep.columns)
 
 
+def logistic_explanation(spark: SparkSession, src: str) -> DataFrame:
+    """Largest factors of every test decision of the fitted logistic model."""
+    data = models.split(spark, src)
+    explained = explain.logistic_contributions(data.test, models.logistic(spark, src), data.train)
+    top = explain.top_factors(explained, data.prep.columns)
+    return top.select("transaction_bk", F.round("base", 6).alias("base"), F.explode("top_features").alias("f")).select(
+        "transaction_bk", "base", "f.feature", "f.impact"
+    )
+
+
 def pca_anomaly(spark: SparkSession, src: str) -> DataFrame:
     data = models.split(spark, src)
     model = models.reconstruction(spark, src)
@@ -680,7 +690,8 @@ REGISTERED: list[Query] = [
     resampled_rows, holdout, class_weights, production_models, saved_model, error_histogram,
     metric_summary, standardised_features, one_hot, risk_bands, validate_requests, top_contributions_linear,
     drift_numeric, drift_categorical, drift_verdict, retention_check, audit_report,
-    logreg_eval, smote, smote_logreg_eval, gbt_eval, gbt_importance, tree_shap, pca_anomaly,
+    logreg_eval, smote, smote_logreg_eval, gbt_eval, gbt_importance, tree_shap,
+    logistic_explanation, pca_anomaly,
     pca_detection_by_type, sequence_classifier, score_batch,
     validate_events, stream_ingest, stream_dead_letters, stream_totals, run_log_state, online_counters,
     enrich_online, stream_dedup, stream_sessions,

@@ -63,6 +63,11 @@ def summary(sections: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def export_json(df: DataFrame, path: str) -> None:
+    """A summary or report as JSON lines."""
+    df.write.mode("overwrite").json(path)
+
+
 def audit_totals(results: DataFrame) -> DataFrame:
     return results.agg(F.count_if(F.col("status") == "OK").alias("n_ok"), F.count("*").alias("n_total"))
 

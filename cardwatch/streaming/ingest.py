@@ -11,9 +11,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from cardwatch import schema
-from cardwatch.functions.spread import MAX_GROUP_ROWS
 from cardwatch.operators.dimensions import Dims
-from cardwatch.operators.load import FACT_COLUMNS, load_facts, stage_insert
+from cardwatch.operators.load import FACT_COLUMNS, load_facts, stage_insert, unseen
 from cardwatch.operators.windows import session_counters
 from cardwatch.sources.logs import RUN_LOG, run_log_event
 from cardwatch.sources.tables import read_or_empty
@@ -91,13 +90,15 @@ def _put(df: DataFrame, path: str, batch_id: int, partitions: tuple[str, ...] =
     )
 
 
-def next_counters(facts: DataFrame, before: DataFrame, gap_s: int = COUNTER_GAP_S) -> DataFrame:
+def next_counters(
+    facts: DataFrame, before: DataFrame, gap_s: int = COUNTER_GAP_S, n_rows: int | None = None
+) -> DataFrame:
     """Counters of the batch's clients after the batch, given the latest counters before it.
 
     A client whose rows never paused for `gap_s` seconds continues the count it had.
     """
     rows = facts.select("transaction_bk", "client_id", "event_ts", F.col("amount").cast("decimal(12,2)").alias("amount"))
-    counted = session_counters(rows, gap_s, max_rows=MAX_GROUP_ROWS)
+    counted = session_counters(rows, gap_s, n_rows=n_rows)
     now = counted.groupBy("client_id").agg(
         F.min("event_ts").alias("_first"),
         F.max("event_ts").alias("last_ts"),
@@ -121,8 +122,13 @@ def next_counters(facts: DataFrame, before: DataFrame, gap_s: int = COUNTER_GAP_
     )
 
 
-def ingest_batch(raw: DataFrame, batch_id: int, dims: Dims, house: Warehouse) -> None:
-    """One micro-batch. The offsets are committed only when it returns, so a failed batch runs again."""
+def ingest_batch(
+    raw: DataFrame, batch_id: int, dims: Dims, house: Warehouse, known: DataFrame | None = None
+) -> None:
+    """One micro-batch. The offsets are committed only when it returns, so a failed batch runs again.
+
+    `known` holds rows that other loads have stored; their business keys count as duplicates too.
+    """
     spark = raw.sparkSession
     began = time.monotonic()
     run = {"run_id": f"stream-{batch_id}", "source": "stream", "mode": "stream"}
@@ -133,14 +139,16 @@ def ingest_batch(raw: DataFrame, batch_id: int, dims: Dims, house: Warehouse) ->
         stored = house.staged_before(spark, batch_id)
         valid = valid_events(judged).withColumn("ingested_at", F.current_timestamp())
         fresh = stage_insert(valid, stored, ("event_ts", "amount", "channel"))
+        if known is not None:
+            fresh = unseen(fresh, known)
         _put(fresh, house.path("staging"), batch_id)
         mine = house.staged(spark).where(F.col("batch_id") == batch_id)
         facts = load_facts(mine, dims, mode="stream").facts.select(*FACT_COLUMNS)
         _put(facts, house.path("facts"), batch_id, ("ingestion_mode", "batch_id"))
         states = read_or_empty(spark, house.path("counters"), STATE).where(F.col("batch_id") < batch_id)
-        _put(next_counters(mine, states), house.path("counters"), batch_id)
-        sizes = judged.agg(F.count("*").alias("n"), F.count("reason").alias("bad")).first()
         staged = mine.count()
+        _put(next_counters(mine, states, n_rows=staged), house.path("counters"), batch_id)
+        sizes = judged.agg(F.count("*").alias("n"), F.count("reason").alias("bad")).first()
         done = run_log_event(
             spark,
             **run,
@@ -160,11 +168,16 @@ def ingest_batch(raw: DataFrame, batch_id: int, dims: Dims, house: Warehouse) ->
 
 
 def start_ingestion(
-    raw: DataFrame, dims: Dims, house: Warehouse, checkpoint: str, available_now: bool = False
+    raw: DataFrame,
+    dims: Dims,
+    house: Warehouse,
+    checkpoint: str,
+    available_now: bool = False,
+    known: DataFrame | None = None,
 ) -> StreamingQuery:
     """Run the ingestion on a raw event stream; `available_now` drains what is there and ends."""
     writer = raw.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        lambda df, batch_id: ingest_batch(df, batch_id, dims, house)
+        lambda df, batch_id: ingest_batch(df, batch_id, dims, house, known)
     )
     if available_now:
         return writer.trigger(availableNow=True).start()

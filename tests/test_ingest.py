@@ -141,6 +141,23 @@ def test_error_in_a_batch_is_logged_and_raised(spark, small_dims):
     assert [r["status"] for r in house.run_log(spark).collect()] == ["OK"] and house.facts(spark).count() == 1
 
 
+def test_keys_of_other_loads_are_duplicates(spark, small_dims):
+    house = ingest.Warehouse(run_dir(spark, "t"))
+    raw = spark.createDataFrame([(json.dumps(GOOD),), (variant(transaction_bk="TX-9"),)], "value string")
+    known = spark.createDataFrame([(GOOD["transaction_bk"],)], "transaction_bk string")
+    ingest.ingest_batch(raw, 0, small_dims, house, known)
+    assert [r["transaction_bk"] for r in house.facts(spark).collect()] == ["TX-9"]
+    assert tuple(ingest.totals(house.run_log(spark)).first()) == (1, 0, 1)
+
+
+def test_summary_export(spark):
+    one = spark.createDataFrame([(1, 2.5)], "a int, b double")
+    path = run_dir(spark, "t")
+    logs.export_json(logs.summary({"x": one, "y": one.select("a")}), path)
+    got = {(r["section"], r["key"], r["value"]) for r in spark.read.json(path).collect()}
+    assert got == {("x", "a", "1"), ("x", "b", "2.5"), ("y", "a", "1")}
+
+
 def test_loading_twice_inserts_nothing(spark, src):
     staging, dims = inputs.staging(spark, src), inputs.dims(spark, src)
     first = load.load_facts(staging, dims, mode="batch").facts.persist()

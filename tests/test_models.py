@@ -79,6 +79,26 @@ def test_contributions_add_up_to_log_odds(spark, small_trees):
     assert worst < 1e-9
 
 
+def test_logistic_contributions_add_up(spark, small_trees):
+    rows, _ = small_trees
+    model = learn.fit_logistic(rows, ["x_a", "x_b", "x_c"])
+    explained = explain.logistic_contributions(rows, model, rows)
+    scored = learn.apply_model(rows, model).join(explained, "transaction_bk")
+    total = F.col("base") + F.aggregate("contributions", F.lit(0.0), lambda a, x: a + x)
+    gap = scored.select(F.max(F.abs(total - F.log(F.col("score") / (1 - F.col("score")))))).first()[0]
+    means = explained.select(*[F.avg(F.col("contributions")[i]) for i in range(3)]).first()
+    assert gap < 1e-6 and max(map(abs, means)) < 1e-9
+
+
+def test_validation_rows_may_stop_boosting(spark, small_trees):
+    rows, _ = small_trees
+    marked = windows.holdout_split(rows, 0.2)
+    share = marked.where("is_validation").count() / rows.count()
+    assert 0.15 < share < 0.25
+    model = learn.fit_boosted(marked, ["x_a", "x_b", "x_c"], trees=3, depth=2, validation="is_validation")
+    assert 1 <= len(model.stages[-1].treeWeights) <= 3
+
+
 def test_contributions_are_shapley_values(spark, small_trees):
     rows, model = small_trees
     trees = explain._tree_nodes(model, spark)
