@@ -7,14 +7,39 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwatch.llm import crf_language, heap_bpe, simhash_trie
+from cardwatch.llm import (
+    crf_language,
+    decontaminate,
+    heap_bpe,
+    pfair_mix,
+    quality_mcd,
+    sentence_dedup,
+    simhash_trie,
+)
 from cardwatch.llm.common import read_table
 
 
+def op1_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sentence_dedup.dedup(docs)
+
+
+def op2_quality_mcd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_mcd.verdicts(read_table(spark, sf_dir, "documents"))
+
+
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op4_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_trie.groups(read_table(spark, sf_dir, "documents"))
 
 
+def op6_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pfair_mix.mix(read_table(spark, sf_dir, "documents"), ["doc_id", "source"])
+
+
 def op9_heap_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return heap_bpe.token_counts(read_table(spark, sf_dir, "documents"))
 
@@ -31,5 +56,38 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
 
 
+#: The mixture of pfair_mix with its default weights. The first recursive step takes the slots of a period in turn.
+PFAIR_SQL = f"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, source, coalesce('=' || source, '') AS mix_source, coalesce(length(text), 0)::BIGINT AS chars,
+           md5(coalesce(doc_id::VARCHAR, '')) || '-' || md5(coalesce(text, '')) AS order_key
+    FROM documents),
+sized AS (SELECT mix_source, sum(chars) AS chars FROM d GROUP BY mix_source),
+weights AS (
+    SELECT mix_source, row_number() OVER (ORDER BY mix_source) AS i,
+           greatest(1, floor({pfair_mix.SLOTS} * sqrt(CASE WHEN (SELECT sum(chars) FROM sized) > 0
+               THEN chars::DOUBLE / (SELECT sum(chars) FROM sized)::DOUBLE ELSE 0 END)))::BIGINT AS n
+    FROM sized),
+total AS (SELECT sum(n)::BIGINT AS period, list(n ORDER BY i) AS w FROM weights),
+picks AS (
+    SELECT -1::BIGINT AS slot, NULL::BIGINT AS i, NULL::BIGINT AS k, list_transform(w, lambda x: 0::BIGINT) AS done FROM total
+    UNION ALL
+    SELECT slot + 1, p.i, p.k, list_transform(done, lambda x, j: CASE WHEN j = p.i THEN x + 1 ELSE x END)
+    FROM (
+        SELECT slot, done, list_min(list_transform(
+            list_filter(list_transform(w, lambda x, j: {{'n': x, 'i': j::BIGINT, 'k': done[j]}}),
+                        lambda x: x.k < x.n AND (x.k * period) // x.n <= slot + 1),
+            lambda x: {{'deadline': ((x.k + 1) * period + x.n - 1) // x.n, 'i': x.i, 'k': x.k}})) AS p
+        FROM picks, total WHERE slot + 1 < period)),
+placed AS (
+    SELECT *, (sum(chars) OVER (PARTITION BY mix_source ORDER BY order_key, doc_id ROWS UNBOUNDED PRECEDING) - chars)::BIGINT AS pos
+    FROM d)
+SELECT doc_id, source, chars, pos // {pfair_mix.BLOCK_CHARS} AS block,
+       ((pos // {pfair_mix.BLOCK_CHARS}) // n) * period + slot AS slot, pos % {pfair_mix.BLOCK_CHARS} AS block_offset, order_key
+FROM placed JOIN weights USING (mix_source), total
+JOIN picks ON picks.i = weights.i AND picks.k = (pos // {pfair_mix.BLOCK_CHARS}) % n
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_pfair_mix": PFAIR_SQL}
