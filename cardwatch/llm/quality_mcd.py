@@ -90,7 +90,8 @@ def statistics(docs: DataFrame) -> DataFrame:
         "n_words",
         F.expr("""
             if(sorted IS NULL, cast(array() AS array<int>), sort_array(filter(
-                transform(sorted, (x, j) -> if(get(sorted.h, j - 1) <=> x.h OR get(sorted.h, j + 1) <=> x.h, x.i, -1)),
+                transform(array(struct(sorted.h AS h, sorted.i AS i)), s -> transform(s.i, (x, j) ->
+                    if(get(s.h, j - 1) <=> get(s.h, j) OR get(s.h, j + 1) <=> get(s.h, j), x, -1)))[0],
                 i -> i >= 0)))
         """).alias("places"),
     )

@@ -11,10 +11,12 @@ from cardwatch.llm import (
     crf_language,
     decontaminate,
     heap_bpe,
+    lattice_lm,
     pfair_mix,
     quality_mcd,
     sentence_dedup,
     simhash_trie,
+    suffix_groups,
 )
 from cardwatch.llm.common import read_table
 
@@ -36,10 +38,18 @@ def op4_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_trie.groups(read_table(spark, sf_dir, "documents"))
 
 
+def op5_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_lm.score(read_table(spark, sf_dir, "documents"))
+
+
 def op6_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pfair_mix.mix(read_table(spark, sf_dir, "documents"), ["doc_id", "source"])
 
 
+def op8_suffix_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_groups.dedup(read_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op9_heap_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return heap_bpe.token_counts(read_table(spark, sf_dir, "documents"))
 
