@@ -28,12 +28,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
+def row_key(id_col: str = "doc_id", text_col: str = "text") -> tuple[Column, Column]:
     """Key of a document that is defined for a null or repeated id: rows with equal id and text are one document."""
-    return F.struct(
-        F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"),
-        F.xxhash64(F.col(id_col).isNull(), F.col(text_col).isNull(), text_col).alias("h"),
-    )
+    h = F.xxhash64(F.col(id_col).isNull(), F.col(text_col).isNull(), text_col)
+    return F.coalesce(F.col(id_col).cast("string"), F.lit("")), h
 
 
 def map_text(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, text: str = "text") -> DataFrame:

@@ -32,9 +32,9 @@ RANGE_DIGITS = 3
 def root_weights(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
     """Integer weight of each source: `slots` times the root of its share of all characters, one at least."""
     sizes = docs.groupBy(_key().alias("mix_source")).agg(F.sum(_chars()).alias("chars"))
-    total = sizes.agg(F.sum("chars").alias("total"))
+    sizes = sizes.withColumn("total", F.sum("chars").over(Window.partitionBy(F.lit(0))))  # a row per source
     share = F.when(F.col("total") > 0, F.col("chars") / F.col("total")).otherwise(0.0)
-    return sizes.join(F.broadcast(total)).select(  # one row
+    return sizes.select(
         "mix_source", F.greatest(F.lit(1), F.floor(slots * F.sqrt(share))).cast("bigint").alias("n")
     )
 

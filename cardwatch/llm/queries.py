@@ -12,6 +12,7 @@ from cardwatch.llm import (
     decontaminate,
     heap_bpe,
     lattice_lm,
+    license_scan,
     pfair_mix,
     quality_mcd,
     sentence_dedup,
@@ -46,6 +47,10 @@ def op6_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pfair_mix.mix(read_table(spark, sf_dir, "documents"), ["doc_id", "source"])
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(read_table(spark, sf_dir, "documents"))
+
+
 def op8_suffix_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_groups.dedup(read_table(spark, sf_dir, "documents")).drop("kept")
 

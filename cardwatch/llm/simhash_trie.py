@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardwatch.llm import textnum
-from cardwatch.llm.common import components, map_text, save, text_bytes
+from cardwatch.llm.common import components, map_text, row_key, save, text_bytes
 
 SHINGLE = 3
 RADIUS = 3
@@ -86,16 +86,18 @@ def majority(hashes: np.ndarray, count: np.ndarray) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and the fingerprint of each row."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, keep: list[str] | None = None) -> DataFrame:
+    """Columns `keep` (doc_id by default) and the fingerprint fp of each row."""
+    keep = keep or ["doc_id"]
+    rows = docs.select(*keep, "text")
+    schema = rows.select(*keep).schema.add("fp", "long")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         hashes, count = shingle_hashes(*text_bytes(batch.column("text")), shingle)
-        return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(majority(hashes, count).view(np.int64))], ["doc_id", "fp"]
-        )
+        columns = [*(batch.column(c) for c in keep), pa.array(majority(hashes, count).view(np.int64))]
+        return pa.RecordBatch.from_arrays(columns, [*keep, "fp"])
 
-    return map_text(docs.select(F.col("doc_id").cast("bigint"), "text"), work, "doc_id bigint, fp bigint")
+    return map_text(rows, work, schema)
 
 
 def _prefix_bits(lo: np.ndarray, hi: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -338,15 +340,34 @@ def links(fps: DataFrame, radius: int = RADIUS, root_limit: int = ROOT_LIMIT) ->
     return out[0]
 
 
-def groups(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, root_limit: int = ROOT_LIMIT) -> DataFrame:
-    """doc_id, fingerprint (16 hexadecimal digits) and component_id (smallest doc_id reachable) of each row."""
-    fps = save(fingerprints(docs, shingle), "fingerprints")
+def _grouped(docs: DataFrame, shingle: int, radius: int, root_limit: int, keep: list[str]) -> DataFrame:
+    """keep, fp, and of its component the smallest fingerprint root and the smallest doc_id of each row."""
+    fps = save(fingerprints(docs, shingle, keep), "fingerprints")
     nodes = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = components(links(nodes.select("fp"), radius, root_limit))
     linked = roots.join(nodes.withColumnRenamed("fp", "node"), "node")
-    least = linked.groupBy("root").agg(F.min("least").alias("least"))
-    moved = save(roots.join(least, "root").select(F.col("node").alias("fp"), F.col("least").alias("component_id")), "moved")
-    named = nodes.join(moved, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
-    return fps.join(named, "fp", "left").select(
+    least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
+    moved = save(roots.join(least, "root").select(F.col("node").alias("fp"), "root", "component_id"), "moved")
+    named = nodes.join(moved, "fp", "left").select(
+        "fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component_id", "least").alias("component_id")
+    )
+    return fps.join(named, "fp", "left")
+
+
+def groups(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, root_limit: int = ROOT_LIMIT) -> DataFrame:
+    """doc_id, fingerprint (16 hexadecimal digits) and component_id (smallest doc_id reachable) of each row."""
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    return _grouped(rows, shingle, radius, root_limit, ["doc_id"]).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def dedup(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, root_limit: int = ROOT_LIMIT) -> DataFrame:
+    """One row of each component: that of the smallest doc_id, then of the smallest text hash; null ids last."""
+    key, h = row_key()
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", key.alias("k"), h.alias("h"))
+    grouped = _grouped(rows, shingle, radius, root_limit, ["doc_id", "k", "h"])
+    first = grouped.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "h", "k")).alias("first"))
+    stay = first.select(F.col("first.k").alias("stay_k"), F.col("first.h").alias("stay_h"))
+    named = docs.withColumns({"stay_k": key, "stay_h": h})
+    return named.join(stay, ["stay_k", "stay_h"], "left_semi").dropDuplicates(["stay_k", "stay_h"]).select(*docs.columns)
