@@ -7,8 +7,8 @@ task ever holds an unbounded group.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
-from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,18 +17,10 @@ from cardwatch.session import shared_dir
 
 # A window group with more rows than this is cut into pieces.
 MAX_GROUP_ROWS = 5_000_000
-# A frame is sent to every executor only when its row count is known to be at most this.
-BROADCAST_ROWS = 500_000
-# Quantiles of at most this many rows are found without a sketch; accuracy of the sketch beyond that.
-SORT_ROWS = 1_000_000
+# Accuracy of the sketch that brackets quantiles.
 SKETCH_ACCURACY = 10_000
 
 
-def broadcast_if_small(frame: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint for a frame whose row count was measured; a shuffle join beyond the limit."""
-    return F.broadcast(frame) if rows <= limit else frame
-
-
 def running_totals(
     df: DataFrame,
     order: Sequence[str | Column],
@@ -84,32 +76,34 @@ def exact_quantiles(
     value: str,
     probs: Sequence[float],
     by: Sequence[str] = (),
-    sort_rows: int = SORT_ROWS,
+    accuracy: int = SKETCH_ACCURACY,
 ) -> DataFrame:
     """Linearly interpolated quantiles `q_<i>`, one row per `by` group (one row when `by` is empty).
 
-    A sketch first brackets each quantile; rows outside the brackets are only counted, and the few rows
-    inside are added up per distinct value and put in order. Groups of up to `sort_rows` rows skip the
-    sketch. No task or driver receives all values of a group, which the built-in exact percentile needs.
+    The narrow frame of keys and values is stored first, and all further passes read it. A sketch brackets each
+    quantile; rows outside the brackets are only counted, and the few inside are added up per distinct value and
+    put in order. No task or driver receives all values of a group, which the built-in exact percentile needs.
     """
     keys = list(by) or ["_all"]
     source = (df if by else df.withColumn("_all", F.lit(0))).where(F.col(value).isNotNull())
-    source = source.select(*keys, F.col(value).cast("double").alias("_v"))
-    margin = 3.0 / SKETCH_ACCURACY
-    ends = [min(max(p + d, 0.0), 1.0) for p in probs for d in (-margin, margin)]
+    shared_dir(df.sparkSession)
+    source = source.select(*keys, F.col(value).cast("double").alias("_v")).checkpoint()
+    # A bracket reaches three rows and three errors of the sketch to either side at least; of the widths
+    # asked for, each group takes the least that does.
+    widths = [3.0 / accuracy * 4**j for j in range(math.ceil(math.log(accuracy / 3, 4)) + 1)]
+    ends = [min(max(p + d, 0.0), 1.0) for p in probs for w in widths for d in (-w, w)]
     sketch = source.groupBy(*keys).agg(
-        F.count("*").alias("_total"), F.percentile_approx("_v", ends, SKETCH_ACCURACY).alias("_ends")
+        F.count("*").alias("_total"), F.percentile_approx("_v", ends, accuracy).alias("_ends")
     )
-    small = F.col("_total") <= sort_rows
+    wide = F.ceil(F.log(accuracy / F.col("_total")) / math.log(4))
+    wide = F.least(F.lit(len(widths) - 1), F.greatest(F.lit(0), wide)).cast("int")
     bounds = []
     for i in range(len(probs)):
-        bounds.append(F.when(small, float("-inf")).otherwise(F.col("_ends")[2 * i]).alias(f"_from_{i}"))
-        # NaN sorts above infinity, so it is the open upper end.
-        bounds.append(F.when(small, float("nan")).otherwise(F.col("_ends")[2 * i + 1]).alias(f"_to_{i}"))
-    shared_dir(df.sparkSession)
+        at = wide * 2 + 2 * len(widths) * i
+        bounds.append(F.get("_ends", at).alias(f"_from_{i}"))
+        bounds.append(F.get("_ends", at + 1).alias(f"_to_{i}"))
     brackets = sketch.select(*keys, "_total", *bounds).checkpoint()  # one row per group
-    n_groups = brackets.count()
-    placed = source.join(broadcast_if_small(brackets, n_groups), keys)
+    placed = source.join(brackets, keys)
     inside = F.lit(False)
     for i in range(len(probs)):
         inside = inside | F.col("_v").between(F.col(f"_from_{i}"), F.col(f"_to_{i}"))
@@ -119,7 +113,7 @@ def exact_quantiles(
     counts = placed.where(inside).groupBy(*keys, "_v").agg(F.count("*").alias("_n"))
     ranked = running_totals(counts, ["_v"], ["_n"], by=keys)
     groups = brackets.join(skipped, keys, "left")
-    ranked = ranked.join(broadcast_if_small(groups, n_groups), keys)
+    ranked = ranked.join(groups, keys)
     picks = []
     for i, p in enumerate(probs):
         at = (F.col("_total") - 1) * F.lit(float(p))
@@ -138,47 +132,33 @@ def exact_quantiles(
     )
 
 
-class Chunked(NamedTuple):
-    """A frame with a `_chunk` column; `split` tells whether any key was cut into several chunks."""
-
-    df: DataFrame
-    split: bool
-
-
-def time_chunks(
-    df: DataFrame, key: str, ts: str, max_rows: int = MAX_GROUP_ROWS, slot_s: int = 60
-) -> Chunked:
-    """Cut the keys with more than `max_rows` rows into chunks of consecutive time slots.
+def time_chunks(df: DataFrame, key: str, ts: str, max_rows: int = MAX_GROUP_ROWS, slot_s: int = 60) -> DataFrame:
+    """Cut the keys with more than `max_rows` rows into chunks of consecutive time slots: adds `_chunk`.
 
     Ordinary keys keep one chunk (number 0); a cut key gets chunks 1, 2, ... in time order, without
     gaps in the numbers. Rows with the same time always share a chunk.
+
+    One plan for all sizes: the rows per key and slot are counted and stored, the slots of the keys over the
+    limit (at most all rows / max_rows of them) get their chunk, and that table, empty when no key is over it, is
+    joined to the rows.
     """
     shared_dir(df.sparkSession)
-    # At most (all rows / max_rows) keys pass this filter.
-    heavy = df.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > max_rows).select(key).checkpoint()
-    n_heavy = heavy.count()
-    if n_heavy == 0:
-        return Chunked(df.withColumn("_chunk", F.lit(0)), False)
-    slotted = df.withColumn("_slot", F.floor(F.unix_micros(ts) / F.lit(slot_s * 1_000_000)))
-    per_slot = (
-        slotted.join(broadcast_if_small(heavy, n_heavy), key, "left_semi")
-        .groupBy(key, "_slot")
-        .agg(F.count("*").alias("_n"))
-    )
+    slot = F.floor(F.unix_micros(ts) / F.lit(slot_s * 1_000_000))
+    per_slot = df.groupBy(key, slot.alias("_slot")).agg(F.count("*").alias("_n")).checkpoint()
+    heavy = per_slot.groupBy(key).agg(F.sum("_n").alias("_n")).where(F.col("_n") > max_rows).select(key)
     in_time = Window.partitionBy(key).orderBy("_slot")
     earlier = in_time.rowsBetween(Window.unboundedPreceding, -1)
     slots = (
-        per_slot.withColumn(
-            "_piece", F.floor(F.coalesce(F.sum("_n").over(earlier), F.lit(0)) / F.lit(max_rows))
-        )
+        per_slot.join(heavy, key, "left_semi")
+        .withColumn("_piece", F.floor(F.coalesce(F.sum("_n").over(earlier), F.lit(0)) / F.lit(max_rows)))
         .withColumn("_chunk", F.dense_rank().over(Window.partitionBy(key).orderBy("_piece")))
         .select(key, "_slot", "_chunk")
         .checkpoint()
     )
-    cut = slotted.join(broadcast_if_small(slots, slots.count()), [key, "_slot"], "left").drop("_slot")
+    cut = df.withColumn("_slot", slot).join(slots, [key, "_slot"], "left").drop("_slot")
     cut = cut.withColumn("_chunk", F.coalesce("_chunk", F.lit(0)))
     # An explicit exchange: a plan already hashed on the key alone would otherwise keep the skew.
-    return Chunked(cut.repartition(key, "_chunk"), True)
+    return cut.repartition(key, "_chunk")
 
 
 def with_history(chunked: DataFrame, key: str, order: Sequence[str], rows: int) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from itertools import combinations
 from math import factorial
 
 import numpy as np
@@ -44,21 +43,23 @@ def _leaves(nodes: dict[int, dict], weight: float) -> Iterator[tuple[float, dict
 
 
 def _leaf_table(value: float, shares: Sequence[float]) -> np.ndarray:
-    """Shapley values of a leaf for every pattern of satisfied path features (rows are bit patterns)."""
+    """Shapley values of a leaf for every pattern of satisfied path features (rows are bit patterns).
+
+    The coalitions of each size are added up as the coefficients of a product of one factor per other feature.
+    """
     n = len(shares)
+    held = ((np.arange(1 << n)[:, None] >> np.arange(n)) & 1).astype(float)
+    weights = np.array([factorial(k) * factorial(n - k - 1) / factorial(n) for k in range(n)])
     table = np.zeros((1 << n, n))
-    for pattern in range(1 << n):
-        held = [1.0 if pattern >> i & 1 else 0.0 for i in range(n)]
-        for i in range(n):
-            others = [j for j in range(n) if j != i]
-            total = 0.0
-            for size in range(n):
-                for known in combinations(others, size):
-                    part = 1.0
-                    for j in others:
-                        part *= held[j] if j in known else shares[j]
-                    total += factorial(size) * factorial(n - size - 1) / factorial(n) * part
-            table[pattern, i] = value * total * (held[i] - shares[i])
+    for i in range(n):
+        sizes = np.zeros((1 << n, n))
+        sizes[:, 0] = 1.0
+        for j in range(n):
+            if j != i:
+                grown = sizes * shares[j]
+                grown[:, 1:] += sizes[:, :-1] * held[:, [j]]
+                sizes = grown
+        table[:, i] = value * (sizes @ weights) * (held[:, i] - shares[i])
     return table
 
 

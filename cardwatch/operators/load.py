@@ -45,13 +45,8 @@ def first_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
 
 
 def unseen(batch: DataFrame, existing: DataFrame, key: str = "transaction_bk") -> DataFrame:
-    """Rows of the batch whose key is not stored yet.
-
-    The stored keys are first reduced to those of the batch: for a small batch that is a broadcast of
-    the batch keys against a column-pruned scan, and the stored table is never shuffled.
-    """
-    stored = existing.select(key).join(batch.select(key), key, "left_semi")
-    return batch.join(stored, key, "left_anti")
+    """Rows of the batch whose key is not stored yet."""
+    return batch.join(existing.select(key), key, "left_anti")
 
 
 def stage_insert(batch: DataFrame, existing: DataFrame | None, order: Sequence[str] = ("event_ts",)) -> DataFrame:

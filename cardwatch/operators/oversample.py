@@ -4,107 +4,60 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import PCA
-from pyspark.ml.functions import array_to_vector, vector_to_array
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardwatch.functions.spread import running_totals
 
-# Neighbours on each side that are tried first, and points per bucket in the exact second step.
-WINDOW = 16
-BUCKET = 256
+# Random projection trees, points of a leaf (about), and children of a node.
+TREES = 12
+LEAF = 96
+FAN = 8
 
 
 def _distance(a: Column, b: Column) -> Column:
     return F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, d: s + d))
 
 
-def _along_main_axis(points: DataFrame) -> DataFrame:
-    """Adds `p`, the coordinate on the first principal axis. Points that lie `d` apart are at most `d` apart on it."""
-    vectors = points.withColumn("_vec", array_to_vector("v"))
-    axis = PCA(k=1, inputCol="_vec", outputCol="_main").fit(vectors)
-    return axis.transform(vectors).withColumn("p", vector_to_array("_main")[0]).drop("_vec", "_main")
+def leaves(points: DataFrame, trees: int, leaf: int, fan: int, seed: int) -> DataFrame:
+    """Each point once per tree with its leaf `node`: (tree, node, id, v).
 
-
-def nearest(points: DataFrame, k: int, window: int = WINDOW, bucket: int = BUCKET) -> DataFrame:
-    """Exact `k` nearest other points of each point: (id, other, other_v, distance, place).
-
-    Input: `id` and the array `v`, all vectors distinct. The points are ordered along one axis. A window
-    of neighbours on that axis bounds the distance r of the k-th nearest; whatever is nearer lies within
-    r on the axis. Where the window covers that range its result is final. The other points are compared
-    with the buckets of consecutive points that their range touches.
+    A level cuts every node into `fan` parts of about equal size along a random direction. The cuts come from a
+    sketch per node, which tasks merge, so no task holds a node; directions are drawn from the seed alone.
     """
-    placed = running_totals(
-        _along_main_axis(points).withColumn("_one", F.lit(1)), ["p", "id"], ["_one"]
-    ).withColumn("rank", F.col("run__one") - 1)
-    placed = placed.select("id", "v", "p", "rank", F.floor(F.col("rank") / bucket).alias("bucket")).checkpoint()
-
-    # First step, inside stretches of consecutive ranks; a stretch border only loosens the bound.
-    stretch = F.floor(F.col("rank") / F.lit(64 * bucket))
-    around = Window.partitionBy(stretch).orderBy("rank").rowsBetween(-window, window)
-    others = F.filter(
-        F.collect_list(F.struct("id", "v", "p")).over(around), lambda o: o["id"] != F.col("id")
-    )
-    near = placed.withColumn("_around", others).withColumn(
-        "_near",
-        F.array_sort(
-            F.transform(
-                "_around",
-                lambda o: F.struct(_distance(F.col("v"), o["v"]).alias("distance"), o["id"].alias("other"), o["v"].alias("other_v")),
-            )
-        ),
-    )
-    radius = F.try_element_at("_near", F.lit(k))["distance"]
-    seen = F.transform("_around", lambda o: o["p"])
-    # `reach` is r on the axis, with room for rounding.
-    near = near.withColumn("r", F.coalesce(radius, F.lit(float("inf")))).withColumn(
-        "reach", F.col("r") * (1 + 1e-9) + 1e-9
-    )
-    covered = (F.array_min(seen) < F.col("p") - F.col("reach")) & (F.array_max(seen) > F.col("p") + F.col("reach"))
-    near = near.select(
-        "id", "v", "p", "r", "reach", F.slice("_near", 1, k).alias("_near"), F.coalesce(covered, F.lit(False)).alias("final")
-    ).checkpoint()
-    quick = near.where("final").select("id", F.posexplode("_near").alias("place", "n")).select(
-        "id", "n.other", "n.other_v", "n.distance", (F.col("place") + 1).alias("place")
-    )
+    n, width = points.count(), points.select(F.max(F.size("v"))).scalar() or 0
+    rng = np.random.default_rng(seed)
+    placed = points.select("id", "v", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree")).withColumn("node", F.lit(0).cast("bigint"))
+    share = [i / fan for i in range(1, fan)]
+    size = float(n)
+    while size > leaf:
+        axes = F.lit([rng.normal(size=width).tolist() for _ in range(trees)])
+        along = F.aggregate(F.zip_with("v", F.get(axes, F.col("tree")), lambda x, w: x * w), F.lit(0.0), lambda a, x: a + x)
+        placed = placed.withColumn("p", along).checkpoint()
+        cuts = placed.groupBy("tree", "node").agg(F.percentile_approx("p", share, 1000).alias("cuts"))
+        part = F.size(F.filter("cuts", lambda c: F.col("p") > c))
+        placed = placed.join(cuts, ["tree", "node"]).select("id", "v", "tree", (F.col("node") * fan + part).alias("node"))
+        size /= fan
+    return placed
+
+
+def nearest(
+    points: DataFrame, k: int, trees: int = TREES, leaf: int = LEAF, fan: int = FAN, seed: int = 7
+) -> DataFrame:
+    """About the `k` nearest other points of each point: (id, other, other_v, distance, place).
 
-    # Second step. The ranks at both ends of each range come from one ordered pass over points and ends.
-    open_points = near.where(~F.col("final")).select("id", "v", "p", "r", "reach")
-    ends = open_points.select(
-        "id",
-        F.explode(
-            F.array(
-                F.struct(F.lit(0).alias("end"), (F.col("p") - F.col("reach")).alias("at")),
-                F.struct(F.lit(1).alias("end"), (F.col("p") + F.col("reach")).alias("at")),
-            )
-        ).alias("e"),
-    ).select("id", "e.end", F.col("e.at").alias("at"), F.lit(0).alias("_one"))
-    marks = placed.select("id", F.lit(-1).alias("end"), F.col("p").alias("at"), F.lit(1).alias("_one"))
-    found = running_totals(marks.unionByName(ends), ["at", "end", "id"], ["_one"]).where(F.col("end") >= 0)
-    # Points below the lower end sort before it only when they are smaller, so one rank of slack is taken.
-    spans = found.groupBy("id").agg(
-        F.floor((F.min("run__one") - 1) / bucket).alias("_from"), F.floor(F.max("run__one") / bucket).alias("_to")
-    )
-    wanted = open_points.join(spans, "id").select(
-        "id", "v", "p", "r", "reach", F.explode(F.sequence(F.greatest(F.lit(0), F.col("_from")), F.col("_to"))).alias("bucket")
-    )
-    candidates = placed.select(
-        "bucket", F.col("id").alias("other"), F.col("v").alias("other_v"), F.col("p").alias("other_p")
-    )
-    pairs = (
-        wanted.join(candidates, "bucket")
-        .where((F.col("id") != F.col("other")) & (F.abs(F.col("p") - F.col("other_p")) <= F.col("reach")))
-        .withColumn("distance", _distance(F.col("v"), F.col("other_v")))
-        .where(F.col("distance") <= F.col("r"))
-    )
+    Input: `id` and the array `v`, all vectors distinct. Points are compared with those of their leaf in each of some
+    random projection trees, so a point has at most about `trees * leaf` candidates, however many
+    points there are. The search is approximate; its recall is tested against brute force.
+    """
+    placed = leaves(points, trees, leaf, fan, seed).checkpoint()
+    others = placed.select("tree", "node", F.col("id").alias("other"), F.col("v").alias("other_v"))
+    pairs = placed.join(others, ["tree", "node"]).where(F.col("id") != F.col("other"))
+    found = pairs.select("id", "other", "other_v", _distance(F.col("v"), F.col("other_v")).alias("distance"))
+    found = found.dropDuplicates(["id", "other"])
     by_distance = Window.partitionBy("id").orderBy("distance", "other")
-    exact = (
-        pairs.withColumn("place", F.row_number().over(by_distance))
-        .where(F.col("place") <= k)
-        .select("id", "other", "other_v", "distance", "place")
-    )
-    return quick.unionByName(exact)
+    return found.withColumn("place", F.row_number().over(by_distance)).where(F.col("place") <= k)
 
 
 def _draw(seed: int, *parts: Column) -> Column:

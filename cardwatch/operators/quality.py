@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -134,7 +134,7 @@ def violations(df: DataFrame, rules: Constraints, parents: Mapping[str, DataFram
         df.select(F.explode(failed_rules(row_rules)).alias("rule")).groupBy("rule").agg(F.count("*").alias("n_rows"))
     ]
     for key in rules.unique:
-        copies = df.groupBy(*key).agg(F.count("*").alias("n"))
+        copies = df.dropna(subset=list(key)).groupBy(*key).agg(F.count("*").alias("n"))  # as UNIQUE does
         extra = copies.agg(F.sum(F.col("n") - 1).cast("long").alias("n_rows"))
         found.append(extra.select(F.lit("unique:" + ",".join(key)).alias("rule"), "n_rows"))
     for key, parent in rules.foreign.items():
@@ -146,13 +146,37 @@ def violations(df: DataFrame, rules: Constraints, parents: Mapping[str, DataFram
     return reduce(DataFrame.unionByName, found).where(F.col("n_rows") > 0)
 
 
-def enforce(df: DataFrame, rules: Constraints) -> tuple[DataFrame, DataFrame]:
-    """Rows that satisfy the row-level constraints, and the others with the rules they break."""
+def enforce(
+    df: DataFrame,
+    rules: Constraints,
+    parents: Mapping[str, DataFrame] | None = None,
+    order: Sequence[str] = (),
+) -> tuple[DataFrame, DataFrame]:
+    """Rows that satisfy the constraints, and the others with the rules they break.
+
+    Of the rows that satisfy everything else, the first of each unique key stays (in the given order of
+    columns, all columns by default; equal rows are one). A foreign key without a parent frame raises.
+    """
     row_rules: dict[str, Column] = {f"not_null:{c}": F.col(c).isNotNull() for c in rules.not_null}
     for c, size in rules.max_length.items():
         row_rules[f"length:{c}"] = F.coalesce(F.length(c) <= size, F.lit(True))
     for c, allowed in rules.domain.items():
         row_rules[f"domain:{c}"] = F.coalesce(F.col(c).isin(*allowed), F.lit(True))
-    judged = df.withColumn("broken_rules", failed_rules(row_rules))
-    good = judged.where(F.size("broken_rules") == 0).drop("broken_rules")
-    return good, judged.where(F.size("broken_rules") > 0)
+    columns = df.columns
+    for i, (key, parent) in enumerate(rules.foreign.items()):
+        there = (parents or {})[parent].select(F.col(key).alias(f"_key_{i}")).distinct()
+        df = df.join(there, F.col(key) == F.col(f"_key_{i}"), "left")
+        row_rules[f"foreign:{key}"] = F.col(key).isNull() | F.col(f"_key_{i}").isNotNull()
+    judged = df.withColumn("broken_rules", failed_rules(row_rules)).select(*columns, "broken_rules")
+    for key in rules.unique:
+        whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key])
+        counts = judged.where((F.size("broken_rules") == 0) & whole)
+        best = F.min(F.struct(*(order or columns))).alias("_first")
+        first = counts.groupBy(*[F.col(c).alias(f"_u_{c}") for c in key]).agg(best)
+        same = [F.col(c) == F.col(f"_u_{c}") for c in key]
+        again = (F.size("broken_rules") == 0) & ~F.struct(*(order or columns)).eqNullSafe(F.col("_first"))
+        rule = F.array(F.lit("unique:" + ",".join(key)))
+        judged = judged.join(first, same, "left").select(
+            *columns, F.when(F.col("_first").isNotNull() & again, rule).otherwise(F.col("broken_rules")).alias("broken_rules")
+        )
+    return judged.where(F.size("broken_rules") == 0).drop("broken_rules"), judged.where(F.size("broken_rules") > 0)

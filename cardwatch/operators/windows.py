@@ -6,6 +6,7 @@ A client may hold a large share of all rows. Such a client is cut into chunks of
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -13,7 +14,6 @@ from pyspark.sql import functions as F
 
 from cardwatch.functions.spread import (
     MAX_GROUP_ROWS,
-    Chunked,
     exact_quantiles,
     running_totals,
     time_chunks,
@@ -36,12 +36,7 @@ def sequences(
 
     Rows with fewer predecessors give no sequence; all columns of the target row are kept.
     """
-    chunked = time_chunks(df, key, ts, max_rows)
-    rows = (
-        with_history(chunked.df, key, [ts, bk], length - 1)
-        if chunked.split
-        else chunked.df.withColumn("_carried", F.lit(False))
-    )
+    rows = with_history(time_chunks(df, key, ts, max_rows), key, [ts, bk], length - 1)
     w = Window.partitionBy(key, "_chunk").orderBy(ts, bk).rowsBetween(-(length - 1), 0)
     return (
         rows.withColumn("steps", F.collect_list(F.struct(*fields)).over(w))
@@ -58,23 +53,16 @@ def session_counters(
     bk: str = "transaction_bk",
     amount: str = "amount",
     max_rows: int = MAX_GROUP_ROWS,
-    n_rows: int | None = None,
 ) -> DataFrame:
-    """Running count `n_session` and sum `amount_session` that restart after `gap_s` seconds of silence.
-
-    `n_rows` states the size of the frame when it is known: up to `max_rows` no client can exceed the limit.
-    """
-    if n_rows is not None and n_rows <= max_rows:
-        chunked = Chunked(df.withColumn("_chunk", F.lit(0)), False)
-    else:
-        chunked = time_chunks(df, key, ts, max_rows)
+    """Running count `n_session` and sum `amount_session` that restart after `gap_s` seconds of silence."""
+    chunked = time_chunks(df, key, ts, max_rows)
     w = Window.partitionBy(key, "_chunk").orderBy(ts, bk)
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
     micros = F.unix_micros(ts)
     gap = F.lit(gap_s * 1_000_000)
     opens = F.coalesce(micros - F.lag(micros).over(w) >= gap, F.lit(False))
     value = F.col(amount).cast("decimal(38,2)")
-    counted = chunked.df.withColumns(
+    counted = chunked.withColumns(
         {"_opens": opens, "_n": F.row_number().over(w), "_s": F.sum(value).over(upto)}
     )
     # Totals before the latest restart inside the chunk; NULL while the chunk has not restarted yet.
@@ -90,8 +78,7 @@ def session_counters(
             "amount_session": F.col("_s") - F.coalesce("_base_s", F.lit(0)),
         }
     )
-    if chunked.split:
-        counted = _carry_sessions(counted, key, ts, bk, gap)
+    counted = _carry_sessions(counted, key, ts, bk, gap)
     return counted.select(
         *df.columns,
         F.col("n_session").cast("long").alias("n_session"),
@@ -178,28 +165,27 @@ def trailing_counters(
         .orderBy(F.unix_micros("_at"))
         .rangeBetween(Window.unboundedPreceding, 0)
     )
-    run = chunked.df.withColumns(
+    run = chunked.withColumns(
         {"n_trailing": F.sum("_sign").over(w), "amount_trailing": F.sum("_delta").over(w)}
     )
-    if chunked.split:
-        sums = (
-            chunked.df.where(F.col("_chunk") > 0)
-            .groupBy(key, "_chunk")
-            .agg(F.sum("_sign").alias("_n"), F.sum("_delta").alias("_d"))
-        )
-        earlier = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-        carry = sums.select(
-            key,
-            "_chunk",
-            F.sum("_n").over(earlier).alias("_carry_n"),
-            F.sum("_d").over(earlier).alias("_carry_d"),
-        )
-        run = run.join(carry, [key, "_chunk"], "left").withColumns(
-            {
-                "n_trailing": F.col("n_trailing") + F.coalesce("_carry_n", F.lit(0)),
-                "amount_trailing": F.col("amount_trailing") + F.coalesce("_carry_d", F.lit(0)),
-            }
-        )
+    sums = (
+        chunked.where(F.col("_chunk") > 0)
+        .groupBy(key, "_chunk")
+        .agg(F.sum("_sign").alias("_n"), F.sum("_delta").alias("_d"))
+    )
+    earlier = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = sums.select(
+        key,
+        "_chunk",
+        F.sum("_n").over(earlier).alias("_carry_n"),
+        F.sum("_d").over(earlier).alias("_carry_d"),
+    )
+    run = run.join(carry, [key, "_chunk"], "left").withColumns(
+        {
+            "n_trailing": F.col("n_trailing") + F.coalesce("_carry_n", F.lit(0)),
+            "amount_trailing": F.col("amount_trailing") + F.coalesce("_carry_d", F.lit(0)),
+        }
+    )
     return run.where(F.col("_sign") == 1).select(
         *df.columns,
         F.col("n_trailing").cast("long").alias("n_trailing"),
@@ -269,8 +255,22 @@ def sample_rows(df: DataFrame, n: int, seed: int = 42, bk: str = "transaction_bk
     return df.orderBy(_keyed_hash(bk, seed), bk).limit(n)
 
 
-def sample_with_replacement(df: DataFrame, share: float, seed: int = 42) -> DataFrame:
-    return df.sample(True, share, seed)
+def sample_with_replacement(
+    df: DataFrame, share: float, seed: int = 42, bk: str = "transaction_bk", most: int = 20
+) -> DataFrame:
+    """Each row as often as a Poisson number of mean `share` says, drawn from a hash of key and seed.
+
+    The same rows come on every run, however the rows are dealt. The distribution is cut where less than
+    one in 10 ** 15 draws lies above (`most`, for shares up to one).
+    """
+    draw = F.conv(F.substring(_keyed_hash(bk, seed), 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
+    copies, below, term = F.lit(0), 0.0, math.exp(-share)
+    for k in range(1, most + 1):
+        below += term
+        copies = F.when(draw >= F.lit(below), k).otherwise(copies)
+        term *= share / k
+    copied = df.withColumn("_copies", copies).where("_copies > 0")
+    return copied.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).drop("_copies", "_copy")
 
 
 def random_keys(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:

@@ -14,8 +14,7 @@ from cardwatch.operators.oversample import oversample
 from cardwatch.operators.prepare import Prep, apply_prep, fit_prep
 from cardwatch.plans import inputs
 
-# Enough trees for a stable ranking of this data; the library's default is 300.
-TREES = 20
+TREES = 300
 
 
 class Split(NamedTuple):

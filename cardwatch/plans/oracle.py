@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 BASE = """
 WITH e AS (
   SELECT event_id, user_id, ts, event_type, value, cast(json_extract_string(props, '$.k') AS int) AS k FROM events),
@@ -332,6 +334,16 @@ FROM fact WINDOW w AS (PARTITION BY client_id ORDER BY epoch_us(event_ts) RANGE
     sql["sampled_rows"] = BASE + """
 SELECT transaction_bk, amount FROM labelled ORDER BY md5(concat('42|', transaction_bk)), transaction_bk LIMIT 300"""
 
+    below, term, steps = 0.0, math.exp(-0.2), []
+    for k in range(1, 21):
+        below += term
+        steps.append(f"(draw >= {below!r}::DOUBLE)::INTEGER")
+        term *= 0.2 / k
+    sql["resampled_rows"] = BASE + f""",
+drawn AS (SELECT transaction_bk, amount,
+    ('0x' || substr(md5(concat('42|', transaction_bk)), 1, 8))::BIGINT::DOUBLE / 4294967296.0 AS draw FROM labelled)
+SELECT transaction_bk, amount FROM drawn, unnest(range(1, 1 + {' + '.join(steps)})) AS u(i)"""
+
     # Evaluation
     sql["roc_points"] = BASE + STEPS + f"""
 SELECT score, round({_ratio('fp', 'n')}, 6) AS fpr, round({_ratio('tp', 'p')}, 6) AS tpr FROM steps"""

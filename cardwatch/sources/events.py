@@ -6,7 +6,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def kafka_events(spark: SparkSession, servers: str, topic: str, max_per_trigger: int | None = None) -> DataFrame:
+# Fixed value: messages per micro-batch.
+BATCH_MESSAGES = 200
+
+
+def kafka_events(
+    spark: SparkSession, servers: str, topic: str, max_per_trigger: int | None = BATCH_MESSAGES
+) -> DataFrame:
     """Raw topic messages as a stream with a `value` column, from the earliest offset.
 
     Needs the Kafka connector on the class path. Offsets live in the query's checkpoint.

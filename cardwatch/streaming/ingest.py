@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,8 +19,7 @@ from cardwatch.sources.logs import RUN_LOG, run_log_event
 from cardwatch.sources.tables import read_or_empty
 from cardwatch.streaming.validate import dead_letters, judge_events, valid_events
 
-# Messages per micro-batch and seconds between micro-batches.
-BATCH_MESSAGES = 200
+# Fixed value: seconds between micro-batches.
 FLUSH_SECONDS = 2
 DEDUP_MEMORY = "24 hours"
 COUNTER_GAP_S = 3600
@@ -36,17 +36,22 @@ STATE = T.StructType(
 )
 
 
+FACT_KEYS = T.StructType(
+    [
+        T.StructField("transaction_bk", T.StringType()),
+        T.StructField("ingestion_mode", T.StringType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
+)
+
+
 @dataclass(frozen=True)
 class Warehouse:
     """Folders of the ingested tables. Every micro-batch owns one partition in each of them, which a
     replay overwrites: the tables do not depend on how often a batch ran.
-
-    `lookback` limits the search for keys already staged to that many earlier batches, whose partitions
-    alone are then read; without it every earlier batch counts.
     """
 
     root: str
-    lookback: int | None = None
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -55,8 +60,16 @@ class Warehouse:
         return read_or_empty(spark, self.path("staging"), STAGED)
 
     def staged_before(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        oldest = 0 if self.lookback is None else batch_id - self.lookback
-        return self.staged(spark).where((F.col("batch_id") < batch_id) & (F.col("batch_id") >= oldest))
+        return self.staged(spark).where(F.col("batch_id") < batch_id)
+
+    def pending(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """Staged rows that the given micro-batch left unresolved, its own and earlier ones."""
+        return read_or_empty(spark, self.path("pending"), STAGED).where(F.col("batch_id") == batch_id)
+
+    def batch_facts(self, spark: SparkSession) -> DataFrame:
+        """Keys of the facts that batch loads have stored beside those of the stream."""
+        stored = read_or_empty(spark, self.path("facts"), FACT_KEYS)
+        return stored.where(F.col("ingestion_mode") == "batch").select("transaction_bk")
 
     def facts(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(self.path("facts"))
@@ -90,15 +103,13 @@ def _put(df: DataFrame, path: str, batch_id: int, partitions: tuple[str, ...] =
     )
 
 
-def next_counters(
-    facts: DataFrame, before: DataFrame, gap_s: int = COUNTER_GAP_S, n_rows: int | None = None
-) -> DataFrame:
+def next_counters(facts: DataFrame, before: DataFrame, gap_s: int = COUNTER_GAP_S) -> DataFrame:
     """Counters of the batch's clients after the batch, given the latest counters before it.
 
     A client whose rows never paused for `gap_s` seconds continues the count it had.
     """
     rows = facts.select("transaction_bk", "client_id", "event_ts", F.col("amount").cast("decimal(12,2)").alias("amount"))
-    counted = session_counters(rows, gap_s, n_rows=n_rows)
+    counted = session_counters(rows, gap_s)
     now = counted.groupBy("client_id").agg(
         F.min("event_ts").alias("_first"),
         F.max("event_ts").alias("last_ts"),
@@ -123,13 +134,21 @@ def next_counters(
 
 
 def ingest_batch(
-    raw: DataFrame, batch_id: int, dims: Dims, house: Warehouse, known: DataFrame | None = None
+    raw: DataFrame,
+    batch_id: int,
+    dims: Dims | Callable[[], Dims],
+    house: Warehouse,
+    known: DataFrame | None = None,
 ) -> None:
     """One micro-batch. The offsets are committed only when it returns, so a failed batch runs again.
 
-    `known` holds rows that other loads have stored; their business keys count as duplicates too.
+    `known` holds rows that other loads have stored; their business keys count as duplicates too. By default
+    these are the batch facts beside the stream's own. Rows that the batch before left unresolved are tried
+    again, and `dims` may be a function, called for each batch, so that new members are seen.
     """
     spark = raw.sparkSession
+    dims = dims() if callable(dims) else dims
+    known = house.batch_facts(spark) if known is None else known
     began = time.monotonic()
     run = {"run_id": f"stream-{batch_id}", "source": "stream", "mode": "stream"}
     judged = judge_events(raw).persist()
@@ -139,15 +158,15 @@ def ingest_batch(
         stored = house.staged_before(spark, batch_id)
         valid = valid_events(judged).withColumn("ingested_at", F.current_timestamp())
         fresh = stage_insert(valid, stored, ("event_ts", "amount", "channel"))
-        if known is not None:
-            fresh = unseen(fresh, known)
-        _put(fresh, house.path("staging"), batch_id)
+        _put(unseen(fresh, known), house.path("staging"), batch_id)
         mine = house.staged(spark).where(F.col("batch_id") == batch_id)
-        facts = load_facts(mine, dims, mode="stream").facts.select(*FACT_COLUMNS)
-        _put(facts, house.path("facts"), batch_id, ("ingestion_mode", "batch_id"))
+        waiting = house.pending(spark, batch_id - 1)
+        loaded = load_facts(mine.unionByName(waiting), dims, mode="stream")
+        _put(loaded.facts.select(*FACT_COLUMNS), house.path("facts"), batch_id, ("ingestion_mode", "batch_id"))
+        _put(loaded.rejects.select(*mine.columns).drop("batch_id"), house.path("pending"), batch_id)
         states = read_or_empty(spark, house.path("counters"), STATE).where(F.col("batch_id") < batch_id)
         staged = mine.count()
-        _put(next_counters(mine, states, n_rows=staged), house.path("counters"), batch_id)
+        _put(next_counters(mine, states), house.path("counters"), batch_id)
         sizes = judged.agg(F.count("*").alias("n"), F.count("reason").alias("bad")).first()
         done = run_log_event(
             spark,
@@ -160,7 +179,7 @@ def ingest_batch(
         )
         _put(done, house.path("runs"), batch_id)
     except Exception as exc:
-        failed = run_log_event(spark, **run, status="ERROR", message=str(exc)[:500])
+        failed = run_log_event(spark, **run, status="ERROR", message=str(exc))
         _put(failed, house.path("runs"), batch_id)
         raise
     finally:
@@ -169,13 +188,16 @@ def ingest_batch(
 
 def start_ingestion(
     raw: DataFrame,
-    dims: Dims,
+    dims: Dims | Callable[[], Dims],
     house: Warehouse,
     checkpoint: str,
     available_now: bool = False,
     known: DataFrame | None = None,
 ) -> StreamingQuery:
-    """Run the ingestion on a raw event stream; `available_now` drains what is there and ends."""
+    """Run the ingestion on a raw event stream; `available_now` drains what is there and ends.
+
+    The source limits a micro-batch (`kafka_events` to 200 messages by default).
+    """
     writer = raw.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
         lambda df, batch_id: ingest_batch(df, batch_id, dims, house, known)
     )

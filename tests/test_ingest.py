@@ -114,6 +114,15 @@ def test_streaming_job_once_and_replayed(spark, small_dims):
         client=small_dims.client.unionByName(spark.createDataFrame([(3, "nobody", "premium", 1.0)], small_dims.client.schema))
     )
     assert [r["transaction_bk"] for r in ingest.retry_pending(spark, known, house).collect()] == ["TX-2"]
+    # The next batch finds it by itself, as its dimensions are read anew; a key of a batch load is a duplicate.
+    stored = house.facts(spark).limit(1).withColumn("transaction_bk", F.lit("TX-8"))
+    stored = stored.withColumns({"ingestion_mode": F.lit("batch"), "batch_id": F.lit(0)})
+    stored.write.mode("append").partitionBy("ingestion_mode", "batch_id").parquet(house.path("facts"))
+    third = [(variant(transaction_bk="TX-8"),), (variant(transaction_bk="TX-9"),)]
+    ingest.ingest_batch(spark.createDataFrame(third, "value string"), 2, lambda: known, house)
+    added = house.facts(spark).where("batch_id = 2").select("transaction_bk").collect()
+    assert sorted(r[0] for r in added) == ["TX-2", "TX-9"]
+    assert house.pending(spark, 2).isEmpty() and house.pending(spark, 1).count() == 1
 
 
 def test_counters_continue_across_batches(spark):
@@ -290,3 +299,24 @@ def test_catalog_columns_from_the_session(spark):
     spark.range(1).createOrReplaceTempView("some_view")
     found = audit.metastore_columns(spark, "default")
     assert found.columns == ["table", "column", "type"]
+
+
+def test_enforced_constraints(spark):
+    rules = schema.Constraints(
+        not_null=("k",), max_length={"t": 3}, domain={"m": ("a", "b")}, unique=(("k",), ("t", "m")), foreign={"c": "parent"}
+    )
+    rows = [
+        (1, "x", "a", 1), (1, "y", "a", 1), (None, "z", "a", 1), (2, "long", "a", 1), (3, "q", "z", 1), (4, "w", "a", 9),
+        (5, "x", "a", 1), (6, None, "a", None), (7, None, "a", None), (8, "v", "b", 2), (8, "v", "b", 2),
+    ]
+    df = spark.createDataFrame(rows, "k int, t string, m string, c int")
+    parent = spark.createDataFrame([(1,), (2,)], "c int")
+    good, bad = quality.enforce(df, rules, {"parent": parent})
+    assert sorted(r["k"] for r in good.collect()) == [1, 6, 7, 8, 8]
+    broken = {(r["k"], r["t"]): r["broken_rules"] for r in bad.collect()}
+    assert broken == {
+        (1, "y"): ["unique:k"], (None, "z"): ["not_null:k"], (2, "long"): ["length:t"], (3, "q"): ["domain:m"],
+        (4, "w"): ["foreign:c"], (5, "x"): ["unique:t,m"],
+    }
+    with pytest.raises(KeyError):
+        quality.enforce(df, rules)

@@ -8,22 +8,48 @@ import pytest
 from pyspark.sql import functions as F
 
 from cardwatch.operators import drift, evaluate, explain, learn, profile, windows
-from cardwatch.operators.oversample import nearest, oversample
+from cardwatch.operators.oversample import FAN, LEAF, TREES, leaves, nearest, oversample
 from cardwatch.operators.prepare import apply_prep, fit_prep
 from cardwatch.plans import inputs, models
 from cardwatch.sources import logs
 
 
-def test_nearest_is_exact(scattered):
+def recall(df, x, k=5, **options):
+    """Share of the true nearest distances that the search finds."""
+    got = {}
+    for r in nearest(df, k, **options).collect():
+        got.setdefault(r["id"], []).append(r["distance"])
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    np.fill_diagonal(d, np.inf)
+    ids = [r["id"] for r in df.select("id").collect()]
+    order = {i: n for n, i in enumerate(sorted(ids))}
+    hits = sum((np.array(v) <= np.sort(d[order[i]])[k - 1] * (1 + 1e-9)).sum() for i, v in got.items())
+    return hits / (k * len(x))
+
+
+def test_nearest_finds_most_neighbours(scattered):
     rng = np.random.default_rng(0)
-    clouds = [rng.normal(size=(200, 4)), rng.normal(size=(80, 4)) * 0.01 + 5, rng.integers(0, 2, (20, 4)) + rng.normal(size=(20, 4)) * 1e-6]
+    clouds = [rng.normal(size=(900, 8)), rng.normal(size=(80, 8)) * 0.01 + 5, rng.integers(0, 2, (20, 8)) + rng.normal(size=(20, 8)) * 1e-6]
     x = np.concatenate(clouds)
     df = scattered.createDataFrame([(f"p{i:04d}", [float(v) for v in r]) for i, r in enumerate(x)], "id string, v array<double>")
-    got = nearest(df, 5, window=6, bucket=16).orderBy("id", "place").collect()
-    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
-    np.fill_diagonal(d, np.inf)
-    assert len(got) == 5 * len(x)
-    assert np.allclose(np.array([r["distance"] for r in got]).reshape(len(x), 5), np.sort(d, 1)[:, :5])
+    assert recall(df, x) >= 0.95
+
+
+def test_nearest_of_the_given_frauds(spark, src):
+    data = models.split(spark, src)
+    v = F.array(*[F.col(c).cast("double") for c in data.prep.columns])
+    df = data.train.where("is_fraud").groupBy(v.alias("v")).agg(F.min("transaction_bk").alias("id")).persist()
+    rows = sorted(df.collect(), key=lambda r: r["id"])
+    assert recall(df, np.array([r["v"] for r in rows])) >= 0.95
+
+
+@pytest.mark.parametrize("n", [500, 4000])
+def test_compared_points_are_bounded(spark, n):
+    x = np.random.default_rng(n).normal(size=(n, 6))
+    df = spark.createDataFrame([(f"p{i}", [float(v) for v in r]) for i, r in enumerate(x)], "id string, v array<double>")
+    sizes = leaves(df, TREES, LEAF, FAN, 7).groupBy("tree", "node").count().collect()
+    assert sum(r["count"] for r in sizes) == n * TREES
+    assert max(r["count"] for r in sizes) <= 1.5 * LEAF
 
 
 def test_oversample_size_and_segments(spark):

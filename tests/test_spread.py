@@ -53,9 +53,9 @@ def test_exact_quantiles_of_bracketed_rows(scattered):
     values = np.concatenate([rng.exponential(size=60_000), np.repeat(0.7, 30_000)])
     df = scattered.createDataFrame([(float(v), i % 3) for i, v in enumerate(values)], "v double, c int").persist()
     probs = [0.001, 0.25, 0.5, 0.62, 0.99, 1.0]
-    for limit in (10, 40_000, 10**6):
-        assert np.allclose(exact_quantiles(df, "v", probs, sort_rows=limit).first(), np.quantile(values, probs))
-    for r in exact_quantiles(df, "v", probs, by=["c"], sort_rows=10).collect():
+    for accuracy in (100, 1000, 10_000):
+        assert np.allclose(exact_quantiles(df, "v", probs, accuracy=accuracy).first(), np.quantile(values, probs))
+    for r in exact_quantiles(df, "v", probs, by=["c"], accuracy=200).collect():
         assert np.allclose(r[1:], np.quantile(values[np.arange(len(values)) % 3 == r["c"]], probs))
 
 
@@ -75,15 +75,15 @@ def hot_rows(spark, n=900, seed=5):
 def test_time_chunks_cut_only_heavy_keys(scattered):
     rows = hot_rows(scattered)
     cut = time_chunks(rows, "client_id", "event_ts", max_rows=60)
-    assert cut.split and cut.df.count() == 900
-    sizes = {(r[0], r[1]): r[2] for r in cut.df.groupBy("client_id", "_chunk").count().collect()}
+    assert cut.count() == 900
+    sizes = {(r[0], r[1]): r[2] for r in cut.groupBy("client_id", "_chunk").count().collect()}
     hot = sorted(c for k, c in sizes if k == "hot")
     assert hot == list(range(1, len(hot) + 1)) and len(hot) >= 4
     assert all(c == 0 for k, c in sizes if k != "hot")
-    ranges = cut.df.where("client_id = 'hot'").groupBy("_chunk").agg(F.min("event_ts"), F.max("event_ts"))
+    ranges = cut.where("client_id = 'hot'").groupBy("_chunk").agg(F.min("event_ts"), F.max("event_ts"))
     ordered = sorted(tuple(r) for r in ranges.collect())
     assert all(a[2] < b[1] for a, b in zip(ordered, ordered[1:]))
-    assert not time_chunks(rows, "client_id", "event_ts", max_rows=10_000).split
+    assert time_chunks(rows, "client_id", "event_ts", max_rows=10_000).where("_chunk > 0").isEmpty()
 
 
 def same(a, b):
