@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -10,9 +11,9 @@ from pyspark.sql import functions as F
 
 from cardwatch.functions.spread import running_totals
 
-# Random projection trees, points of a leaf (about), and children of a node.
-TREES = 12
-LEAF = 96
+# Random projection trees, points of a leaf (about), and children of a node at most.
+TREES = 24
+LEAF = 160
 FAN = 8
 
 
@@ -23,22 +24,23 @@ def _distance(a: Column, b: Column) -> Column:
 def leaves(points: DataFrame, trees: int, leaf: int, fan: int, seed: int) -> DataFrame:
     """Each point once per tree with its leaf `node`: (tree, node, id, v).
 
-    A level cuts every node into `fan` parts of about equal size along a random direction. The cuts come from a
+    A level cuts every node into at most `fan` parts of about equal size along a random direction. The cuts come from a
     sketch per node, which tasks merge, so no task holds a node; directions are drawn from the seed alone.
     """
-    n, width = points.count(), points.select(F.max(F.size("v"))).scalar() or 0
+    n, width = points.agg(F.count("*"), F.coalesce(F.max(F.size("v")), F.lit(0))).first()
     rng = np.random.default_rng(seed)
     placed = points.select("id", "v", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree")).withColumn("node", F.lit(0).cast("bigint"))
+    parts = max(1.0, n / leaf)
+    levels = math.ceil(math.log(parts, fan) - 1e-9)
+    fan = math.ceil(parts ** (1 / levels) - 1e-9) if levels else 1
     share = [i / fan for i in range(1, fan)]
-    size = float(n)
-    while size > leaf:
+    for _ in range(levels):
         axes = F.lit([rng.normal(size=width).tolist() for _ in range(trees)])
         along = F.aggregate(F.zip_with("v", F.get(axes, F.col("tree")), lambda x, w: x * w), F.lit(0.0), lambda a, x: a + x)
         placed = placed.withColumn("p", along).checkpoint()
         cuts = placed.groupBy("tree", "node").agg(F.percentile_approx("p", share, 1000).alias("cuts"))
         part = F.size(F.filter("cuts", lambda c: F.col("p") > c))
         placed = placed.join(cuts, ["tree", "node"]).select("id", "v", "tree", (F.col("node") * fan + part).alias("node"))
-        size /= fan
     return placed
 
 
