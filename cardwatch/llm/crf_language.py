@@ -232,14 +232,14 @@ def fit(texts: list[str], labels: list[str], rounds: int = ROUNDS, seed: int = 7
 
 
 def training_rows(docs: DataFrame, rows_per_label: int) -> DataFrame:
-    """At most so many labelled rows of each language: those of smallest id hash. The hash first thins out
-    frequent languages, so that no task orders all rows of one."""
+    """At most so many labelled rows of each language: those of smallest id hash. The hash thins out frequent
+    languages where they are read, so that no text is shuffled but some times the number wanted."""
     rows = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).select(
         "doc_id", "text", "lang", F.xxhash64("doc_id").alias("h")
     )
-    share = F.least(F.lit(1.0), 3.0 * rows_per_label / F.col("n"))
-    counts = rows.groupBy("lang").count().withColumnRenamed("count", "n")
-    thin = rows.join(counts, "lang").where((F.col("h") / 2.0**64 + 0.5) <= share)
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # a row per language
+    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 3.0 * rows_per_label / n))])
+    thin = rows.where((F.col("h") / 2.0**64 + 0.5) <= share[F.col("lang")]) if counts else rows
     w = Window.partitionBy("lang").orderBy("h", "doc_id", "text")
     return thin.withColumn("r", F.row_number().over(w)).where(F.col("r") <= rows_per_label).select("doc_id", "text", "lang")
 

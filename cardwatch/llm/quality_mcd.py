@@ -120,7 +120,7 @@ def _pooled(rows: DataFrame, min_rows: int) -> DataFrame:
     fine = fine.withColumn("small", F.col("n") < min_rows)
     fine = fine.withColumn("pool", F.sum(F.when(F.col("small"), F.col("n")).otherwise(0)).over(Window.partitionBy("lang")))
     g = F.when(~F.col("small"), name("lang", "source")).when(F.col("pool") >= min_rows, name("lang")).otherwise("{}")
-    named = fine.select(F.col("lang").alias("g_lang"), F.col("source").alias("g_source"), g.alias("g"))
+    named = save(fine.select(F.col("lang").alias("g_lang"), F.col("source").alias("g_source"), g.alias("g")), "groups")
     same = F.col("lang").eqNullSafe(F.col("g_lang")) & F.col("source").eqNullSafe(F.col("g_source"))
     return rows.join(named, same).drop("g_lang", "g_source")
 
@@ -200,7 +200,7 @@ def _medians(rows: DataFrame) -> DataFrame:
 
 def estimates(rows: DataFrame, share: float = SHARE, steps: int = STEPS) -> DataFrame:
     """The estimate of each group g: means, Cholesky factor, and the factor that makes distances consistent."""
-    middle = _medians(rows)
+    middle = save(_medians(rows), "medians")  # a row per group
     away = sum((((F.col(f"x{i}") / UNIT - F.col(f"c{i}")) / F.col(f"r{i}")) ** 2 for i in range(P)), F.lit(0.0))
     one = rows.select("*", F.lit(0).alias("start"), F.lit(0.0).alias("d2"))
     two = rows.join(middle, "g").select(*rows.columns, F.lit(1).alias("start"), away.alias("d2"))

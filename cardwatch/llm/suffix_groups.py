@@ -320,8 +320,8 @@ def repeated_runs(docs: DataFrame, length: int, gram: int, group_limit: int) ->
     texts = texts.groupBy("h", "c").agg(F.first("left").alias("left"), F.first("right").alias("right"))
     texts = save(texts.join(groups, "h"), "context-bytes")
     small = texts.where(F.col("contexts") <= group_limit).select("h", "c", "left", "right")
-    parts = max(1, -(-texts.count() // TASK_CONTEXTS))  # sorting takes long for its bytes
-    sorted_ = small.repartition(parts, "h").sortWithinPartitions("h", "c").mapInArrow(_sort_contexts(length, gram), "h bigint, c bigint, first int, last int")
+    n_tasks = max(1, -(-texts.count() // TASK_CONTEXTS))  # sorting takes long for its bytes
+    sorted_ = small.repartition(n_tasks, "h").sortWithinPartitions("h", "c").mapInArrow(_sort_contexts(length, gram), "h bigint, c bigint, first int, last int")
     keys = texts.where(F.col("contexts") > group_limit).select("h", "c", "left", "right")
     keys = save(keys.mapInArrow(_window_keys(length, gram), "h bigint, c bigint, first int, key binary"), "window-keys")
     again = keys.groupBy("h", "key").agg(F.count("*").alias("n")).where("n > 1").select("h", "key")
