@@ -411,6 +411,20 @@ FROM staging GROUP BY channel"""
 , c AS (SELECT count(*) FILTER (WHERE is_fraud) AS p, count(*) FILTER (WHERE NOT is_fraud) AS n FROM split_rows WHERE split = 'train')
 SELECT true AS is_fraud, false AS synthetic, p AS n FROM c UNION ALL SELECT false, false, n FROM c
 UNION ALL SELECT true, true, cast(floor(cast(0.3 AS double) * n) AS bigint) - p FROM c"""
+    sql["smote_points"] = BASE + ORDERED + """
+, c AS (SELECT count(*) FILTER (WHERE is_fraud) AS p, count(*) FILTER (WHERE NOT is_fraud) AS n FROM split_rows WHERE split = 'train')
+SELECT cast(floor(cast(0.3 AS double) * n) AS bigint) - p AS n, 0::BIGINT AS n_outside FROM c"""
+    sql["scored_requests"] = BASE + ORDERED + """
+, q AS (SELECT concat_ws(',',
+    CASE WHEN NOT amount > 0 THEN 'amount' END,
+    CASE WHEN NOT home_distance_km >= 0 THEN 'home_distance_km' END,
+    CASE WHEN NOT net_income > 0 THEN 'net_income' END) AS errors FROM split_rows WHERE split = 'test')
+SELECT errors, count(*) AS n, 0::BIGINT AS n_wrong FROM q GROUP BY errors"""
+    sql["model_properties"] = BASE + ORDERED + """
+, n AS (SELECT count(*) FILTER (WHERE split = 'test') AS test,
+        count(*) FILTER (WHERE split = 'train' AND NOT is_fraud) AS legit FROM split_rows)
+SELECT property, CASE property WHEN 'importances' THEN 0 WHEN 'reconstruction' THEN legit ELSE test END AS n, 0::BIGINT AS n_wrong
+FROM n, unnest(['boosted_explanations', 'logistic_explanations', 'stored_model', 'reconstruction', 'importances']) AS u(property)"""
     sql["metric_summary"] = BASE + """
 , st AS (SELECT avg(amount) AS m, stddev_samp(amount) AS s FROM labelled),
 z AS (SELECT abs((amount - m) / s) > 3 AS flag, is_fraud FROM labelled, st)

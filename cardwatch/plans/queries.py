@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -554,21 +555,88 @@ def sequence_classifier(spark: SparkSession, src: str) -> DataFrame:
 
 
 def score_batch(spark: SparkSession, src: str) -> DataFrame:
-    """Test rows through validation, scoring, decision, explanation and online enrichment."""
+    """Test rows through validation, scoring, decision, explanation and online enrichment; rejected
+    requests come out too, with the fields that are out of their domain and no score."""
     data = models.split(spark, src)
     requests = data.test.withColumnsRenamed({"split": "_split"})
-    accepted, _ = score.validate_requests(requests, data.prep.categories)
+    accepted, rejected = score.validate_requests(requests, data.prep.categories)
     model = models.boosted(spark, src)
     scored = learn.apply_model(accepted, model)
     explained = explain.tree_contributions(scored, model, keep=("transaction_bk", "client_id", "score"))
     decided = score.decide(explain.top_factors(explained, data.prep.columns), tuned=0.8)
     enriched = score.enrich_online(decided, inputs.ingested(spark, src).counters(spark))
-    return enriched.select(
+    answered = enriched.select(
         "transaction_bk", "score", "fraud_at_default", "fraud_at_tuned", "risk_level",
         F.col("top_features").cast("string").alias("top_features"),
         F.coalesce("online.nb_tx_1h", F.lit(-1)).alias("nb_tx_1h"),
         F.lit(f"gbt-{models.TREES}").alias("model_version"),
+        F.lit("").alias("errors"),
     )
+    refused = rejected.select("transaction_bk", F.concat_ws(",", "errors").alias("errors"))
+    return answered.unionByName(refused, allowMissingColumns=True)
+
+
+def scored_requests(spark: SparkSession, src: str) -> DataFrame:
+    """Requests by the fields they break, and how many answers contradict their own score."""
+    rows = score_batch(spark, src)
+    p = F.col("score")
+    band = F.when(p >= 0.8, F.col("fraud_at_default") & F.col("fraud_at_tuned")).otherwise(~F.col("fraud_at_tuned"))
+    missing = F.col("score").isNull() | F.col("top_features").isNull() | ~p.between(0, 1)
+    accepted = F.col("errors") == ""
+    edge = F.abs(p - 0.8) < 1e-3  # the score is rounded after the decision
+    wrong = (accepted & (missing | (~edge & ~band))) | (~accepted & p.isNotNull())
+    return rows.groupBy("errors").agg(F.count("*").alias("n"), F.count_if(wrong).alias("n_wrong"))
+
+
+def smote_points(spark: SparkSession, src: str) -> DataFrame:
+    """Synthetic frauds, and those that leave the range of the real ones in some feature or are no number."""
+    data = models.split(spark, src)
+    rows = oversample(data.train, data.prep.columns)
+    real = rows.where("is_fraud AND NOT synthetic")
+    columns = data.prep.columns
+    ends = real.agg(*[F.min(c).alias(f"lo_{c}") for c in columns], *[F.max(c).alias(f"hi_{c}") for c in columns]).first()
+    inside = F.lit(True)
+    for c in columns:
+        inside = inside & F.coalesce(F.col(c).between(ends[f"lo_{c}"] - 1e-9, ends[f"hi_{c}"] + 1e-9), F.lit(False))
+    return rows.where("synthetic").agg(F.count("*").alias("n"), F.count_if(~inside).alias("n_outside"))
+
+
+def model_properties(spark: SparkSession, src: str) -> DataFrame:
+    """Properties that fitted models must have: rows looked at and rows that break them."""
+    data = models.split(spark, src)
+    boosted, logistic, code = models.boosted(spark, src), models.logistic(spark, src), models.reconstruction(spark, src)
+    names = data.prep.columns
+
+    def explained(name: str, parts: DataFrame, model) -> DataFrame:
+        scores = learn.apply_model(data.test, model).select("transaction_bk", "score")
+        total = F.col("base") + F.aggregate("contributions", F.lit(0.0), lambda a, x: a + x)
+        gap = F.abs(1 / (1 + F.exp(-total)) - F.col("score"))
+        wrong = F.count_if(F.coalesce(gap > 1e-6, F.lit(True)))
+        return parts.join(scores, "transaction_bk").agg(F.lit(name).alias("property"), F.count("*").alias("n"), wrong.alias("n_wrong"))
+
+    path = run_dir(spark, "model")
+    logs.save_model(spark, logistic, 0.4, path)
+    again, _ = logs.load_model(spark, path)
+    both = learn.apply_model(data.test, logistic).select("transaction_bk", "score").join(
+        learn.apply_model(data.test, again).select("transaction_bk", F.col("score").alias("other")), "transaction_bk"
+    )
+    # what three components leave over is the sum of the other eigenvalues
+    errors = learn.reconstruction_error(data.train.where(~F.col("is_fraud")), code)
+    held = float(sum(code.stages[-1].explainedVariance))
+    spread = sum((F.var_pop(c) for c in names), F.lit(0.0))
+    left = errors.agg(F.count("*").alias("n"), F.avg(F.col("error") * len(names)).alias("e"), spread.alias("v"))
+    left = left.select(F.lit("reconstruction").alias("property"), "n", (F.abs(F.col("e") - F.col("v") * (1 - held)) > 1e-6 * F.col("v")).cast("bigint").alias("n_wrong"))
+    gains = learn.importances(spark, boosted).agg(
+        F.lit("importances").alias("property"), F.lit(0).cast("bigint").alias("n"), (F.abs(F.sum("importance") - 1) > 1e-9).cast("bigint").alias("n_wrong")
+    )
+    parts = [
+        explained("boosted_explanations", explain.tree_contributions(data.test, boosted), boosted),
+        explained("logistic_explanations", explain.logistic_contributions(data.test, logistic, data.train), logistic),
+        both.agg(F.lit("stored_model").alias("property"), F.count("*").alias("n"), F.count_if(F.col("score") != F.col("other")).alias("n_wrong")),
+        left,
+        gains,
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def staged_once(spark: SparkSession, src: str) -> DataFrame:
@@ -692,7 +760,7 @@ REGISTERED: list[Query] = [
     drift_numeric, drift_categorical, drift_verdict, retention_check, audit_report,
     logreg_eval, smote, smote_logreg_eval, gbt_eval, gbt_importance, tree_shap,
     logistic_explanation, pca_anomaly,
-    pca_detection_by_type, sequence_classifier, score_batch,
+    pca_detection_by_type, sequence_classifier, score_batch, scored_requests, smote_points, model_properties,
     validate_events, stream_ingest, stream_dead_letters, stream_totals, run_log_state, online_counters,
     enrich_online, stream_dedup, stream_sessions,
     load_facts, rejects, pending, mart_kpis, mart_ingestion, mart_hourly, mart_fraud_type, integrity_anti,
