@@ -27,6 +27,17 @@ def assign_keys(df: DataFrame, natural: Sequence[str], name: str) -> DataFrame:
     return df.withColumn(name, F.row_number().over(Window.orderBy(*natural)))
 
 
+def grow_keys(stored: DataFrame, members: DataFrame, natural: Sequence[str], name: str) -> DataFrame:
+    """The stored members with the keys they have, and new members with keys above them, in their own order.
+
+    Stored facts stay right when members are added. Meant for dimensions of bounded size, as `assign_keys` is.
+    """
+    fresh = members.select(*natural).distinct().join(stored, list(natural), "left_anti")
+    top = stored.agg(F.coalesce(F.max(name), F.lit(0)).alias("top")).first()["top"]
+    numbered = assign_keys(fresh, natural, name).withColumn(name, F.col(name) + F.lit(top))
+    return stored.select(name, *natural).unionByName(numbered.select(name, *natural))
+
+
 def fact_key(bk: str = "transaction_bk") -> Column:
     """Fact key that any executor derives from the business key alone, stable across reloads."""
     return F.xxhash64(bk)

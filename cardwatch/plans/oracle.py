@@ -395,6 +395,12 @@ SELECT transaction_bk, strftime(event_ts, '%Y-%m-%d %H:%M:%S') AS event_time, ca
     sql["channel_reload"] = BASE + """
 SELECT row_number() OVER (ORDER BY channel, mcc_code) AS channel_key, channel, mcc_code
 FROM (SELECT DISTINCT channel, mcc_code FROM staging) x UNION ALL SELECT 0, 'unknown', '0000'"""
+    sql["dimension_growth"] = BASE + """
+, r AS (SELECT DISTINCT channel, mcc_code, (channel <> 'click' OR mcc_code = '0001') AS early FROM staging WHERE amount > 10),
+k AS (SELECT row_number() OVER (ORDER BY channel, mcc_code) AS n, * FROM r WHERE early),
+f AS (SELECT row_number() OVER (ORDER BY channel, mcc_code) AS n, * FROM r WHERE NOT early)
+SELECT n AS channel_key, channel, mcc_code FROM k UNION ALL SELECT 0, 'unknown', '0000'
+UNION ALL SELECT n + (SELECT max(n) FROM k), channel, mcc_code FROM f"""
     sql["random_clients"] = BASE + """
 SELECT client_id FROM (SELECT DISTINCT client_id FROM fact) x ORDER BY md5(concat('42|', client_id)), client_id LIMIT 20"""
     sql["holdout"] = BASE + """
@@ -449,11 +455,19 @@ UNION ALL SELECT 'mart', 'n_unlabelled', count(*) FILTER (WHERE is_fraud IS NULL
         + ", ".join(f"round(({c} - m_{c}) / CASE WHEN s_{c} = 0 THEN 1.0 ELSE s_{c} END, 6) AS x_{c}" for c in scaled)
         + ", cast(is_weekend AS double) AS x_is_weekend, cast(is_night AS double) AS x_is_night FROM labelled, st"
     )
-    sql["one_hot"] = BASE + """
-SELECT cast(auth_method = '3ds' AS double) AS x_auth_method_3ds, cast(auth_method = 'none' AS double) AS x_auth_method_none,
-       cast(auth_method = 'puce_pin' AS double) AS x_auth_method_puce_pin,
+    hot = [
+        f"cast({c} = '{v}' AS double) AS x_{c}_{v}"
+        for c, values in (
+            ("auth_method", ("3ds", "none", "puce_pin")),
+            ("channel", ("click", "error", "purchase", "signup", "unknown", "view")),
+            ("segment", ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")),
+        )
+        for v in values
+    ]
+    sql["one_hot"] = BASE + f"""
+SELECT {', '.join(hot)},
        cast(CASE auth_method WHEN 'puce_pin' THEN 0 WHEN '3ds' THEN 1 ELSE -1 END AS bigint) AS idx, count(*) AS n
-FROM labelled GROUP BY 1, 2, 3, 4"""
+FROM labelled GROUP BY ALL"""
     sql["risk_bands"] = BASE + """
 SELECT CASE WHEN score >= 0.9 THEN 'high' WHEN score >= 0.5 THEN 'medium' ELSE 'low' END AS risk_level,
        score >= 0.5 AS fraud_at_default, score >= 0.9 AS fraud_at_tuned, count(*) AS n FROM scored GROUP BY 1, 2, 3"""
@@ -534,7 +548,7 @@ SELECT (SELECT count(*) FROM accepted) AS ingested, (SELECT count(*) FROM judged
 SELECT client_id, strftime(last_ts, '%Y-%m-%d %H:%M:%S') AS last_ts, nb_tx_1h, amount_1h FROM counters"""
     sql["enrich_online"] = BASE + MESSAGES + """
 SELECT l.transaction_bk, coalesce(c.nb_tx_1h, -1) AS nb_tx_1h, coalesce(c.amount_1h, -1.0) AS amount_1h
-FROM labelled l LEFT JOIN counters c ON c.client_id = l.client_id AND c.nb_tx_1h > 1"""
+FROM labelled l LEFT JOIN counters c ON c.client_id = l.client_id"""
     sql["run_log_state"] = BASE + """
 , d AS (SELECT cast(event_ts AS date) AS day, min(event_ts) AS s, max(event_ts) AS e, count(*) AS n FROM staging GROUP BY 1),
 x AS (SELECT *, day = max(day) OVER () AS newest FROM d)

@@ -336,7 +336,7 @@ def online_counters(spark: SparkSession, src: str) -> DataFrame:
 
 def enrich_online(spark: SparkSession, src: str) -> DataFrame:
     """Facts with the online counters of their client; clients without counters get none."""
-    counters = inputs.ingested(spark, src).counters(spark).where(F.col("nb_tx_1h") > 1)
+    counters = inputs.ingested(spark, src).counters(spark)
     rows = inputs.labelled(spark, src).select("transaction_bk", "client_id")
     found = score.enrich_online(rows, counters)
     return found.select(
@@ -389,7 +389,7 @@ def standardised_features(spark: SparkSession, src: str) -> DataFrame:
 def one_hot(spark: SparkSession, src: str) -> DataFrame:
     """Rows per encoded combination of the categorical features."""
     rows = inputs.labelled(spark, src)
-    prep = prepare.fit_prep(rows, numeric=(), binary=(), categorical=("auth_method",))
+    prep = prepare.fit_prep(rows, numeric=(), binary=(), categorical=prepare.CATEGORICAL)
     index = category_index("auth_method", ["puce_pin", "3ds"])
     coded = prepare.apply_prep(rows, prep).withColumn("idx", F.coalesce(index, F.lit(-1)).cast("bigint"))
     return coded.groupBy(*prep.columns, "idx").agg(F.count("*").alias("n"))
@@ -701,6 +701,15 @@ def channel_reload(spark: SparkSession, src: str) -> DataFrame:
     return stored.withColumn("channel_key", F.col("channel_key").cast("bigint"))
 
 
+def dimension_growth(spark: SparkSession, src: str) -> DataFrame:
+    """Channels seen early in the data keep their keys when those that come later are added."""
+    rows = inputs.staging(spark, src).where(F.col("amount") > 10)
+    early = rows.where((F.col("channel") != "click") | (F.col("mcc_code") == "0001"))
+    stored = dimensions.channel_dimension(early.select("channel", "mcc_code").distinct())
+    grown = dimensions.grow_keys(stored, rows, ["channel", "mcc_code"], "channel_key")
+    return grown.withColumn("channel_key", F.col("channel_key").cast("bigint"))
+
+
 def random_clients(spark: SparkSession, src: str) -> DataFrame:
     return windows.random_keys(inputs.fact(spark, src), "client_id", 20)
 
@@ -754,7 +763,7 @@ def error_histogram(spark: SparkSession, src: str) -> DataFrame:
 
 
 REGISTERED: list[Query] = [
-    staged_once, processed_rows, enforced_rows, column_defaults, bulk_text, channel_reload, random_clients,
+    staged_once, processed_rows, enforced_rows, column_defaults, bulk_text, channel_reload, dimension_growth, random_clients,
     resampled_rows, holdout, class_weights, production_models, saved_model, error_histogram,
     metric_summary, standardised_features, one_hot, risk_bands, validate_requests, top_contributions_linear,
     drift_numeric, drift_categorical, drift_verdict, retention_check, audit_report,

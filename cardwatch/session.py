@@ -30,16 +30,19 @@ def build_session(app: str = "cardwatch", master: str | None = None, **conf: str
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can reach, as the session names it.
 
-    Only a local session may fall back to a temporary folder.
+    Without a named one it is below the home folder of the default file system; only a local session
+    takes a temporary folder.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
     if not named:
         named = sc.getCheckpointDir()
     if not named:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        named = tempfile.mkdtemp(prefix="cardwatch-")
+        if sc.master.startswith("local") and not sc.master.startswith("local-cluster"):
+            named = tempfile.mkdtemp(prefix="cardwatch-")
+        else:
+            files = sc._jvm.org.apache.hadoop.fs.FileSystem.get(sc._jsc.hadoopConfiguration())
+            named = f"{files.getHomeDirectory().toString()}/cardwatch/{sc.applicationId}"
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(named)
     return named
