@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cardwatch.functions.scalar import shift_cyclic
 from cardwatch.functions.spread import running_totals
+from cardwatch.session import shared_dir
 
 ALERT_SHARE = 0.20
 DRIFT_THRESHOLD = 0.1
@@ -45,7 +46,10 @@ def _value_counts(reference: DataFrame, current: DataFrame, columns: Sequence[st
 
 def numeric_drift(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Wasserstein distance per column, divided by the reference's population deviation (0.001 at least)."""
-    counts = _value_counts(reference, current, columns, "DOUBLE")
+    return _wasserstein(_value_counts(reference, current, columns, "DOUBLE"))
+
+
+def _wasserstein(counts: DataFrame) -> DataFrame:
     steps = running_totals(counts, ["x"], ["ref", "cur"], by=["feature"], next_of="x")
     sizes = counts.groupBy("feature").agg(
         F.sum("ref").alias("n_ref"),
@@ -73,7 +77,10 @@ def numeric_drift(reference: DataFrame, current: DataFrame, columns: Sequence[st
 
 def categorical_drift(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Jensen-Shannon distance (base 2) between the value frequencies of each column."""
-    counts = _value_counts(reference, current, columns, "STRING")
+    return _jensen_shannon(_value_counts(reference, current, columns, "STRING"))
+
+
+def _jensen_shannon(counts: DataFrame) -> DataFrame:
     sizes = counts.groupBy("feature").agg(F.sum("ref").alias("n_ref"), F.sum("cur").alias("n_cur"))
     shares = counts.join(F.broadcast(sizes), "feature").select(  # one row per column
         "feature", (F.col("ref") / F.col("n_ref")).alias("p"), (F.col("cur") / F.col("n_cur")).alias("q")
@@ -98,21 +105,23 @@ def column_drift(
     categorical: Sequence[str],
     threshold: float = DRIFT_THRESHOLD,
 ) -> DataFrame:
-    """Score and verdict per column; numeric columns with few values are compared by frequency."""
-    by_value = numeric_drift(reference, current, numeric)
-    by_share = categorical_drift(reference, current, [*numeric, *categorical])
-    few = by_share.where(
-        F.col("feature").isin(*categorical) | (F.col("n_values") <= FEW_VALUES)
-    )
-    return (
-        by_value.where(F.col("n_values") > FEW_VALUES)
-        .unionByName(few)
-        .select(
-            "feature",
-            "method",
-            F.round("score", 6).alias("score"),
-            (F.col("score") >= threshold).alias("drifted"),
-        )
+    """Score and verdict per column; numeric columns with few values are compared by frequency.
+
+    The values of the numeric columns are counted once; each column then goes to one of the two methods.
+    """
+    shared_dir(reference.sparkSession)
+    counts = _value_counts(reference, current, numeric, "DOUBLE").checkpoint()
+    sizes = counts.groupBy("feature").agg(F.count_if(F.col("ref") > 0).alias("n"))
+    few = [r["feature"] for r in sizes.where(F.col("n") <= FEW_VALUES).collect()]  # names of columns
+    by_name = counts.where(F.col("feature").isin(few)).withColumn("x", F.col("x").cast("string"))
+    if categorical:
+        by_name = by_name.unionByName(_value_counts(reference, current, categorical, "STRING"))
+    scores = _wasserstein(counts.where(~F.col("feature").isin(few))).unionByName(_jensen_shannon(by_name))
+    return scores.select(
+        "feature",
+        "method",
+        F.round("score", 6).alias("score"),
+        (F.col("score") >= threshold).alias("drifted"),
     )
 
 
