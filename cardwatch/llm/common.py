@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwatch.session import run_dir
+from cardwatch.session import run_dir, with_package
 
 #: Java pattern of what separates words.
 SPACES = "[\\x20\\x09-\\x0D]+"
@@ -42,6 +42,7 @@ def map_text(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], sc
             for piece in slices(batch, text):
                 yield work(piece)
 
+    with_package(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from cardwatch.llm.common import save
 from cardwatch.llm.heap_bpe import tokenizer_path
+from cardwatch.session import with_package
 
 FOLDS, FOLD = 7, 2
 #: A chunk of documents ends at so many bytes of text, or so many distinct words.
@@ -139,6 +140,7 @@ def score(docs: DataFrame, path: str | None = None, folds: int = FOLDS, fold: in
     Learns from documents whose crc32(doc_id as text) mod `folds` is not `fold`.
     """
     rows = docs.select(F.col("doc_id").cast("bigint"), "text").withColumn("held_out", held_out(folds, fold))
+    with_package(docs.sparkSession)
     chunks = save(rows.mapInArrow(_encode, _CHUNKS), "chunks")
     words = chunks.where("word IS NOT NULL").select("word", "chunk", "id", "n")
     by_word = Window.partitionBy("word")

@@ -1,9 +1,10 @@
 """Substring de-duplication by sliding sentence spans.
 
 A text is cut into sentences: after a word that ends with a full stop, exclamation or question mark, at a
-line end, and after every `MAX_WORDS` words of a longer sentence. Every run of `SPAN` consecutive sentences with
-`SPAN_WORDS` words or more is hashed (128 bits, over words in lower case A-Z), the hashes are joined over all
-documents, and a sentence goes if a run that covers it is found more than once and not for the first time.
+line end, and after every `MAX_WORDS` words of a longer sentence. Every run of `SPAN` consecutive sentences is
+hashed (128 bits, over words in lower case A-Z); a run of fewer than `SPAN_WORDS` words takes as many sentences
+more, before or behind it, as it needs. The hashes are joined over all documents, and a
+sentence goes if a run that covers it is found more than once and not for the first time.
 The first time is the one of smallest id, then text hash, then place; a passage within one text counts too.
 
 Only hashes with their places are shuffled. The hashes are counted before the join, so it meets only runs that
@@ -60,28 +61,34 @@ class Sentences:
         self.count = np.bincount(self.owner, minlength=len(offsets) - 1)
         self.place = np.arange(len(self.first)) - np.repeat(np.cumsum(self.count) - self.count, self.count)
 
-    def runs(self, span: int, least_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Number of the first sentence and two hashes of each run of `span` sentences."""
-        n = len(self.first) - span + 1
-        if n <= 0:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    def runs(self, span: int, least_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """First sentence, number of sentences and two hashes of each run."""
+        n = len(self.first)
+        upto = np.concatenate([[0], np.cumsum(self.size)])
         at = np.arange(n)
-        words = sum(self.size[j : j + n] for j in range(span))
-        at = at[(self.owner[:n] == self.owner[span - 1 :]) & (words >= least_words)]
+        # the shortest run from each sentence on, and the shortest one up to each
+        last = np.maximum(at + span - 1, np.searchsorted(upto, upto[:-1] + least_words, "left") - 1)
+        begin = np.minimum(at - span + 1, np.searchsorted(upto, upto[1:] - least_words, "right") - 1)
+        first, last = np.concatenate([at, begin]), np.concatenate([last, at])
+        inside = (first >= 0) & (last < n)
+        first, last = first[inside], last[inside]
+        inside = self.owner[first] == self.owner[last]
+        pairs = np.unique(first[inside] * (n + 1) + last[inside])
+        first, last = pairs // (n + 1), pairs % (n + 1)
         out = []
         for which in (0, 1):
             word = textnum.RangeHash(self.low, which)(self.starts, self.ends)
             run = textnum.RangeHash(textnum.mix(word), which)
-            out.append(run(self.first[at], (self.first + self.size)[at + span - 1]))
-        return at, out[0], out[1]
+            out.append(run(self.first[first], (self.first + self.size)[last]))
+        return first, last - first + 1, out[0], out[1]
 
 
 def span_hashes(docs: DataFrame, span: int, least_words: int, max_words: int) -> DataFrame:
-    """h1, h2, doc_id, text_hash and place of every run of every text."""
+    """h1, h2, doc_id, text_hash, place and number of sentences of every run of every text."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         s = Sentences(*text_bytes(batch.column("text")), max_words)
-        at, h1, h2 = s.runs(span, least_words)
+        at, size, h1, h2 = s.runs(span, least_words)
         rows = pa.array(s.owner[at])
         return pa.RecordBatch.from_arrays(
             [
@@ -90,12 +97,13 @@ def span_hashes(docs: DataFrame, span: int, least_words: int, max_words: int) ->
                 batch.column("doc_id").take(rows),
                 batch.column("text_hash").take(rows),
                 pa.array(s.place[at].astype(np.int32)),
+                pa.array(size.astype(np.int32)),
             ],
-            ["h1", "h2", "doc_id", "text_hash", "place"],
+            ["h1", "h2", "doc_id", "text_hash", "place", "size"],
         )
 
     rows = docs.select(F.col("doc_id").cast("bigint"), F.xxhash64("text").alias("text_hash"), "text")
-    return map_text(rows, work, "h1 bigint, h2 bigint, doc_id bigint, text_hash bigint, place int")
+    return map_text(rows, work, "h1 bigint, h2 bigint, doc_id bigint, text_hash bigint, place int, size int")
 
 
 def dedup(
@@ -108,15 +116,17 @@ def dedup(
         spans.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1").drop("n")
     )
     again = spans.join(repeated, ["h1", "h2"]).where(~place.eqNullSafe(F.col("first")))
-    cuts = again.groupBy("doc_id", "text_hash").agg(F.collect_set("place").alias("places"))
-    cuts = cuts.select(F.col("doc_id").alias("cut_id"), F.col("text_hash").alias("cut_hash"), "places")
+    cuts = again.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("place", "size")).alias("runs"))
+    cuts = cuts.select(F.col("doc_id").alias("cut_id"), F.col("text_hash").alias("cut_hash"), F.col("runs.place").alias("places"), F.col("runs.size").alias("sizes"))
     names = [c for c in docs.columns if c not in ("n_sentences", "n_removed")]
     inner = [f"c{i}" for i in range(len(names))]
     rows = docs.select(*[F.col(c).alias(x) for c, x in zip(names, inner, strict=True)])
     text = inner[names.index("text")]
     doc_id = F.col(inner[names.index("doc_id")]).cast("bigint")
     same = doc_id.eqNullSafe(F.col("cut_id")) & F.xxhash64(text).eqNullSafe(F.col("cut_hash"))
-    joined = rows.join(cuts, same, "left").select(*inner, F.coalesce("places", F.array().cast("array<int>")).alias("places"))
+    joined = rows.join(cuts, same, "left").select(
+        *inner, *[F.coalesce(c, F.array().cast("array<int>")).alias(c) for c in ("places", "sizes")]
+    )
     schema = rows.schema.add("n_sentences", "long").add("n_removed", "long")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -126,10 +136,12 @@ def dedup(
         lists = batch.column("places")
         row = np.repeat(np.arange(len(column)), np.diff(lists.offsets.to_numpy()))
         place = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-        gone = np.zeros(len(s.first), bool)
-        base = np.cumsum(s.count) - s.count
-        for j in range(span):
-            gone[base[row] + place + j] = True
+        size = batch.column("sizes").flatten().to_numpy(zero_copy_only=False)
+        first = (np.cumsum(s.count) - s.count)[row] + place
+        marks = np.zeros(len(s.first) + 1, np.int64)
+        np.add.at(marks, first, 1)
+        np.add.at(marks, first + size, -1)
+        gone = np.cumsum(marks)[:-1] > 0
         # a sentence goes with the space behind it
         stops = np.append(s.byte, len(data))[1:]
         stops = np.minimum(stops, offsets[s.owner + 1]) if len(stops) else stops
