@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -48,6 +49,16 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+def with_package(spark: SparkSession) -> None:
+    """Let Python workers that start from now on import this package from where the driver has it.
+
+    Changes nothing where PYTHONPATH names the folder; on a cluster install the package on all nodes.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if root not in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+
+
 def run_dir(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder; nothing is created until Spark writes there."""
     return f"{shared_dir(spark).rstrip('/')}/cardwatch/{label}-{uuid.uuid4().hex}"
