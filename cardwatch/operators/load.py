@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cardwatch import schema
 from cardwatch.operators.dimensions import Dims, fact_key
+from cardwatch.sources.logs import run_log_event
+from cardwatch.sources.tables import append, read_or_empty
 
 
 class Loaded(NamedTuple):
@@ -162,3 +166,28 @@ def labelled_transactions(fact: DataFrame, dims: Dims) -> DataFrame:
         "auth_method", "channel", "segment", "is_fraud", "fraud_type",
         (F.col("tx_country") != F.col("home_country")).alias("unusual_country"),
     )
+
+
+def load_and_log(
+    staging: DataFrame, dims: Dims, path: str, log_path: str, run_id: str, mode: str = "batch"
+) -> None:
+    """Append the new facts of a batch load to the fact table and its outcome to the run log."""
+    spark = staging.sparkSession
+    run = {"run_id": run_id, "source": "load", "mode": mode}
+    began = time.monotonic()
+    append(run_log_event(spark, **run, status="RUNNING"), log_path)
+    try:
+        stored = read_or_empty(spark, path, T.StructType([T.StructField("transaction_bk", T.StringType())]))
+        todo = pending(staging, stored, mode).persist()
+        loaded = load_facts(todo, dims)
+        n_rows, n_rejected = todo.count(), loaded.rejects.count()
+        append(loaded.facts, path)
+        todo.unpersist()
+        spent = int((time.monotonic() - began) * 1000)
+        done = run_log_event(
+            spark, **run, status="OK", n_rows=n_rows - n_rejected, n_rejected=n_rejected, duration_ms=spent
+        )
+    except Exception as exc:
+        append(run_log_event(spark, **run, status="ERROR", message=str(exc)), log_path)
+        raise
+    append(done, log_path)

