@@ -14,7 +14,7 @@ from cardwatch.session import run_dir, with_package
 #: Java pattern of what separates words.
 SPACES = "[\\x20\\x09-\\x0D]+"
 #: Bytes of text that a task works on at once; a longer text makes a slice of its own.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def save(df: DataFrame, label: str) -> DataFrame:
