@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from cardwatch.llm import crf_language, decontaminate, pfair_mix, sentence_dedup, simhash_trie
 from cardwatch.llm.common import read_table, save
 
-#: A text whose words are assigned to no language with at least this mean probability is rejected.
-LEAST_SCORE = 0.5
+#: A text of whose words no language has at least this mean probability is rejected; texts of two languages stay.
+LEAST_SCORE = 0.4
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
