@@ -111,11 +111,11 @@ def dedup(
 ) -> DataFrame:
     """The rows with the text that is left, n_sentences and n_removed."""
     spans = save(span_hashes(docs, span, least_words, max_words), "spans")
+    repeated = spans.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")
+    found = save(spans.join(repeated, ["h1", "h2"]), "repeated-spans")
     place = F.struct("doc_id", "text_hash", "place")
-    repeated = (
-        spans.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1").drop("n")
-    )
-    again = spans.join(repeated, ["h1", "h2"]).where(~place.eqNullSafe(F.col("first")))
+    first = found.groupBy("h1", "h2").agg(F.min(place).alias("first"))
+    again = found.join(first, ["h1", "h2"]).where(~place.eqNullSafe(F.col("first")))
     cuts = again.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("place", "size")).alias("runs"))
     cuts = cuts.select(F.col("doc_id").alias("cut_id"), F.col("text_hash").alias("cut_hash"), F.col("runs.place").alias("places"), F.col("runs.size").alias("sizes"))
     names = [c for c in docs.columns if c not in ("n_sentences", "n_removed")]
