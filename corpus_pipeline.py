@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwatch.llm import crf_language, decontaminate, pfair_mix, sentence_dedup, simhash_trie
+from cardwatch.llm import crf_language, decontaminate, near_copies, pfair_mix, sentence_dedup
 from cardwatch.llm.common import read_table, save
 
 #: A text of whose words no language has at least this mean probability is rejected; texts of two languages stay.
@@ -26,8 +26,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of linked fingerprints."""
-    return simhash_trie.dedup(docs)
+    """Keep one document of each group linked by a similarity of 0.8 or more over five-word shingles."""
+    return near_copies.dedup(docs)
 
 
 def repeated_sentences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
