@@ -1,7 +1,9 @@
 """Substring de-duplication by sliding sentence spans.
 
-A text is cut into sentences: after a word that ends with a full stop, exclamation or question mark, at a
-line end, and after every `MAX_WORDS` words of a longer sentence. Every run of `SPAN` consecutive sentences is
+A text is cut into sentences: after a word that ends with a full stop, exclamation or question mark and at a
+line end. A sentence of more than `MAX_WORDS` words is cut by its content, so that a passage is cut alike wherever
+it stands in one: after each word whose hash is 0 modulo `CUT_EVERY`, and after each word that ends `MAX_WORDS`
+words of the sentence without such a word. Every run of `SPAN` consecutive sentences is
 hashed (128 bits, over words in lower case A-Z); a run of fewer than `SPAN_WORDS` words takes as many sentences
 more, before or behind it, as it needs. The hashes are joined over all documents, and a
 sentence goes if a run that covers it is found more than once and not for the first time.
@@ -30,6 +32,7 @@ from cardwatch.llm.common import map_text, save, text_bytes
 SPAN = 3
 SPAN_WORDS = 8
 MAX_WORDS = 16
+CUT_EVERY = 4
 _STOPS = np.zeros(256, bool)
 _STOPS[[ord(c) for c in ".!?"]] = True
 _CLOSERS = np.zeros(256, bool)
@@ -53,8 +56,13 @@ class Sentences:
         begins = np.ones(n, bool)
         begins[1:] = stop[:-1] | (owner[1:] != owner[:-1]) | (feeds[self.starts[1:]] > feeds[self.ends[:-1]])
         at = np.flatnonzero(begins)
-        within = np.arange(n) - np.repeat(at, np.diff(np.append(at, n)))
-        self.first = np.flatnonzero(within % max_words == 0)
+        length = np.diff(np.append(at, n))
+        mark = textnum.RangeHash(self.low)(self.starts, self.ends) % np.uint64(CUT_EVERY) == 0
+        # the last such word, or else the one before the sentence
+        last = np.maximum.accumulate(np.where(mark, np.arange(n), np.where(begins, np.arange(n) - 1, -1)))
+        cut = np.repeat(length > max_words, length) & (mark | (np.arange(n) - last >= max_words))
+        begins[1:] |= cut[:-1]
+        self.first = np.flatnonzero(begins)
         self.size = np.diff(np.append(self.first, n))
         self.owner = owner[self.first]
         self.byte = self.starts[self.first]
@@ -110,9 +118,10 @@ def dedup(
     docs: DataFrame, span: int = SPAN, least_words: int = SPAN_WORDS, max_words: int = MAX_WORDS
 ) -> DataFrame:
     """The rows with the text that is left, n_sentences and n_removed."""
-    spans = save(span_hashes(docs, span, least_words, max_words), "spans")
-    repeated = spans.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")
-    found = save(spans.join(repeated, ["h1", "h2"]), "repeated-spans")
+    spans = span_hashes(docs, span, least_words, max_words)
+    # hashed twice rather than stored; a run that shares only its first hash is alone below, and so the first
+    repeated = save(spans.groupBy("h1").agg(F.count("*").alias("n")).where("n > 1").select("h1"), "repeated-hashes")
+    found = save(spans.join(repeated, "h1"), "repeated-spans")
     place = F.struct("doc_id", "text_hash", "place")
     first = found.groupBy("h1", "h2").agg(F.min(place).alias("first"))
     again = found.join(first, ["h1", "h2"]).where(~place.eqNullSafe(F.col("first")))

@@ -92,3 +92,26 @@ def test_edge_cases(frame):
         assert r["places"] == 1
     assert {r["doc_id"]: r["n_removed"] for r in got if r["doc_id"] in (1, 2, None)} == {1: 3, 2: 3, None: 0}
     assert sd.dedup(frame([])).collect() == []
+
+
+def test_passages_at_different_offsets_in_long_sentences(frame):
+    rows = []
+    for k in range(24):
+        passage = [f"p{k}x{j}" for j in range(51 + k)]
+        for copy, before in enumerate((3 + k % 5, 20 + k)):
+            lead, tail = ([f"{side}{k}y{copy}z{j}" for j in range(n)] for side, n in (("a", before), ("b", 9 + copy)))
+            rows.append((2 * k + copy, " ".join([*lead, *passage, *tail])))
+    got = {r["doc_id"]: r["text"].split() for r in sd.dedup(frame(rows)).collect()}
+    for k in range(24):
+        assert got[2 * k] == rows[2 * k][1].split()
+        left = got[2 * k + 1]
+        assert sum(w.startswith(f"p{k}x") for w in left) < (51 + k) / 2
+        assert [w for w in left if not w.startswith("p")] == [w for w in rows[2 * k + 1][1].split() if not w.startswith("p")]
+
+
+def test_words_without_a_cut_are_cut_alike():
+    words = [w for w in (f"q{i}" for i in range(400)) if int(sd.textnum.RangeHash(sd.np.frombuffer(w.encode(), sd.np.uint8))(sd.np.array([0]), sd.np.array([len(w)]))[0]) % sd.CUT_EVERY][:60]
+    for lead in ([], ["lead"] * 5, ["other"] * 11):
+        text = " ".join([*lead, *words]).encode()
+        s = sd.Sentences(sd.np.frombuffer(text, sd.np.uint8), sd.np.array([0, len(text)]))
+        assert set(range(len(lead) + sd.MAX_WORDS, len(lead) + 60)) <= set(s.first.tolist())
