@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardwatch.llm import (
+    bloom_rank,
     crf_language,
     decontaminate,
     heap_bpe,
@@ -18,6 +19,8 @@ from cardwatch.llm import (
     sentence_dedup,
     simhash_trie,
     suffix_groups,
+    topk_tiles,
+    turn_repair,
 )
 from cardwatch.llm.common import read_table
 
@@ -66,6 +69,18 @@ def op10_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crf_language.label(rows, field, ["doc_id", "held_out"])
 
 
+def op11_suffix_dawg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repair(read_table(spark, sf_dir, "conversations"))
+
+
+def op12_tiled_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_tiles.search(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_bloom_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bloom_rank.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
@@ -104,5 +119,45 @@ JOIN picks ON picks.i = weights.i AND picks.k = (pos // {pfair_mix.BLOCK_CHARS})
 """
 
 
+#: The inner products of all queries with all rows, in doubles, where their integers are exact.
+TOPK_SQL = f"""
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor({topk_tiles.SCALE} * x::DOUBLE)) AS x
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND coalesce(list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x))), TRUE)),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x)::BIGINT AS score
+    FROM v q JOIN v c ON q.vec_id % {topk_tiles.QUERY_EVERY} = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+WHERE rank <= {topk_tiles.K}
+"""
+
+#: The scores of all documents that have a term of an item.
+RANK_SQL = f"""
+WITH words AS (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+    FROM documents),
+sizes AS (SELECT doc_id, count(*)::BIGINT AS n FROM words GROUP BY doc_id),
+total AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM sizes),
+tf AS (SELECT doc_id, term, count(*)::BIGINT AS tf FROM words GROUP BY doc_id, term),
+item_terms AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+    FROM benchmark),
+weights AS (
+    SELECT term, floor(1000 * ln((2.0::DOUBLE * docs + 2) / (2.0::DOUBLE * count(*) + 1)))::BIGINT AS w
+    FROM tf, total GROUP BY term, docs),
+scored AS (
+    SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // terms))))::BIGINT AS score
+    FROM item_terms JOIN weights USING (term) JOIN tf USING (term) JOIN sizes USING (doc_id), total
+    GROUP BY item_id, doc_id)
+SELECT item_id, rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM scored WHERE score > 0)
+WHERE rank <= {bloom_rank.K}
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_pfair_mix": PFAIR_SQL}
+    return {"op6_pfair_mix": PFAIR_SQL, "op12_tiled_topk": TOPK_SQL, "op13_bloom_rank": RANK_SQL}

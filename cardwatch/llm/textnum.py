@@ -16,9 +16,9 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
     return np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and text number of each word; texts lie one after the other at `offsets`."""
-    solid = ~_SPACE[data]
+def words(data: np.ndarray, offsets: np.ndarray, breaks: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and text number of each word; texts lie one after the other at `offsets`, `breaks` marks bytes between words."""
+    solid = ~breaks[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
     before = np.concatenate([[False], solid[:-1]]) if len(data) else solid
