@@ -7,8 +7,11 @@ times, and one of 0.85 once in 400,000. Every pair is verified by the exact simi
 it is linked, and linked documents make components.
 
 Documents of equal words are one node. The nodes of a bucket are first compared with its smallest and its
-greatest one; then all pairs of a bucket that are not yet in one component are compared. So all pairs that
-share a bucket are decided, and a large group of near copies costs about its size.
+greatest one, which puts most of a group of near copies into one component. What is left are the buckets with nodes
+of several components. Two sets of similarity 0.8 share one of their rarest fifth of shingles, and enough
+shingles from there on; so the nodes of these buckets are joined on those shingles, those outside a shingle's
+largest component with all others, and only pairs that can still reach the similarity are compared. So all pairs
+that share a bucket are decided, and a large group of near copies costs about its size.
 
 Defined results: a null or empty text, or one without a word, has no shingle; such documents are one group.
 Fewer words than a shingle: the whole sequence is the shingle. Rows with equal id and text are one document;
@@ -19,7 +22,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardwatch.llm import simhash_trie, textnum
@@ -130,16 +133,44 @@ def roots(docs: DataFrame, sig: DataFrame, radius: int, root_limit: int) -> Data
     links = save(verified(pairs, texts), "links")
     named = _named(members.select("bucket", "node"), components(links))
     split = named.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("bucket")
-    open_ = save(named.join(split, "bucket", "left_semi"), "open-buckets")
-    kinds = open_.select("bucket", "root").distinct()
-    two = kinds.withColumnRenamed("root", "root_a").join(kinds.withColumnRenamed("root", "root_b"), "bucket").where("root_a < root_b")
-    two = two.join(open_.select("bucket", F.col("root").alias("root_a"), F.col("node").alias("x")), ["bucket", "root_a"])
-    two = two.join(open_.select("bucket", F.col("root").alias("root_b"), F.col("node").alias("y")), ["bucket", "root_b"])
-    more = two.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    more = save(more.join(pairs, ["a", "b"], "left_anti"), "pairs")
+    open_ = save(named.join(split, "bucket", "left_semi").select("node", "root").distinct(), "open-nodes")
+    more = save(rare_pairs(open_, texts).join(pairs, ["a", "b"], "left_anti"), "pairs")
     return components(links.union(verified(more, texts)))
 
 
+def shingle_rows(texts: DataFrame) -> DataFrame:
+    """node, root, n (how many distinct shingles) and h of each distinct shingle."""
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        owner, hashes, count = _distinct(batch.column("text"))
+        row = pa.array(owner)
+        columns = [batch.column("node").take(row), batch.column("root").take(row), pa.array(count[owner].astype(np.int32)), pa.array(hashes.view(np.int64))]
+        return pa.RecordBatch.from_arrays(columns, ["node", "root", "n", "h"])
+
+    return map_text(texts.select("node", "root", "text"), work, "node bigint, root bigint, n int, h bigint")
+
+
+def rare_pairs(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different roots among `nodes` that can have the least similarity, by their rarest shingles."""
+    least, of = LEAST
+    rows = save(shingle_rows(nodes.join(texts, "node")), "open-shingles")
+    often = rows.groupBy("h").agg(F.count("*").alias("times")).where("times > 1")
+    # shingles of one node alone come before all others, so they only move the places of the rest
+    by = Window.partitionBy("node")
+    place = F.col("n") - F.count("*").over(by) + F.row_number().over(by.orderBy("times", "h")) - 1
+    rare = rows.join(often, "h").withColumn("place", place).where(F.col("place") <= F.col("n") - F.ceil(F.lit(least) * F.col("n") / F.lit(of)))
+    sizes = nodes.groupBy("root").agg(F.count("*").alias("size"))
+    rare = save(rare.join(sizes, "root").select("h", "node", "n", "place", F.struct("size", "root").alias("part")), "rare-shingles")
+    most = rare.groupBy("h").agg(F.max("part").alias("most"), F.min("part").alias("least")).where("least < most").select("h", "most")
+    mixed = rare.join(most, "h")
+    left = mixed.where("part < most").select("h", F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("place").alias("place_x"), F.col("part").alias("part_x"))
+    right = mixed.select("h", F.col("node").alias("y"), F.col("n").alias("n_y"), F.col("place").alias("place_y"), F.col("part").alias("part_y"))
+    common = F.ceil(F.lit(least) * (F.col("n_x") + F.col("n_y")) / F.lit(least + of))
+    can = (F.col("n_x") - F.col("place_x") >= common) & (F.col("n_y") - F.col("place_y") >= common)
+    pairs = left.join(right, (left["h"] == right["h"]) & (F.col("part_x") < F.col("part_y")) & can)
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 def dedup(docs: DataFrame, radius: int = simhash_trie.RADIUS, root_limit: int = simhash_trie.ROOT_LIMIT) -> DataFrame:
     """One row of each component: that of the smallest doc_id, then of the smallest text hash; null ids last."""
     key, h = row_key()

@@ -82,3 +82,24 @@ def test_similarity_is_exact():
     b = ["a b c d e f g h i j k l m q", "a B", "", "x y"]
     want = [5 * len(shingles(x) & shingles(y)) >= 4 * len(shingles(x) | shingles(y)) for x, y in zip(a, b, strict=True)]
     assert nc.similar(pa.array(a), pa.array(b)).tolist() == want == [True, True, True, False]
+
+
+def test_a_large_group_of_edited_copies(spark, frame):
+    """Most pairs of the group are not similar themselves; pairs compared stay near the number of its texts."""
+    rng = np.random.default_rng(7)
+    base = [f"w{x}" for x in rng.integers(0, 10_000, 140)]
+    rows = []
+    for i in range(1_500):
+        text = list(base)
+        for at in rng.integers(0, 140, rng.integers(0, 9)):
+            text[at] = f"x{i}y{at}"
+        rows.append((i, " ".join(text)))
+    assert {r["doc_id"] for r in nc.dedup(frame(rows)).collect()} == brute(rows)
+    texts = spark.createDataFrame([(i, t) for i, t in rows], "node bigint, text string")
+    sets = [shingles(t) for _, t in rows]
+    similar = [(a, b) for a in range(200) for b in range(a + 1, 200) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    alone = texts.selectExpr("node", "node AS root").where("node < 200")
+    got = {tuple(r) for r in nc.rare_pairs(alone, texts).collect()}
+    assert set(similar) <= got and len(got) < 200 * 199 / 2
+    together = texts.selectExpr("node", "if(node < 10, node, 10) AS root")
+    assert nc.rare_pairs(together, texts).count() < 10 * 1_500
