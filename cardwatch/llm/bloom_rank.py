@@ -51,6 +51,8 @@ HASHES = (10, 4, 4, 4, 4, 4, 4)
 SPARSE = 2.4
 #: Cells (bits times documents) of a block, and keys that a task holds back, at most about.
 BLOCK_CELLS, HELD_KEYS = 1 << 24, 1 << 22
+#: Bytes of signatures in one column of the grid, about.
+COLUMN_BYTES = 1 << 25
 TERM_FILTER_BITS = 22
 _LAST_ID = np.iinfo(np.int64).max
 _BREAKS = np.ones(256, bool)
@@ -314,7 +316,7 @@ def search(docs: DataFrame, items: DataFrame, k: int = K, item_block: int = ITEM
     terms = _item_terms(items)
     table = index(rows, _term_filter(terms))
     blocks = table.where("block IS NOT NULL")
-    total = blocks.agg(F.sum("n_docs").alias("docs"), F.sum("n_terms").alias("terms"), F.count("*").alias("blocks")).first()
+    total = blocks.agg(F.sum("n_docs").alias("docs"), F.sum("n_terms").alias("terms"), F.count("*").alias("blocks"), F.sum(F.length("slices")).alias("bytes")).first()
     n_items = terms.select("item").distinct().count()
     if not total["docs"] or not n_items:
         return spark.createDataFrame([], "item_id bigint, rank int, doc_id bigint, score bigint")
@@ -324,6 +326,7 @@ def search(docs: DataFrame, items: DataFrame, k: int = K, item_block: int = ITEM
     by_item = save(weighted.groupBy("item", "item_id").agg(F.collect_list(F.struct("term", "weight")).alias("t")).select("item", "item_id", F.col("t.term").alias("terms"), F.col("t.weight").alias("weights")), "items")
     n_item_blocks = -(-n_items // item_block)
     n_rows, n_columns = grid(n_items, total["docs"], spark.sparkContext.defaultParallelism, n_item_blocks, total["blocks"])
+    n_columns = max(n_columns, min(total["blocks"], -(-total["bytes"] // COLUMN_BYTES)))
 
     def tiles(of: DataFrame | None = None) -> DataFrame:
         numbered = weighted.withColumn("item_block", F.pmod("item", F.lit(n_item_blocks)).cast("int"))
