@@ -2,8 +2,8 @@ from __future__ import annotations
 
 import corpus_pipeline as cp
 from test_decontaminate import brute as windows
+from test_near_copies import brute as near
 from test_sentence_dedup import brute as spans
-from test_simhash_trie import brute as groups
 
 from cardwatch.llm import crf_language
 from cardwatch.llm.common import save
@@ -27,7 +27,7 @@ def test_stages_against_brute_force(spark, corpus):
             label = {r["doc_id"]: r for r in crf_language.label(corpus, field).collect()}
             assert set(after) == {i for i, r in label.items() if r["lang_pred"] != "und" and r["score"] >= cp.LEAST_SCORE}
         elif name == "near_duplicates":
-            assert set(after) == {c for _, _, c in groups(list(text.items()))}
+            assert set(after) == near(text.items())
         elif name == "repeated_sentences":
             want = spans(text.items())
             left = {i: w for (i, _), w in want.items() if w[2] == 0 or w[2] < w[1]}

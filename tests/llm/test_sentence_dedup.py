@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
+from functools import lru_cache
 
 from pyspark.sql import functions as F
 
@@ -10,32 +11,47 @@ from cardwatch.llm import sentence_dedup as sd
 WORD = re.compile(r"[^\x20\x09-\x0d]+")
 
 
+@lru_cache(maxsize=None)
+def marked(word):
+    raw = sd.np.frombuffer(word.encode(), sd.np.uint8)
+    return int(sd.textnum.RangeHash(raw)(sd.np.array([0]), sd.np.array([len(raw)]))[0]) % sd.CUT_EVERY == 0
+
+
 def cut(text, max_words=sd.MAX_WORDS):
     """Sentences as (words, first character) by a plain loop."""
-    out, now, begin, last = [], [], 0, 0
+    whole, now, last = [], [], 0
     for m in WORD.finditer(text or ""):
-        if now and ("\n" in text[last : m.start()] or len(now) == max_words or re.search(r"[.!?][\"')\]]?$", now[-1])):
-            out.append((now, begin))
+        if now and ("\n" in text[last : m.start()] or re.search(r"[.!?][\"')\]]?$", now[-1][0])):
+            whole.append(now)
             now = []
-        if not now:
-            begin = m.start()
-        now.append(re.sub("[A-Z]", lambda x: x[0].lower(), m[0]))
+        now.append((re.sub("[A-Z]", lambda x: x[0].lower(), m[0]), m.start()))
         last = m.end()
-    return out + ([(now, begin)] if now else [])
+    out = []
+    for s in [*whole, now] if now else whole:
+        piece, since = [], 0
+        for word, begin in s:
+            piece.append((word, begin))
+            since = 0 if marked(word) else since + 1
+            if len(s) > max_words and (since == 0 or since >= max_words):
+                out.append(piece)
+                piece = []
+        if piece:
+            out.append(piece)
+    return [([w for w, _ in p], p[0][1]) for p in out]
 
 
 def brute(rows):
     rows = sorted({(i, t) for i, t in rows}, key=lambda r: (r[0] is not None, r[0] or 0))
     cuts = {r: cut(r[1]) for r in rows}
-    runs, gone = defaultdict(set), defaultdict(set)
+    runs, gone, place = defaultdict(set), defaultdict(set), {r: n for n, r in enumerate(rows)}
     for r in rows:
         s = [w for w, _ in cuts[r]]
         size = lambda a, b: sum(map(len, s[a : b + 1]))  # noqa: E731, B023
         for k in range(len(s)):
-            ends = [e for e in range(k + 2, len(s)) if size(k, e) >= sd.SPAN_WORDS][:1]
-            begins = [b for b in range(k - 2, -1, -1) if size(b, k) >= sd.SPAN_WORDS][:1]
-            for a, b in [(k, e) for e in ends] + [(b, k) for b in begins]:
-                runs[tuple(w for x in s[a : b + 1] for w in x)].add((rows.index(r), a, b))
+            end = next((e for e in range(k + 2, len(s)) if size(k, e) >= sd.SPAN_WORDS), None)
+            begin = next((b for b in range(k - 2, -1, -1) if size(b, k) >= sd.SPAN_WORDS), None)
+            for a, b in [(k, end)] * (end is not None) + [(begin, k)] * (begin is not None):
+                runs[tuple(w for x in s[a : b + 1] for w in x)].add((place[r], a, b))
     for found in runs.values():
         first = min(found)[:2]
         for r, a, b in found:
