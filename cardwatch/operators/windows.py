@@ -255,22 +255,24 @@ def sample_rows(df: DataFrame, n: int, seed: int = 42, bk: str = "transaction_bk
     return df.orderBy(_keyed_hash(bk, seed), bk).limit(n)
 
 
-def sample_with_replacement(
-    df: DataFrame, share: float, seed: int = 42, bk: str = "transaction_bk", most: int = 20
-) -> DataFrame:
+def sample_with_replacement(df: DataFrame, share: float, seed: int = 42, bk: str = "transaction_bk") -> DataFrame:
     """Each row as often as a Poisson number of mean `share` says, drawn from a hash of key and seed.
 
-    The same rows come on every run, however the rows are dealt. The distribution is cut where less than
-    one in 10 ** 15 draws lies above (`most`, for shares up to one).
+    The same rows come on every run, however the rows are dealt. A draw has 32 bits, so the distribution is followed
+    until what is left of it is far below one draw, whatever the share.
     """
     draw = F.conv(F.substring(_keyed_hash(bk, seed), 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
-    copies, below, term = F.lit(0), 0.0, math.exp(-share)
-    for k in range(1, most + 1):
-        below += term
-        copies = F.when(draw >= F.lit(below), k).otherwise(copies)
-        term *= share / k
-    copied = df.withColumn("_copies", copies).where("_copies > 0")
-    return copied.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).drop("_copies", "_copy")
+    steps, below, k = [], 0.0, 0
+    while share > 0:
+        term = math.exp(k * math.log(share) - share - math.lgamma(k + 1))
+        if k > share and term < 1e-17:
+            break
+        below, k = below + term, k + 1
+        steps.append(below)
+    # the draw is bound to a variable, as it is asked at every step
+    above = F.transform(F.array(draw), lambda d: F.size(F.filter(F.array(*map(F.lit, steps)), lambda step: step <= d)))
+    copies = F.explode(F.array_repeat(F.lit(True), above[0] if steps else F.lit(0)))
+    return df.withColumn("_copy", copies).drop("_copy")
 
 
 def random_keys(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:

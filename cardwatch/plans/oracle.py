@@ -396,7 +396,7 @@ SELECT transaction_bk, strftime(event_ts, '%Y-%m-%d %H:%M:%S') AS event_time, ca
 SELECT row_number() OVER (ORDER BY channel, mcc_code) AS channel_key, channel, mcc_code
 FROM (SELECT DISTINCT channel, mcc_code FROM staging) x UNION ALL SELECT 0, 'unknown', '0000'"""
     sql["dimension_growth"] = BASE + """
-, r AS (SELECT DISTINCT channel, mcc_code, (channel <> 'click' OR mcc_code = '0001') AS early FROM staging WHERE amount > 10),
+, r AS (SELECT DISTINCT channel, mcc_code, (channel <> 'click' OR mcc_code = '0001') AS early FROM staging),
 k AS (SELECT row_number() OVER (ORDER BY channel, mcc_code) AS n, * FROM r WHERE early),
 f AS (SELECT row_number() OVER (ORDER BY channel, mcc_code) AS n, * FROM r WHERE NOT early)
 SELECT n AS channel_key, channel, mcc_code FROM k UNION ALL SELECT 0, 'unknown', '0000'
@@ -544,6 +544,13 @@ SELECT reason, count(*) AS n FROM judged WHERE reason IS NOT NULL GROUP BY reaso
     sql["stream_totals"] = BASE + MESSAGES + """
 SELECT (SELECT count(*) FROM accepted) AS ingested, (SELECT count(*) FROM judged WHERE reason IS NOT NULL) AS rejected,
        (SELECT count(*) FROM judged WHERE reason IS NULL) - (SELECT count(*) FROM accepted) AS duplicates"""
+    sql["stream_known"] = BASE + MESSAGES + """
+SELECT s.transaction_bk, a.transaction_bk IS NOT NULL AS known
+FROM staging s LEFT JOIN (SELECT DISTINCT transaction_bk FROM accepted) a ON a.transaction_bk = s.transaction_bk"""
+    sql["stream_staged"] = BASE + MESSAGES + """
+SELECT cast(CASE WHEN event_ts < TIMESTAMP '2024-01-11' THEN 0 WHEN event_ts < TIMESTAMP '2024-01-21' THEN 1 ELSE 2 END AS bigint) AS wave,
+       count(*) AS n, true AS placed, cast(sum(amount) AS double) AS amount
+FROM accepted GROUP BY 1"""
     sql["online_counters"] = BASE + MESSAGES + """
 SELECT client_id, strftime(last_ts, '%Y-%m-%d %H:%M:%S') AS last_ts, nb_tx_1h, amount_1h FROM counters"""
     sql["enrich_online"] = BASE + MESSAGES + """

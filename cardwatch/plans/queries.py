@@ -315,6 +315,22 @@ def stream_totals(spark: SparkSession, src: str) -> DataFrame:
     return ingest.totals(inputs.ingested(spark, src).run_log(spark))
 
 
+def stream_known(spark: SparkSession, src: str) -> DataFrame:
+    """Which of all business keys the ingestion has seen, by its index of keys."""
+    asked = inputs.staging(spark, src).select("transaction_bk")
+    seen = inputs.ingested(spark, src).keys.known(asked, before=len(inputs.WAVES))
+    seen = asked.limit(0) if seen is None else seen
+    return asked.join(seen.withColumn("known", F.lit(True)), "transaction_bk", "left").select("transaction_bk", F.coalesce("known", F.lit(False)).alias("known"))
+
+
+def stream_staged(spark: SparkSession, src: str) -> DataFrame:
+    """Staged messages in the order of arrival: the number of each wave's first writers, and whether all have a place."""
+    staged = inputs.ingested(spark, src).staged(spark)
+    wave = F.regexp_extract("arrival.part", "wave_([0-9]+)", 1).cast("bigint").alias("wave")
+    placed = F.bool_and(F.col("arrival.at").isNotNull() & F.col("arrival.block").isNotNull() & F.col("arrival.row").isNotNull())
+    return staged.groupBy(wave).agg(F.count("*").alias("n"), placed.alias("placed"), F.sum("amount").cast("double").alias("amount"))
+
+
 def run_log_state(spark: SparkSession, src: str) -> DataFrame:
     """State of every daily load: opened at its first event, closed at its last one unless it is the newest."""
     rows = inputs.staging(spark, src)
@@ -730,7 +746,7 @@ def channel_reload(spark: SparkSession, src: str) -> DataFrame:
 
 def dimension_growth(spark: SparkSession, src: str) -> DataFrame:
     """Channels seen early in the data keep their keys when those that come later are added."""
-    rows = inputs.staging(spark, src).where(F.col("amount") > 10)
+    rows = inputs.staging(spark, src)
     early = rows.where((F.col("channel") != "click") | (F.col("mcc_code") == "0001"))
     stored = dimensions.channel_dimension(early.select("channel", "mcc_code").distinct())
     grown = dimensions.grow_keys(stored, rows, ["channel", "mcc_code"], "channel_key")
@@ -797,7 +813,7 @@ REGISTERED: list[Query] = [
     logreg_eval, smote, smote_logreg_eval, gbt_eval, gbt_importance, tree_shap,
     logistic_explanation, pca_anomaly,
     pca_detection_by_type, sequence_classifier, score_batch, scored_requests, smote_points, model_properties,
-    validate_events, stream_ingest, stream_dead_letters, stream_totals, run_log_state, online_counters,
+    validate_events, stream_ingest, stream_dead_letters, stream_totals, stream_known, stream_staged, run_log_state, online_counters,
     enrich_online, stream_dedup, stream_sessions,
     load_facts, rejects, pending, mart_kpis, mart_ingestion, mart_hourly, mart_fraud_type, integrity_anti,
     quality_suite, check_log, audit_log, load_log, constraint_violations, late_labels, calendar, class_imbalance, rate_by_dimension,

@@ -78,11 +78,33 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def _path(spark: SparkSession, path: str):
+    """A path and its file system, on any that Spark can reach."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def exists(spark: SparkSession, path: str) -> bool:
-    """Whether anything is stored at the path, on any file system that Spark can reach."""
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+    """Whether anything is stored at the path."""
+    where, files = _path(spark, path)
+    return files.exists(where)
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what is in a folder; none if there is no folder."""
+    where, files = _path(spark, path)
+    return [f.getPath().getName() for f in files.listStatus(where)] if files.exists(where) else []
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file, there or not there at once."""
+    where, files = _path(spark, path)
+    files.create(where, True).close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    where, files = _path(spark, path)
+    files.delete(where, True)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

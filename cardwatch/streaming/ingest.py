@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,8 +17,10 @@ from cardwatch import schema
 from cardwatch.operators.dimensions import Dims
 from cardwatch.operators.load import FACT_COLUMNS, load_facts, stage_insert, unseen
 from cardwatch.operators.windows import session_counters
+from cardwatch.sources.events import ARRIVAL, numbered
 from cardwatch.sources.logs import RUN_LOG, run_log_event
-from cardwatch.sources.tables import read_or_empty
+from cardwatch.sources.tables import exists, read_or_empty
+from cardwatch.streaming.store import FOLD, Commits, KeyIndex, Snapshots, counter_bucket
 from cardwatch.streaming.validate import dead_letters, judge_events, valid_events
 
 # Fixed value: seconds between micro-batches.
@@ -24,7 +28,7 @@ FLUSH_SECONDS = 2
 DEDUP_MEMORY = "24 hours"
 COUNTER_GAP_S = 3600
 
-STAGED = T.StructType([*schema.STAGING.fields, T.StructField("batch_id", T.LongType())])
+STAGED = T.StructType([*schema.STAGING.fields, T.StructField("arrival", ARRIVAL), T.StructField("batch_id", T.LongType())])
 STATE = T.StructType(
     [
         T.StructField("client_id", T.StringType()),
@@ -48,7 +52,7 @@ FACT_KEYS = T.StructType(
 @dataclass(frozen=True)
 class Warehouse:
     """Folders of the ingested tables. Every micro-batch owns one partition in each of them, which a
-    replay overwrites: the tables do not depend on how often a batch ran.
+    replay overwrites, and its rows are visible in all tables from the moment it is committed.
     """
 
     root: str
@@ -56,36 +60,90 @@ class Warehouse:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def staged(self, spark: SparkSession) -> DataFrame:
-        return read_or_empty(spark, self.path("staging"), STAGED)
+    @property
+    def commits(self) -> Commits:
+        return Commits(self.path("commits"))
+
+    @property
+    def keys(self) -> KeyIndex:
+        return KeyIndex(self.path("key-index"))
+
+    @property
+    def snapshots(self) -> Snapshots:
+        return Snapshots(self.path("counter-snapshots"))
 
-    def staged_before(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        return self.staged(spark).where(F.col("batch_id") < batch_id)
+    def part(self, name: str, batch_id: int) -> str:
+        """Folder of a batch in a table."""
+        inner = "/ingestion_mode=stream" if name == "facts" else ""
+        return f"{self.path(name)}{inner}/batch_id={batch_id}"
+
+    def batches(self, spark: SparkSession, name: str, schema_: T.StructType, ids: list[int]) -> DataFrame:
+        """The rows of some batches, without listing the others."""
+        paths = [p for p in (self.part(name, b) for b in ids) if exists(spark, p)]
+        if not paths:
+            return spark.createDataFrame([], schema_)
+        return spark.read.schema(schema_).option("basePath", self.path(name)).parquet(*paths)
+
+    def staged(self, spark: SparkSession) -> DataFrame:
+        return read_or_empty(spark, self.path("staging"), STAGED).where(self.commits.listed(spark))
 
     def pending(self, spark: SparkSession, batch_id: int) -> DataFrame:
         """Staged rows that the given micro-batch left unresolved, its own and earlier ones."""
-        return read_or_empty(spark, self.path("pending"), STAGED).where(F.col("batch_id") == batch_id)
+        listed = self.commits.before(spark, batch_id + 1) == batch_id
+        return self.batches(spark, "pending", STAGED, [batch_id] if listed else [])
 
-    def batch_facts(self, spark: SparkSession) -> DataFrame:
-        """Keys of the facts that batch loads have stored beside those of the stream."""
+    def batch_facts(self, spark: SparkSession) -> DataFrame | None:
+        """Keys of the facts that batch loads have stored beside those of the stream, if there are any."""
+        if not exists(spark, f"{self.path('facts')}/ingestion_mode=batch"):
+            return None
         stored = read_or_empty(spark, self.path("facts"), FACT_KEYS)
         return stored.where(F.col("ingestion_mode") == "batch").select("transaction_bk")
 
     def facts(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.path("facts"))
+        stored = spark.read.parquet(self.path("facts"))
+        return stored.where(self.commits.listed(spark) | (F.col("ingestion_mode") == "batch"))
 
     def dead_letters(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema("raw string, reason string, envelope string, batch_id bigint").parquet(
-            self.path("dlq")
-        )
+        dead = spark.read.schema("raw string, reason string, envelope string, batch_id bigint").parquet(self.path("dlq"))
+        return dead.where(self.commits.listed(spark))
 
     def run_log(self, spark: SparkSession) -> DataFrame:
+        """Finished batches that count, and failed attempts."""
         fields = [*RUN_LOG.fields, T.StructField("batch_id", T.LongType())]
-        return read_or_empty(spark, self.path("runs"), T.StructType(fields))
+        log = read_or_empty(spark, self.path("runs"), T.StructType(fields))
+        return log.where(self.commits.listed(spark) | (F.col("status") == "ERROR"))
+
+    def counter_states(self, spark: SparkSession, before: int | None = None, clients: DataFrame | None = None) -> DataFrame:
+        """States of the clients: those of the last snapshot, and the changes since."""
+        before = (1 << 62) if before is None else before
+        upto = self.snapshots.last(spark, before)
+        since = self.commits.ids(spark, -1 if upto is None else upto + 1, before)
+        deltas = self.batches(spark, "counters", STATE, since)
+        if clients is not None:
+            clients = clients.select("client_id", counter_bucket("client_id").alias("bucket")).distinct()
+            deltas = deltas.join(clients, "client_id", "left_semi")
+        if upto is None:
+            return deltas
+        schema_ = T.StructType([*STATE.fields, T.StructField("bucket", T.IntegerType())])
+        stored = spark.read.schema(schema_).parquet(self.snapshots.path(upto))
+        if clients is not None:
+            stored = stored.join(clients, ["bucket", "client_id"], "left_semi")
+        return stored.select(*STATE.fieldNames()).unionByName(deltas)
 
     def counters(self, spark: SparkSession) -> DataFrame:
         """Latest counters of every client."""
-        return latest_counters(read_or_empty(spark, self.path("counters"), STATE))
+        return latest_counters(self.counter_states(spark))
+
+    def fold(self, spark: SparkSession, batch_id: int) -> None:
+        """Merge index segments that end with a committed batch, and publish a snapshot of the counters every so often.
+
+        Done when the next batch begins, as a batch may run again until then and must find what was before it.
+        """
+        self.keys.fold(spark, batch_id)
+        if (batch_id + 1) % FOLD == 0:
+            states = self.counter_states(spark, batch_id + 1)
+            last = F.max_by(F.struct("last_ts", "nb_tx_1h", "amount_1h", "batch_id"), "batch_id").alias("s")
+            self.snapshots.publish(states.groupBy("client_id").agg(last).select("client_id", "s.*"), batch_id)
 
 
 def latest_counters(states: DataFrame) -> DataFrame:
@@ -93,18 +151,20 @@ def latest_counters(states: DataFrame) -> DataFrame:
     return states.groupBy("client_id").agg(last).select("client_id", "s.*")
 
 
-def _put(df: DataFrame, path: str, batch_id: int, partitions: tuple[str, ...] = ("batch_id",)) -> None:
-    (
-        df.withColumn("batch_id", F.lit(batch_id).cast("long"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions)
-        .parquet(path)
-    )
+def _put(df: DataFrame, path: str) -> None:
+    """The rows of one batch as their own folder, which a replay replaces, also by no rows."""
+    df.write.mode("overwrite").parquet(path)
+
+
+def _together(spark: SparkSession, *work: Callable[[], None]) -> None:
+    """Run independent writes at the same time; small batches wait for schedulers and file systems, not for cores."""
+    with ThreadPoolExecutor(len(work)) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(w)) for w in work]:
+            done.result()
 
 
 def next_counters(facts: DataFrame, before: DataFrame, gap_s: int = COUNTER_GAP_S) -> DataFrame:
-    """Counters of the batch's clients after the batch, given the latest counters before it.
+    """Counters of the batch's clients after the batch, given their states before it.
 
     A client whose rows never paused for `gap_s` seconds continues the count it had.
     """
@@ -116,8 +176,7 @@ def next_counters(facts: DataFrame, before: DataFrame, gap_s: int = COUNTER_GAP_
         F.count("*").alias("_rows"),
         F.max_by(F.struct("n_session", "amount_session"), F.struct("event_ts", "transaction_bk")).alias("_s"),
     )
-    # Only the states of the batch's clients are needed, so the log is reduced to them first.
-    known = latest_counters(before.join(now.select("client_id"), "client_id", "left_semi")).select(
+    known = latest_counters(before).select(
         "client_id",
         F.col("last_ts").alias("_seen"),
         F.col("nb_tx_1h").alias("_n"),
@@ -142,6 +201,9 @@ def ingest_batch(
 ) -> None:
     """One micro-batch. The offsets are committed only when it returns, so a failed batch runs again.
 
+    Of several messages with one key the first to arrive counts, by its place in the source (`arrival`); where the
+    source tells none, the earliest. Keys of earlier batches are looked up in the index of keys.
+
     `known` holds rows that other loads have stored; their business keys count as duplicates too. By default
     these are the batch facts beside the stream's own. Rows that the batch before left unresolved are tried
     again, and `dims` may be a function, called for each batch, so that new members are seen.
@@ -149,24 +211,33 @@ def ingest_batch(
     spark = raw.sparkSession
     dims = dims() if callable(dims) else dims
     known = house.batch_facts(spark) if known is None else known
+    before = house.commits.before(spark, batch_id)
     began = time.monotonic()
     run = {"run_id": f"stream-{batch_id}", "source": "stream", "mode": "stream"}
-    judged = judge_events(raw).persist()
+    judged = judge_events(numbered(raw)).persist()
+    valid = valid_events(judged).withColumn("ingested_at", F.current_timestamp())
+    once = stage_insert(valid, None, ("arrival", "event_ts", "amount", "channel")).persist()
     try:
-        dead = dead_letters(judged)
-        _put(dead, house.path("dlq"), batch_id)
-        stored = house.staged_before(spark, batch_id)
-        valid = valid_events(judged).withColumn("ingested_at", F.current_timestamp())
-        fresh = stage_insert(valid, stored, ("event_ts", "amount", "channel"))
-        _put(unseen(fresh, known), house.path("staging"), batch_id)
-        mine = house.staged(spark).where(F.col("batch_id") == batch_id)
-        waiting = house.pending(spark, batch_id - 1)
-        loaded = load_facts(mine.unionByName(waiting), dims, mode="stream")
-        _put(loaded.facts.select(*FACT_COLUMNS), house.path("facts"), batch_id, ("ingestion_mode", "batch_id"))
-        _put(loaded.rejects.select(*mine.columns).drop("batch_id"), house.path("pending"), batch_id)
-        states = read_or_empty(spark, house.path("counters"), STATE).where(F.col("batch_id") < batch_id)
+        if before is not None:
+            house.fold(spark, before)
+        fresh = once
+        for stored in (house.keys.known(once.select("transaction_bk"), batch_id), known):
+            fresh = fresh if stored is None else unseen(fresh, stored)
+        _put(fresh, house.part("staging", batch_id))
+        mine = house.batches(spark, "staging", STAGED, [batch_id])
         staged = mine.count()
-        _put(next_counters(mine, states), house.path("counters"), batch_id)
+        waiting = house.pending(spark, -1 if before is None else before)
+        loaded = load_facts(mine.unionByName(waiting), dims, mode="stream")
+        facts = loaded.facts.select(*[c for c in FACT_COLUMNS if c != "ingestion_mode"])
+        states = house.counter_states(spark, batch_id, mine)
+        _together(
+            spark,
+            lambda: _put(dead_letters(judged), house.part("dlq", batch_id)),
+            lambda: _put(facts, house.part("facts", batch_id)),
+            lambda: _put(loaded.rejects.select(*mine.columns).drop("batch_id"), house.part("pending", batch_id)),
+            lambda: _put(next_counters(mine, states), house.part("counters", batch_id)),
+            lambda: house.keys.add(mine, batch_id, staged),
+        )
         sizes = judged.agg(F.count("*").alias("n"), F.count("reason").alias("bad")).first()
         done = run_log_event(
             spark,
@@ -177,12 +248,14 @@ def ingest_batch(
             n_duplicates=sizes["n"] - sizes["bad"] - staged,
             duration_ms=int((time.monotonic() - began) * 1000),
         )
-        _put(done, house.path("runs"), batch_id)
+        _put(done, house.part("runs", batch_id))
+        house.commits.add(spark, batch_id)
     except Exception as exc:
         failed = run_log_event(spark, **run, status="ERROR", message=str(exc))
-        _put(failed, house.path("runs"), batch_id)
+        _put(failed, house.part("runs", batch_id))
         raise
     finally:
+        once.unpersist()
         judged.unpersist()
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardwatch.functions.scalar import iso_timestamp
-from cardwatch.sources.events import envelope
+from cardwatch.sources.events import ARRIVAL, envelope
 
 
 @dataclass(frozen=True)
@@ -47,14 +47,15 @@ def _has_kind(json_type: Column, kind: str) -> Column:
 
 
 def judge_events(raw: DataFrame, fields: Sequence[Field] = EVENT_FIELDS) -> DataFrame:
-    """`raw` text, `reason` (NULL when valid) and the typed columns of every message.
+    """`raw` text, `reason` (NULL when valid), `arrival` and the typed columns of every message.
 
     Missing fields and wrong types are looked for field by field in the given order. Values that the
     warehouse could not store (no time, too long, too large) get a reason of their own after that.
     """
     text = F.col("value").cast("string")
     valid_text = F.when(F.is_valid_utf8(text), text)
-    parsed = raw.select(F.col("value"), F.try_parse_json(valid_text).alias("_v"))
+    arrival = F.col("arrival") if "arrival" in raw.columns else F.lit(None)
+    parsed = raw.select(F.col("value"), arrival.cast(ARRIVAL).alias("arrival"), F.try_parse_json(valid_text).alias("_v"))
     typed, checks, value_checks = {}, [], []
     for f in fields:
         item = F.variant_get("_v", f"$.{f.wire}", "variant")
@@ -75,7 +76,7 @@ def judge_events(raw: DataFrame, fields: Sequence[Field] = EVENT_FIELDS) -> Data
         reason = reason.when(failed, F.lit(name))
     judged = parsed.withColumns(typed).withColumn("reason", reason)
     # Filters on the reason must not move below this point: they would parse the text once per use.
-    whole = F.struct(F.col("value").alias("raw"), "reason", *typed)
+    whole = F.struct(F.col("value").alias("raw"), "reason", "arrival", *typed)
     return judged.select(F.explode(F.array(whole)).alias("_judged")).select("_judged.*")
 
 
@@ -86,6 +87,7 @@ def valid_events(judged: DataFrame, fields: Sequence[Field] = EVENT_FIELDS) -> D
         F.lit(None).cast("boolean").alias("is_fraud"),
         F.lit(None).cast("string").alias("fraud_type"),
         F.lit("stream").alias("ingestion_mode"),
+        "arrival",
     )
 
 

@@ -2,6 +2,7 @@
 
 import datetime
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +12,8 @@ from cardwatch.operators import audit, dimensions, load, quality, score
 from cardwatch.plans import inputs
 from cardwatch.session import run_dir
 from cardwatch.sources import events, logs, tables
-from cardwatch.streaming import ingest, validate
+from cardwatch.sources.events import text_events
+from cardwatch.streaming import ingest, store, validate
 
 GOOD = {
     "transaction_bk": "TX-000000001", "client_id": "C1", "horodatage": "2024-01-05T10:20:30", "montant": 12.5,
@@ -320,3 +322,104 @@ def test_enforced_constraints(spark):
     }
     with pytest.raises(KeyError):
         quality.enforce(df, rules)
+
+
+def message(key, time="2024-01-05T10:00:00", amount=1, client="C1"):
+    return json.dumps({**GOOD, "transaction_bk": key, "horodatage": time, "montant": amount, "client_id": client})
+
+
+def raw_batch(spark, lines):
+    return spark.createDataFrame([(x,) for x in lines], "value string")
+
+
+def test_first_to_arrive_wins_whatever_its_time(spark, small_dims):
+    root = run_dir(spark, "t")
+    house = ingest.Warehouse(f"{root}/tables")
+    # a late copy with an earlier time in a later file, and one further down in the same file
+    for wave, lines in enumerate(([message("A", amount=5), message("B", amount=7), message("A", "2024-01-05T09:00:00", 6)], [message("B", "2024-01-01T00:00:00", 8), message("C", amount=9)])):
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{root}/inbox/{wave}")
+        time.sleep(1.1)
+    query = ingest.start_ingestion(text_events(spark, f"{root}/inbox"), small_dims, house, f"{root}/checkpoint", available_now=True)
+    query.awaitTermination()
+    assert {r["transaction_bk"]: int(r["amount"]) for r in house.staged(spark).collect()} == {"A": 5, "B": 7, "C": 9}
+    log = house.run_log(spark).collect()
+    assert [(r["n_rows"], r["n_duplicates"]) for r in log] == [(3, 2)]
+
+
+def test_key_index_opens_few_segments(spark, monkeypatch):
+    monkeypatch.setattr(store, "FOLD", 4)
+    index = store.KeyIndex(run_dir(spark, "t"))
+    keys = lambda names: spark.createDataFrame([(x,) for x in names], "transaction_bk string")
+    for batch in range(23):
+        if batch in (2, 22):
+            assert index.known(keys([f"new{i}" for i in range(200)]), batch) is None
+            asked = keys(["k1-3", "k0-39", "absent", "k21-0"])
+            assert {r[0] for r in index.known(asked, batch).collect()} == ({"k1-3", "k0-39"} if batch == 2 else {"k1-3", "k0-39", "k21-0"})
+            opened = {f.split("segment=")[1].split("/")[0] for f in index.known(keys(["k1-3"]), batch).inputFiles() if "/keys/" in f}
+            assert len(opened) == 1
+        index.add(keys([f"k{batch}-{i}" for i in range(40)]), batch, 40)
+        index.fold(spark, batch)
+    assert [x[:2] for x in index.live(spark, 23)] == [(0, 15), (16, 19), (20, 20), (21, 21), (22, 22)]
+    # of foreign keys, few pass a full filter
+    many = store.KeyIndex(run_dir(spark, "t"))
+    many.add(spark.range(20_000).selectExpr("concat('m', id) AS transaction_bk"), 0, 20_000)
+    others = spark.range(20_000).selectExpr("concat('n', id) AS transaction_bk")
+    assert many.suspects(others, 1).count() < 200 and many.known(others.union(keys(["m5"])), 1).count() == 1
+
+
+@pytest.mark.parametrize("step", ["staging", "facts", "pending", "key-index", "commit"])
+def test_a_broken_batch_shows_nothing(spark, small_dims, monkeypatch, step):
+    house = ingest.Warehouse(run_dir(spark, "t"))
+    ingest.ingest_batch(raw_batch(spark, [message("A"), message("X", client="C9")]), 0, small_dims, house)
+    put, touch = ingest._put, store.touch
+
+    def breaks(df, path, *rest):
+        if f"/{step}/" in path:
+            raise OSError("disk")
+        put(df, path, *rest)
+
+    def no_touch(session, path):
+        if (step == "commit" and "/commits/" in path) or (step == "key-index" and "/key-index/" in path):
+            raise OSError("disk")
+        touch(session, path)
+
+    monkeypatch.setattr(ingest, "_put", breaks)
+    monkeypatch.setattr(store, "touch", no_touch)
+    lines = [message("A"), message("B", "2024-01-05T10:10:00", 3), "broken", message("Y", client="C8")]
+    with pytest.raises(OSError):
+        ingest.ingest_batch(raw_batch(spark, lines), 1, small_dims, house)
+    assert {r["transaction_bk"] for r in house.staged(spark).collect()} == {"A", "X"}
+    assert house.facts(spark).count() == 1 and house.dead_letters(spark).isEmpty() and house.pending(spark, 1).isEmpty()
+    assert [r["nb_tx_1h"] for r in house.counters(spark).where("client_id = 'C1'").collect()] == [1]
+    assert house.run_log(spark).where("status = 'OK'").count() == 1
+    monkeypatch.undo()
+    for _ in range(2):  # and once more, as if the offsets had not been written
+        ingest.ingest_batch(raw_batch(spark, lines), 1, small_dims, house)
+        assert {r["transaction_bk"] for r in house.staged(spark).collect()} == {"A", "B", "X", "Y"}
+        assert house.facts(spark).count() == 2 and house.dead_letters(spark).count() == 1 and house.pending(spark, 1).count() == 2
+        assert [(r["nb_tx_1h"], r["amount_1h"]) for r in house.counters(spark).where("client_id = 'C1'").collect()] == [(2, 4.0)]
+
+
+def test_counters_from_snapshot_and_deltas(spark, small_dims, monkeypatch):
+    monkeypatch.setattr(store, "FOLD", 2)
+    monkeypatch.setattr(ingest, "FOLD", 2)
+    house = ingest.Warehouse(run_dir(spark, "t"))
+    for batch in range(5):
+        ingest.ingest_batch(raw_batch(spark, [message(f"K{batch}", f"2024-01-05T10:{10 * batch:02d}:00", 2)]), batch, small_dims, house)
+        if batch in (2, 4):
+            ingest.ingest_batch(raw_batch(spark, [message(f"K{batch}", f"2024-01-05T10:{10 * batch:02d}:00", 2)]), batch, small_dims, house)
+        assert [(r["nb_tx_1h"], r["amount_1h"]) for r in house.counters(spark).collect()] == [(batch + 1, 2.0 * (batch + 1))]
+    assert house.snapshots.last(spark, 99) == 3
+    read = house.counter_states(spark)
+    assert any("upto=3" in f for f in read.inputFiles()) and not any("upto=1" in f for f in read.inputFiles())
+    assert read.where("batch_id < 3 AND last_ts IS NULL").isEmpty() and read.count() == 2  # one of the snapshot, one change since
+
+
+def test_commits_are_folded(spark):
+    commits = store.Commits(run_dir(spark, "t"))
+    for batch in [*range(70), 72, 73]:
+        commits.add(spark, batch)
+    assert commits.ranges(spark) == [(0, 69), (72, 73)] and len(store.names(spark, commits.root)) < 20
+    assert commits.before(spark, 72) == 69 and commits.before(spark, 73) == 72 and commits.before(spark, 0) is None
+    ids = [r[0] for r in spark.range(80).where(commits.listed(spark, "id", before=73)).collect()]
+    assert ids == [*range(70), 72]
