@@ -7,8 +7,9 @@ are learned from sequences in which pieces of documents of different languages f
 text may switch between languages; forward-backward over the whole text gives each word's probabilities.
 The text's language is the one with the greatest mean probability over its words, the score is that mean.
 
-The field is fitted on at most `rows_per_label` labelled rows of each language, those of smallest id hash,
-by gradient ascent on the penalised likelihood. Labelling works on whole texts: transfer matrices of blocks
+The field is fitted on at most `rows_per_label` labelled rows and `BYTES_PER_LABEL` bytes of each language, those
+of smallest id hash, by gradient ascent on the penalised likelihood; the expected moves are the pair marginals of
+forward-backward. Labelling works on whole texts: transfer matrices of blocks
 of words are multiplied along a text first, then all blocks of a slice go forward and backward at once.
 
 Defined results: a null text or one without a letter is `und` with score 0. If no row has a label to learn
@@ -31,6 +32,8 @@ from cardwatch.llm import textnum
 from cardwatch.llm.common import map_text
 
 ROWS_PER_LABEL = 100
+#: The texts that one language is learned from have at most so many bytes together.
+BYTES_PER_LABEL = 1 << 20
 UNKNOWN = "und"
 ROUNDS = 40
 RATE = 0.3
@@ -125,9 +128,15 @@ def look_up(lexicon: np.ndarray, word: np.ndarray) -> np.ndarray:
 def posteriors(emissions: np.ndarray, owner: np.ndarray, moves: np.ndarray, n_texts: int) -> np.ndarray:
     """Probability of each label at each word; the words of a text follow each other. Before its first word
     all labels are equally likely."""
+    return marginals(emissions, owner, moves, n_texts)[0]
+
+
+def marginals(emissions: np.ndarray, owner: np.ndarray, moves: np.ndarray, n_texts: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same probabilities, and the expected number of each move: those from label to label, and those from
+    the unseen label before a text to its first word."""
     n, n_labels = emissions.shape
     if not n:
-        return emissions
+        return emissions, np.zeros((n_labels, n_labels))
     e = np.exp(emissions - emissions.max(axis=1, keepdims=True)) + 1e-30
     a = np.exp(moves - moves.max())
     size = np.bincount(owner, minlength=n_texts)
@@ -162,12 +171,28 @@ def posteriors(emissions: np.ndarray, owner: np.ndarray, moves: np.ndarray, n_te
         v = np.where(live[t], moved / moved.sum(axis=1, keepdims=True), v)
         forward[t] = v
     v = leave
+    pairs = np.zeros((n_labels, n_labels))
     for t in range(BLOCK - 1, -1, -1):
+        here = live[t][:, 0]
+        # alpha of the word before, times the move, times emission and beta of this word, each pair's sum being one
+        before, after = (forward[t - 1] if t else enter)[here], (v * grid[t])[here]
+        weight = np.einsum("bi,ij,bj->b", before, a, after)
+        pairs += a * ((before / weight[:, None]).T @ after)
         forward[t] *= v
         moved = (v * grid[t]) @ a.T
         v = np.where(live[t], moved / moved.sum(axis=1, keepdims=True), v)
     out = forward[step, block]
-    return out / out.sum(axis=1, keepdims=True)
+    return out / out.sum(axis=1, keepdims=True), pairs
+
+
+def seen_moves(y: np.ndarray, owner: np.ndarray, moves: np.ndarray) -> np.ndarray:
+    """How often each move is made by the labels y; the unseen label before a text has its share of each label."""
+    out = np.zeros_like(moves)
+    inside = owner[1:] == owner[:-1]
+    np.add.at(out, (y[:-1][inside], y[1:][inside]), 1)
+    start = np.exp(moves - moves.max(axis=0))
+    first = np.concatenate([[True], ~inside]) if len(y) else np.zeros(0, bool)
+    return out + start / start.sum(axis=0) * np.bincount(y[first], minlength=len(moves))
 
 
 def fit(texts: list[str], labels: list[str], rounds: int = ROUNDS, seed: int = 7) -> Field:
@@ -198,14 +223,11 @@ def fit(texts: list[str], labels: list[str], rounds: int = ROUNDS, seed: int = 7
         return field
     truth = np.eye(n_labels)[y]
     y_chain = y[words]
-    stay = np.flatnonzero(chain[1:] == chain[:-1])
-    seen_moves = np.zeros((n_labels, n_labels))
-    np.add.at(seen_moves, (y_chain[stay], y_chain[stay + 1]), 1)
     params = [weights, lex, moves]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     for step in range(1, rounds + 1):
         e = field.emissions(f)[words]
-        p_chain = posteriors(e, chain, moves, n_chains)
+        p_chain, expected = marginals(e, chain, moves, n_chains)
         p = np.empty_like(p_chain)
         p[words] = p_chain
         miss = truth - p
@@ -218,10 +240,7 @@ def fit(texts: list[str], labels: list[str], rounds: int = ROUNDS, seed: int = 7
                 g[:, label] += np.bincount(f.affixes[:, j], miss[:, label], 1 << BITS)
         g_lex = np.stack([np.bincount(entry, miss[:, label], len(lexicon) + 1) for label in range(n_labels)], 1)
         g_lex[-1] = 0
-        # expected moves: pair probabilities of neighbours, from the products of their probabilities and moves
-        pair = p_chain[stay][:, :, None] * np.exp(moves)[None] * p_chain[stay + 1][:, None, :]
-        pair /= pair.sum(axis=(1, 2), keepdims=True)
-        g_moves = seen_moves - pair.sum(axis=0)
+        g_moves = seen_moves(y_chain, chain, moves) - expected
         for i, (param, grad) in enumerate(zip(params, (g, g_lex, g_moves), strict=True)):
             grad = grad / len(y) - PENALTY * param
             first[i] = 0.9 * first[i] + 0.1 * grad
@@ -231,17 +250,21 @@ def fit(texts: list[str], labels: list[str], rounds: int = ROUNDS, seed: int = 7
     return field
 
 
-def training_rows(docs: DataFrame, rows_per_label: int) -> DataFrame:
-    """At most so many labelled rows of each language: those of smallest id hash. The hash thins out frequent
+def training_rows(docs: DataFrame, rows_per_label: int, bytes_per_label: int = BYTES_PER_LABEL) -> DataFrame:
+    """At most so many labelled rows of each language: those of smallest id hash, as far as their texts together
+    have at most so many bytes; longer texts are not learned from. The hash thins out frequent
     languages where they are read, so that no text is shuffled but some times the number wanted."""
-    rows = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).select(
+    size = F.octet_length("text").cast("bigint")
+    rows = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & (size <= bytes_per_label)).select(
         "doc_id", "text", "lang", F.xxhash64("doc_id").alias("h")
     )
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # a row per language
     share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 3.0 * rows_per_label / n))])
     thin = rows.where((F.col("h") / 2.0**64 + 0.5) <= share[F.col("lang")]) if counts else rows
     w = Window.partitionBy("lang").orderBy("h", "doc_id", "text")
-    return thin.withColumn("r", F.row_number().over(w)).where(F.col("r") <= rows_per_label).select("doc_id", "text", "lang")
+    few = thin.withColumn("r", F.row_number().over(w)).where(F.col("r") <= rows_per_label)
+    upto = F.sum(size).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    return few.withColumn("upto", upto).where(F.col("upto") <= bytes_per_label).select("doc_id", "text", "lang")
 
 
 def train(docs: DataFrame, rows_per_label: int = ROWS_PER_LABEL) -> Field:

@@ -31,6 +31,36 @@ def test_forward_backward_adds_all_paths():
         assert np.allclose(got[own], want / want.sum(axis=1, keepdims=True))
 
 
+def test_move_gradient_is_that_of_the_likelihood(monkeypatch):
+    rng = np.random.default_rng(5)
+    owner = np.repeat([0, 2, 3], [5, 1, 6])
+    e, moves = rng.normal(size=(len(owner), 3)), rng.normal(size=(3, 3))
+    y = rng.integers(3, size=len(owner))
+
+    def weight(own, path, moves):
+        steps = np.exp(moves[:, path[0]]).sum() * np.exp(sum(moves[a, b] for a, b in itertools.pairwise(path)))
+        return steps * np.exp(sum(e[i, k] for i, k in zip(own, path, strict=True)))
+
+    def log_likelihood(moves):
+        total = 0.0
+        for text in set(owner):
+            own = np.flatnonzero(owner == text)
+            all_paths = sum(weight(own, p, moves) for p in itertools.product(range(3), repeat=len(own)))
+            total += np.log(weight(own, y[own], moves) / all_paths)
+        return total
+
+    step = 1e-5
+    want = np.zeros((3, 3))
+    for i, j in itertools.product(range(3), repeat=2):
+        d = np.zeros((3, 3))
+        d[i, j] = step
+        want[i, j] = (log_likelihood(moves + d) - log_likelihood(moves - d)) / (2 * step)
+    for block in (2, 32):
+        monkeypatch.setattr(crf, "BLOCK", block)
+        got = crf.seen_moves(y, owner, moves) - crf.marginals(e, owner, moves, 4)[1]
+        assert np.allclose(got, want, atol=1e-7)
+
+
 def test_blocks_change_nothing(monkeypatch):
     rng = np.random.default_rng(3)
     size = [1, 0, 31, 32, 33, 200]
@@ -68,5 +98,6 @@ def test_nothing_to_learn_from(frame):
 def test_sample_is_bounded_and_fixed(corpus):
     n = crf.training_rows(corpus, 5).groupBy("lang").count().collect()
     assert all(r["count"] == 5 for r in n)
+    assert crf.training_rows(corpus, 5, 3000).agg(F.sum(F.octet_length("text"))).first()[0] <= 3000 * 4
     ids = lambda df: sorted(r["doc_id"] for r in crf.training_rows(df, 5).collect())
     assert ids(corpus) == ids(corpus.repartition(7))
