@@ -7,7 +7,9 @@ Per language and source the minimum-covariance-determinant estimate is found by
 the mean and covariance of a subset, take the `SHARE` of rows with the smallest distances as the next one. Two
 deterministic starts (all rows; distances from medians and median deviations) run side by side, the one
 with the smaller determinant counts, and one step that weighs rows by their distance follows. A row is
-rejected if its squared Mahalanobis distance from that estimate passes `CUTOFF`.
+rejected if its Mahalanobis distance from that estimate passes the fence of its group: the upper quartile of
+the group's distances and `FENCE` times what lies between the quartiles more (for normal data a squared distance of
+about 16), but not less than `LEAST_CUT`.
 
 A step is one aggregation: rows add their counts, sums and products to a bin of their distance, and the
 subset is the bins up to the one in which the share is reached. So no task orders the rows of a group, and a
@@ -38,10 +40,10 @@ MIN_ROWS = 100
 BIN = 50
 UNIT = 1_000_000
 STATS = ["log_words", "log_word_chars", "symbols", "dup_lines", "repeats"]
-LEAST_SPREAD = [0.25, 0.05, 0.15, 0.15, 0.15]
-#: Quantiles of chi squared with five degrees of freedom, half and 97.5 %; and the square of ten deviations, as the
-#: statistics of ordinary texts have longer tails than the normal distribution.
-MEDIAN, WEIGHT_LIMIT, CUTOFF = 4.3515, 12.8325, 100.0
+LEAST_SPREAD = [0.25, 0.05, 0.05, 0.15, 0.15]
+#: Quantiles of chi squared with five degrees of freedom: half, 97.5 % and 99.9 %.
+MEDIAN, WEIGHT_LIMIT, LEAST_CUT = 4.3515, 12.8325, 20.5150
+FENCE = 1.5
 P = len(STATS)
 PAIRS = [(i, j) for i in range(P) for j in range(i + 1)]
 
@@ -213,13 +215,16 @@ def estimates(rows: DataFrame, share: float = SHARE, steps: int = STEPS) -> Data
 
 
 def _consistent(rows: DataFrame, now: DataFrame) -> DataFrame:
-    """Add the factor that brings the median of the squared distances to that of chi squared."""
+    """Add the factor that brings the median of the squared distances to that of chi squared, and the fence."""
     bins = _distance(rows.join(now, "g")).groupBy("g", _bin(F.col("d2")).alias("bin")).agg(F.count("*").alias("n"))
     w = Window.partitionBy("g")
     bins = bins.withColumn("run", F.sum("n").over(w.orderBy("bin"))).withColumn("whole", F.sum("n").over(w))
-    half = bins.where(F.col("run") * 2 >= F.col("whole")).groupBy("g").agg(F.min("bin").alias("bin"), F.first("whole").alias("n_rows"))
-    factor = MEDIAN / F.greatest(F.exp((F.col("bin") + 0.5) / BIN), F.lit(MEDIAN / 100))
-    return now.join(half.select("g", factor.alias("factor"), "n_rows"), "g")
+    part = lambda k: F.min(F.when(F.col("run") * 4 >= F.col("whole") * k, F.exp((F.col("bin") + 0.5) / BIN)))
+    quarters = bins.groupBy("g").agg(*[part(k).alias(f"q{k}") for k in (1, 2, 3)], F.first("whole").alias("n_rows"))
+    factor = MEDIAN / F.greatest(F.col("q2"), F.lit(MEDIAN / 100))
+    low, high = F.sqrt(F.col("q1") * factor), F.sqrt(F.col("q3") * factor)
+    cut = F.greatest(F.lit(LEAST_CUT), (high + FENCE * (high - low)) ** 2)
+    return now.join(quarters.select("g", factor.alias("factor"), cut.alias("cut"), "n_rows"), "g")
 
 
 def _reweighted(rows: DataFrame, now: DataFrame) -> DataFrame:
@@ -227,8 +232,8 @@ def _reweighted(rows: DataFrame, now: DataFrame) -> DataFrame:
     return _estimate(near.groupBy("g").agg(*_moments())).withColumn("start", F.lit(0))
 
 
-def verdicts(docs: DataFrame, min_rows: int = MIN_ROWS, share: float = SHARE, steps: int = STEPS, cutoff: float = CUTOFF) -> DataFrame:
-    """Counts, base_failed, the squared robust distance and kept of each row."""
+def verdicts(docs: DataFrame, min_rows: int = MIN_ROWS, share: float = SHARE, steps: int = STEPS) -> DataFrame:
+    """Counts, base_failed, the squared robust distance, the cut of its group and kept of each row."""
     counts = save(statistics(docs), "statistics")
     rows = counts.where("n_words > 0").select("lang", "source", *_vector())
     fitted = save(_pooled(rows, min_rows).drop("lang", "source"), "vectors")
@@ -240,7 +245,7 @@ def verdicts(docs: DataFrame, min_rows: int = MIN_ROWS, share: float = SHARE, st
     placed = _distance(counts.select("*", *_vector()).join(found, same, "left"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     d2 = F.when(F.col("n_words") > 0, F.col("d2") * F.col("factor"))
-    inside = (d2 <= cutoff) | (F.col("n_rows") < 2 * P)
+    inside = (d2 <= F.col("cut")) | (F.col("n_rows") < 2 * P)
     return placed.select(
         "doc_id",
         "n_words",
@@ -251,4 +256,5 @@ def verdicts(docs: DataFrame, min_rows: int = MIN_ROWS, share: float = SHARE, st
         failed.alias("base_failed"),
         (~failed & F.coalesce(inside, F.lit(True))).alias("kept"),
         d2.alias("distance2"),
+        "cut",
     )

@@ -56,6 +56,11 @@ def factor(x, est):
     return q.MEDIAN / max(math.exp((b[(len(b) - 1) // 2] + 0.5) / q.BIN), q.MEDIAN / 100)
 
 
+def fence(d2):
+    low, _, high = (math.sqrt(math.exp((np.sort(bins(d2))[math.ceil(len(d2) * k / 4) - 1] + 0.5) / q.BIN)) for k in (1, 2, 3))
+    return (high + q.FENCE * (high - low)) ** 2
+
+
 def mcd(x):
     def concentrate(d2):
         b = bins(d2)
@@ -78,7 +83,8 @@ def mcd(x):
         found.append((np.linalg.slogdet(est[1])[1], len(found), est))
     est = min(found, key=lambda f: f[:2])[2]
     est = moments(x[distances(x, *est) * factor(x, est) <= q.WEIGHT_LIMIT])
-    return distances(x, *est) * factor(x, est)
+    f = factor(x, est)
+    return distances(x, *est) * f, max(q.LEAST_CUT, fence(distances(x, *est)) * f)
 
 
 def brute(rows, min_rows):
@@ -95,8 +101,9 @@ def brute(rows, min_rows):
             groups[g].append(i)
     d2 = [None] * len(rows)
     for own in groups.values():
-        for i, v in zip(own, mcd(np.array([vector(found[i]) for i in own])), strict=True):
-            d2[i] = (v, len(own))
+        away, cut = mcd(np.array([vector(found[i]) for i in own]))
+        for i, v in zip(own, away, strict=True):
+            d2[i] = (v, len(own), cut)
     return found, d2
 
 
@@ -113,7 +120,7 @@ def check(got, rows, ids, min_rows):
             continue
         if d[1] >= 2 * q.P:
             assert r["distance2"] == pytest.approx(d[0], rel=1e-5)
-        assert r["kept"] == (not failed and (d[1] < 2 * q.P or d[0] <= q.CUTOFF))
+        assert r["kept"] == (not failed and (d[1] < 2 * q.P or d[0] <= d[2]))
 
 
 def test_counts_and_distances(spark, corpus):
