@@ -146,6 +146,10 @@ MESSAGE_KINDS = {
 WAVES = [(None, "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", None)]
 
 
+#: Most rows of a micro-batch where all messages are read as lines.
+ROWS_PER_BATCH = 4000
+
+
 def messages(spark: SparkSession, src: str) -> DataFrame:
     """The events as JSON lines, some of them broken in every way the validation knows."""
     mark = F.lit("unset")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 
+from cardwatch.plans.inputs import ROWS_PER_BATCH
+
 BASE = """
 WITH e AS (
   SELECT event_id, user_id, ts, event_type, value, cast(json_extract_string(props, '$.k') AS int) AS k FROM events),
@@ -574,6 +576,15 @@ s AS (SELECT *, sum(opens) OVER (PARTITION BY client_id ORDER BY event_ts, trans
 c AS (SELECT client_id, sid, min(event_ts) AS s, max(event_ts) AS e, count(*) AS n, sum(amount) AS amount FROM s GROUP BY client_id, sid)
 SELECT client_id, strftime(s, '%Y-%m-%d %H:%M:%S') AS start_ts, n, cast(amount AS double) AS amount FROM c
 WHERE e + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 24 HOUR"""
+    sql["stream_trailing"] = BASE + """
+, t AS (SELECT transaction_bk, client_id, event_ts, count(*) OVER w AS n_trailing, cast(sum(amount) OVER w AS double) AS amount_trailing
+  FROM staging WINDOW w AS (PARTITION BY client_id ORDER BY epoch_us(event_ts) RANGE BETWEEN 3599999999 PRECEDING AND CURRENT ROW))
+SELECT transaction_bk, client_id, n_trailing, amount_trailing FROM t
+WHERE (epoch_us(event_ts) // 3600000000 + 1) * 3600000 < (SELECT epoch_ms(max(ts)) FROM events) - 86400000"""
+    sql["stream_row_batches"] = f"""
+WITH n AS (SELECT count(*) + count(*) FILTER (WHERE event_id % 40 = 3) AS n FROM events)
+SELECT i AS batch_id, least({ROWS_PER_BATCH}, n - i * {ROWS_PER_BATCH}) AS n, 0::BIGINT AS n_gaps
+FROM n, unnest(range(0, (n + {ROWS_PER_BATCH - 1}) // {ROWS_PER_BATCH})) AS u(i)"""
     sql["check_log"] = f"SELECT *, 2::BIGINT AS n_runs FROM ({sql['quality_suite']})"
     sql["audit_log"] = sql["audit_report"]
     sql["load_log"] = BASE + """

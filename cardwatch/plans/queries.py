@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cardwatch import schema
@@ -28,8 +28,8 @@ from cardwatch.operators import (
 from cardwatch.operators.oversample import oversample
 from cardwatch.plans import inputs, models
 from cardwatch.session import run_dir
-from cardwatch.sources import logs, tables
-from cardwatch.streaming import ingest, validate
+from cardwatch.sources import logs, row_stream, tables
+from cardwatch.streaming import ingest, trailing, validate
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -410,6 +410,40 @@ def stream_sessions(spark: SparkSession, src: str) -> DataFrame:
     )
 
 
+def stream_trailing(spark: SparkSession, src: str) -> DataFrame:
+    """Counters of the last hour from the event stream, as far as the watermark has passed."""
+    folder = run_dir(spark, "trailing")
+    ingest.drain(trailing.trailing_stream(inputs.event_stream(spark, src)), f"{folder}/out", f"{folder}/checkpoint")
+    counted = spark.read.schema("transaction_bk string, client_id string, n_trailing bigint, amount_trailing double")
+    return counted.parquet(f"{folder}/out")
+
+
+def stream_row_batches(spark: SparkSession, src: str) -> DataFrame:
+    """All messages as a stream of text lines, in micro-batches of at most `inputs.ROWS_PER_BATCH` rows: their sizes,
+    and the rows that do not continue the line before."""
+    folder = run_dir(spark, "rows")
+    inputs.messages(spark, src).select("value").write.text(f"{folder}/inbox")
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        batch.select("arrival", F.lit(batch_id).alias("batch_id")).write.mode("overwrite").parquet(f"{folder}/out/{batch_id}")
+
+    stream = row_stream.row_events(spark, f"{folder}/inbox", inputs.ROWS_PER_BATCH)
+    query = stream.writeStream.option("checkpointLocation", f"{folder}/checkpoint").foreachBatch(keep).start()
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    rows = spark.read.option("recursiveFileLookup", "true").parquet(f"{folder}/out")
+    # a row per batch and file, then the gaps inside it and towards the batch before
+    batch = F.col("batch_id").cast("bigint").alias("batch_id")
+    runs = rows.groupBy(batch, F.col("arrival.part").alias("part")).agg(
+        F.count("*").alias("n"), F.min("arrival.row").alias("lo"), F.max("arrival.row").alias("hi")
+    )
+    before = F.coalesce(F.lag("hi").over(Window.partitionBy("part").orderBy("batch_id")), F.lit(-1))
+    gaps = F.col("hi") - F.col("lo") + 1 - F.col("n") + F.abs(F.col("lo") - before - 1)
+    return runs.withColumn("gaps", gaps).groupBy("batch_id").agg(F.sum("n").alias("n"), F.sum("gaps").alias("n_gaps"))
+
+
 def metric_summary(spark: SparkSession, src: str) -> DataFrame:
     """Three one-row results as one long frame of sections, keys and values."""
     rows = inputs.labelled(spark, src)
@@ -814,7 +848,7 @@ REGISTERED: list[Query] = [
     logistic_explanation, pca_anomaly,
     pca_detection_by_type, sequence_classifier, score_batch, scored_requests, smote_points, model_properties,
     validate_events, stream_ingest, stream_dead_letters, stream_totals, stream_known, stream_staged, run_log_state, online_counters,
-    enrich_online, stream_dedup, stream_sessions,
+    enrich_online, stream_dedup, stream_sessions, stream_trailing, stream_row_batches,
     load_facts, rejects, pending, mart_kpis, mart_ingestion, mart_hourly, mart_fraud_type, integrity_anti,
     quality_suite, check_log, audit_log, load_log, constraint_violations, late_labels, calendar, class_imbalance, rate_by_dimension,
     country_pivot, peak_rates, describe_by_class, boxplot, histogram_log_amount, zscore_card, iqr_card,
