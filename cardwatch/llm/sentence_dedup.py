@@ -1,12 +1,12 @@
 """Substring de-duplication by sliding sentence spans.
 
 A text is cut into sentences: after a word that ends with a full stop, exclamation or question mark and at a
-line end. A sentence of more than `MAX_WORDS` words is cut by its content, so that a passage is cut alike wherever
-it stands in one: after each word whose hash is 0 modulo `CUT_EVERY`, and after each word that ends `MAX_WORDS`
-words of the sentence without such a word. Every run of `SPAN` consecutive sentences is
+line end. A sentence of more than `LONG_WORDS` words, far above the ordinary length, is cut by its content, so that a
+passage is cut alike wherever it stands in one: after each word whose hash is 0 modulo `CUT_EVERY`, and after each
+word that ends `PIECE_WORDS` words of the sentence without such a word. Every run of `SPAN` consecutive sentences is
 hashed (128 bits, over words in lower case A-Z); a run of fewer than `SPAN_WORDS` words takes as many sentences
-more, before or behind it, as it needs. The hashes are joined over all documents, and a
-sentence goes if a run that covers it is found more than once and not for the first time.
+more, before or behind it, as it needs, so that nothing shorter than that goes. The hashes are joined over all
+documents, and a sentence goes if a run that covers it is found more than once and not for the first time.
 The first time is the one of smallest id, then text hash, then place; a passage within one text counts too.
 
 Only hashes with their places are shuffled. The hashes are counted before the join, so it meets only runs that
@@ -14,8 +14,8 @@ repeat; a run that a third of all documents share makes one aggregated row and a
 execution splits. Places are collected per document only, which its own length bounds.
 
 Defined results: rows with equal id and text are one document, and get equal results; null ids come first.
-A null text stays null and has no sentences, an empty one stays empty, very long texts are cut whole. An
-empty table gives an empty one. Columns named like one of the result are replaced by it.
+A null text stays null and has no sentences, an empty one stays empty, one of fewer than `SPAN` sentences or
+`SPAN_WORDS` words has no run and stays, very long texts are cut whole. An empty table gives an empty one. Columns named like one of the result are replaced by it.
 """
 
 from __future__ import annotations
@@ -30,9 +30,10 @@ from cardwatch.llm import textnum
 from cardwatch.llm.common import map_text, save, text_bytes
 
 SPAN = 3
-SPAN_WORDS = 8
-MAX_WORDS = 16
-CUT_EVERY = 4
+SPAN_WORDS = 30
+LONG_WORDS = 24
+PIECE_WORDS = 16
+CUT_EVERY = 8
 _STOPS = np.zeros(256, bool)
 _STOPS[[ord(c) for c in ".!?"]] = True
 _CLOSERS = np.zeros(256, bool)
@@ -42,7 +43,7 @@ _CLOSERS[[ord(c) for c in "\"')]"]] = True
 class Sentences:
     """The sentences of some texts: first word, number of words, text number, first byte, place in the text."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, max_words: int = MAX_WORDS):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, long_words: int = LONG_WORDS):
         self.low = textnum.lower_ascii(data)
         self.starts, self.ends, owner = textnum.words(data, offsets)
         n = len(self.starts)
@@ -60,7 +61,7 @@ class Sentences:
         mark = textnum.RangeHash(self.low)(self.starts, self.ends) % np.uint64(CUT_EVERY) == 0
         # the last such word, or else the one before the sentence
         last = np.maximum.accumulate(np.where(mark, np.arange(n), np.where(begins, np.arange(n) - 1, -1)))
-        cut = np.repeat(length > max_words, length) & (mark | (np.arange(n) - last >= max_words))
+        cut = np.repeat(length > long_words, length) & (mark | (np.arange(n) - last >= PIECE_WORDS))
         begins[1:] |= cut[:-1]
         self.first = np.flatnonzero(begins)
         self.size = np.diff(np.append(self.first, n))
@@ -91,11 +92,11 @@ class Sentences:
         return first, last - first + 1, out[0], out[1]
 
 
-def span_hashes(docs: DataFrame, span: int, least_words: int, max_words: int) -> DataFrame:
+def span_hashes(docs: DataFrame, span: int, least_words: int, long_words: int) -> DataFrame:
     """h1, h2, doc_id, text_hash, place and number of sentences of every run of every text."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        s = Sentences(*text_bytes(batch.column("text")), max_words)
+        s = Sentences(*text_bytes(batch.column("text")), long_words)
         at, size, h1, h2 = s.runs(span, least_words)
         rows = pa.array(s.owner[at])
         return pa.RecordBatch.from_arrays(
@@ -115,10 +116,10 @@ def span_hashes(docs: DataFrame, span: int, least_words: int, max_words: int) ->
 
 
 def dedup(
-    docs: DataFrame, span: int = SPAN, least_words: int = SPAN_WORDS, max_words: int = MAX_WORDS
+    docs: DataFrame, span: int = SPAN, least_words: int = SPAN_WORDS, long_words: int = LONG_WORDS
 ) -> DataFrame:
     """The rows with the text that is left, n_sentences and n_removed."""
-    spans = span_hashes(docs, span, least_words, max_words)
+    spans = span_hashes(docs, span, least_words, long_words)
     # hashed twice rather than stored; a run that shares only its first hash is alone below, and so the first
     repeated = save(spans.groupBy("h1").agg(F.count("*").alias("n")).where("n > 1").select("h1"), "repeated-hashes")
     found = save(spans.join(repeated, "h1"), "repeated-spans")
@@ -141,7 +142,7 @@ def dedup(
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         column = batch.column(text)
         data, offsets = text_bytes(column)
-        s = Sentences(data, offsets, max_words)
+        s = Sentences(data, offsets, long_words)
         lists = batch.column("places")
         row = np.repeat(np.arange(len(column)), np.diff(lists.offsets.to_numpy()))
         place = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)

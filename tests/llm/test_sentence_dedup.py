@@ -17,7 +17,7 @@ def marked(word):
     return int(sd.textnum.RangeHash(raw)(sd.np.array([0]), sd.np.array([len(raw)]))[0]) % sd.CUT_EVERY == 0
 
 
-def cut(text, max_words=sd.MAX_WORDS):
+def cut(text, long_words=sd.LONG_WORDS):
     """Sentences as (words, first character) by a plain loop."""
     whole, now, last = [], [], 0
     for m in WORD.finditer(text or ""):
@@ -32,7 +32,7 @@ def cut(text, max_words=sd.MAX_WORDS):
         for word, begin in s:
             piece.append((word, begin))
             since = 0 if marked(word) else since + 1
-            if len(s) > max_words and (since == 0 or since >= max_words):
+            if len(s) > long_words and (since == 0 or since >= sd.PIECE_WORDS):
                 out.append(piece)
                 piece = []
         if piece:
@@ -83,7 +83,8 @@ def test_matches_a_plain_loop(corpus, texts):
 
 
 def test_edge_cases(frame):
-    passage = "One two three four five. Six seven eight nine ten! Eleven twelve thirteen fourteen fifteen?"
+    passage = " ".join(f"One{k} two three four five six seven eight nine ten eleven{k}{end}" for k, end in enumerate(".!?"))
+    singles = " ".join(f"w{k}!" for k in range(24))
     rows = [
         (1, "Start here. " + passage + "\nEnd here."),
         (2, "  Other start. " + passage.upper() + " Other end."),
@@ -93,8 +94,10 @@ def test_edge_cases(frame):
         (4, ""),
         (5, " \n "),
         (6, "Ho. Ho. Ho. Ho. Ho. Ho."),
-        (8, "Odd one out here.\nA! B! C! D! E! F! G! H! I! J! Long sentence to end it all now. K! L!\nUnlike the rest."),
-        (9, "A! B! C! D! E! F! G! H! I! J! Long sentence to end it all now. K! L!"),
+        (8, f"Odd one out here.\n{singles} Long sentence to end it all now. K! L!\nUnlike the rest."),
+        (9, f"{singles} Long sentence to end it all now. K! L!"),
+        (10, "Short before. One two three. Four five six. Seven eight nine. Short behind."),
+        (11, "Other before. One two three. Four five six. Seven eight nine. Other behind."),
         (7, ("é日 " * 4_000).strip()),
     ]
     got = sd.dedup(frame(rows, n_removed=F.lit("clash"), places=F.lit(1))).collect()
@@ -107,6 +110,7 @@ def test_edge_cases(frame):
         assert (r["text"], r["n_sentences"], r["n_removed"]) == want[key], before
         assert r["places"] == 1
     assert {r["doc_id"]: r["n_removed"] for r in got if r["doc_id"] in (1, 2, None)} == {1: 3, 2: 3, None: 0}
+    assert {r["doc_id"]: r["n_removed"] for r in got if r["doc_id"] in (8, 9, 10, 11)} == {8: 0, 9: 27, 10: 0, 11: 0}
     assert sd.dedup(frame([])).collect() == []
 
 
@@ -130,4 +134,4 @@ def test_words_without_a_cut_are_cut_alike():
     for lead in ([], ["lead"] * 5, ["other"] * 11):
         text = " ".join([*lead, *words]).encode()
         s = sd.Sentences(sd.np.frombuffer(text, sd.np.uint8), sd.np.array([0, len(text)]))
-        assert set(range(len(lead) + sd.MAX_WORDS, len(lead) + 60)) <= set(s.first.tolist())
+        assert set(range(len(lead) + sd.PIECE_WORDS, len(lead) + 60)) <= set(s.first.tolist())
