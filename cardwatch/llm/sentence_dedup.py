@@ -9,9 +9,9 @@ more, before or behind it, as it needs, so that nothing shorter than that goes.
 documents, and a sentence goes if a run that covers it is found more than once and not for the first time.
 The first time is the one of smallest id, then text hash, then place; a passage within one text counts too.
 
-Only hashes with their places are shuffled. The hashes are counted before the join, so it meets only runs that
-repeat; a run that a third of all documents share makes one aggregated row and a join side that adaptive
-execution splits. Places are collected per document only, which its own length bounds.
+Only hashes with their places are shuffled: once to count each run and take its first place, and once to join the
+runs with the firsts of those that repeat. A run that a third of all documents share makes one aggregated row and a
+join side that adaptive execution splits. Places are collected per document only, which its own length bounds.
 
 Defined results: rows with equal id and text are one document, and get equal results; null ids come first.
 A null text stays null and has no sentences, an empty one stays empty, one of fewer than `SPAN` sentences or
@@ -120,12 +120,10 @@ def dedup(
 ) -> DataFrame:
     """The rows with the text that is left, n_sentences and n_removed."""
     spans = span_hashes(docs, span, least_words, long_words)
-    # hashed twice rather than stored; a run that shares only its first hash is alone below, and so the first
-    repeated = save(spans.groupBy("h1").agg(F.count("*").alias("n")).where("n > 1").select("h1"), "repeated-hashes")
-    found = save(spans.join(repeated, "h1"), "repeated-spans")
     place = F.struct("doc_id", "text_hash", "place")
-    first = found.groupBy("h1", "h2").agg(F.min(place).alias("first"))
-    again = found.join(first, ["h1", "h2"]).where(~place.eqNullSafe(F.col("first")))
+    # hashed twice rather than stored; first places are taken before the shuffle, so a hot run is a row per task
+    first = spans.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1").drop("n")
+    again = spans.join(save(first, "repeated-spans"), ["h1", "h2"]).where(~place.eqNullSafe(F.col("first")))
     cuts = again.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("place", "size")).alias("runs"))
     cuts = cuts.select(F.col("doc_id").alias("cut_id"), F.col("text_hash").alias("cut_hash"), F.col("runs.place").alias("places"), F.col("runs.size").alias("sizes"))
     names = [c for c in docs.columns if c not in ("n_sentences", "n_removed")]
