@@ -257,6 +257,11 @@ UNION ALL SELECT 'foreign:client_id', count(*) FROM staging s
     sql["late_labels"] = BASE + """
 SELECT coalesce(cast(coalesce(f.is_fraud, CASE WHEN f.event_ts < TIMESTAMP '2024-01-15 00:00:00' THEN f.home_distance_km < 10 END)
          AS varchar), 'open') AS label, count(*) AS n FROM fact f GROUP BY 1"""
+    sql["label_deltas"] = BASE + """
+, l AS (SELECT is_fraud, fraud_type, CASE WHEN event_ts < TIMESTAMP '2024-01-15 00:00:00' THEN home_distance_km < 10 END AS late FROM fact)
+SELECT coalesce(cast(coalesce(is_fraud, late) AS varchar), 'open') AS label, count(*) AS n,
+       count(*) FILTER (WHERE is_fraud IS NULL AND late IS NOT NULL) AS n_late
+FROM l GROUP BY 1"""
     sql["calendar"] = BASE + """
 SELECT strftime(h, '%Y-%m-%d %H:%M:%S') AS hour_ts, cast(row_number() OVER (ORDER BY h) AS bigint) AS time_key,
        cast(year(h) AS bigint) AS year, cast(month(h) AS bigint) AS month, cast(day(h) AS bigint) AS day,

@@ -29,10 +29,11 @@ from cardwatch.operators.oversample import oversample
 from cardwatch.plans import inputs, models
 from cardwatch.session import run_dir
 from cardwatch.sources import logs, row_stream, tables
-from cardwatch.streaming import ingest, trailing, validate
+from cardwatch.streaming import ingest, labels, trailing, validate
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+LABEL_BATCHES = 10
 RATE_DIMENSIONS = ["channel", "auth_method", "segment", "unusual_country", "hour"]
 
 
@@ -159,6 +160,27 @@ def late_labels(spark: SparkSession, src: str) -> DataFrame:
     return full.groupBy(label).agg(F.count("*").alias("n"))
 
 
+def label_deltas(spark: SparkSession, src: str) -> DataFrame:
+    """The same labels in ten batches, each fraud also as a legitimate row of another batch, and labels of no
+    transaction; merged with the fact when it is read."""
+    folder = run_dir(spark, "labels")
+    key = F.pmod(F.xxhash64("transaction_bk"), F.lit(LABEL_BATCHES)).cast("int")
+    verdict = F.col("home_distance_km") < 10
+    rows = inputs.fact(spark, src).where(F.col("event_ts") < F.lit("2024-01-15").cast("timestamp"))
+    given = rows.select("transaction_bk", verdict.alias("is_fraud"), F.lit("late").alias("fraud_type"), key.alias("batch"))
+    denied = given.where("is_fraud").withColumns({"is_fraud": F.lit(False), "batch": (F.col("batch") + 1) % LABEL_BATCHES})
+    strange = given.withColumn("transaction_bk", F.concat(F.lit("?"), "transaction_bk"))
+    given.unionByName(denied).unionByName(strange).write.partitionBy("batch").parquet(f"{folder}/in")
+    store = labels.LabelStore(f"{folder}/store")
+    sent = spark.read.schema(f"{labels.LABELS}, batch int").parquet(f"{folder}/in")
+    for k in range(LABEL_BATCHES):
+        store.add(sent.where(F.col("batch") == k), k)
+    full = store.complete(inputs.fact(spark, src))
+    label = F.coalesce(F.col("is_fraud").cast("string"), F.lit("open")).alias("label")
+    late = F.count_if(F.coalesce(F.col("fraud_type") == "late", F.lit(False))).alias("n_late")
+    return full.groupBy(label).agg(F.count("*").alias("n"), late)
+
+
 def calendar(spark: SparkSession, src: str) -> DataFrame:
     span = inputs.events(spark, src).agg(F.min("ts").alias("s"), F.max("ts").alias("e"))
     hours = dimensions.time_dimension(dimensions.hours_between(span, "s", "e"), with_unknown=False)
@@ -850,7 +872,7 @@ REGISTERED: list[Query] = [
     validate_events, stream_ingest, stream_dead_letters, stream_totals, stream_known, stream_staged, run_log_state, online_counters,
     enrich_online, stream_dedup, stream_sessions, stream_trailing, stream_row_batches,
     load_facts, rejects, pending, mart_kpis, mart_ingestion, mart_hourly, mart_fraud_type, integrity_anti,
-    quality_suite, check_log, audit_log, load_log, constraint_violations, late_labels, calendar, class_imbalance, rate_by_dimension,
+    quality_suite, check_log, audit_log, load_log, constraint_violations, late_labels, label_deltas, calendar, class_imbalance, rate_by_dimension,
     country_pivot, peak_rates, describe_by_class, boxplot, histogram_log_amount, zscore_card, iqr_card,
     sequences, split_positional, split_quantile, session_counters, trailing_hour_counters, sampled_rows,
     roc_points, pr_points, evaluate_scores, threshold_sweep, best_threshold, confusion, detection_by_type,
