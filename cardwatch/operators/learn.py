@@ -39,26 +39,26 @@ def _fit(
 ) -> PipelineModel:
     """Assemble the inputs of the labelled rows and fit; the rows are computed once and kept for all passes."""
     label = F.col("is_fraud").cast("double").alias("label")
-    rows = train.where(F.col("is_fraud").isNotNull()).select(*inputs, *extra, "is_fraud", label).persist()
+    stored = train.where(F.col("is_fraud").isNotNull()).select(*inputs, *extra, "is_fraud", label).persist()
     try:
-        counts = Counts(*rows.agg(F.count("*"), F.count_if("is_fraud")).first())
-        rows = _spread(rows)
+        counts = Counts(*stored.agg(F.count("*"), F.count_if("is_fraud")).first())
+        rows = _dealt(stored)
         weighted = rows if fraud_weight is None else with_weight(rows, fraud_weight(counts))
         vector = VectorAssembler(inputCols=list(inputs), outputCol="features")
         return Pipeline(stages=[vector, classifier(counts)]).fit(weighted)
     finally:
-        rows.unpersist()
+        stored.unpersist()
 
 
-def _spread(rows: DataFrame) -> DataFrame:
-    """Stored rows in at least as many partitions as there are cores, since every iteration reads them."""
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Stored rows in as many partitions as there are cores.
+
+    Every iteration reads all partitions and each of its tasks answers the driver, so tasks and answers of a fit grow
+    with the partitions. The learners keep the rows in their own form, and in these partitions.
+    """
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() >= cores:
-        return rows
-    more = rows.repartition(cores).persist()
-    more.count()
-    rows.unpersist()
-    return more
+    found = rows.rdd.getNumPartitions()
+    return rows if found == cores else rows.coalesce(cores) if found > cores else rows.repartition(cores)
 
 
 def _logistic(counts: Counts) -> LogisticRegression:

@@ -258,3 +258,20 @@ def test_sample_is_stable_and_complete(spark):
     df = spark.range(500).select(F.col("id").cast("string").alias("transaction_bk"))
     one, two = windows.sample_rows(df, 50), windows.sample_rows(df.repartition(7), 50)
     assert {r[0] for r in one.collect()} == {r[0] for r in two.collect()} and one.count() == 50
+
+
+def test_a_fit_reads_as_many_partitions_as_there_are_cores(spark):
+    from pyspark.ml import Estimator
+    from pyspark.ml.feature import VectorAssembler
+
+    class Seen(Estimator):
+        def _fit(self, dataset):
+            self.partitions, self.rows = dataset.rdd.getNumPartitions(), dataset.count()
+            return VectorAssembler(inputCols=["x"], outputCol="again")
+
+    cores = spark.sparkContext.defaultParallelism
+    for partitions in (1, 5 * cores):
+        rows = spark.range(0, 400, 1, partitions).selectExpr("CAST(id AS double) AS x", "id % 7 = 0 AS is_fraud")
+        seen = Seen()
+        learn._fit(rows, ["x"], lambda counts: seen)
+        assert (seen.partitions, seen.rows) == (cores, 400)
