@@ -1,20 +1,16 @@
-"""Trailing counters on a stream: keyed state that lasts one span and is gone when the watermark has passed it."""
+"""Trailing counters on a stream: rows are gathered in sliding windows, which come out when the watermark has passed them."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from cardwatch.streaming.ingest import DEDUP_MEMORY
 
-_STATE = "at array<bigint>, cents array<bigint>, bk array<string>, own array<boolean>"
-
 
 def trailing_stream(
     events: DataFrame,
@@ -29,59 +25,51 @@ def trailing_stream(
     """Count `n_trailing` and sum `amount_trailing` of the client's rows in (t - span, t] for each streamed row.
 
     Equal to `windows.trailing_counters`, in whatever order rows come within `delay`. Time is cut into slots of
-    span / pieces; a row belongs to its slot and is context for the `pieces` slots after it. The state is that of a
-    client and slot, so a busy client is spread over slots, and more pieces make smaller ones for more copies. When the
-    watermark passes a slot's end its own rows come out and its state goes, also that of a client who is silent
-    since. Rows of a null client are one client. A row without a time is dropped, as the batch form has no place for
-    it either; one without an amount counts with nothing.
+    span / pieces; a window is a slot with the `pieces` slots before it, which are its context. Spark's state is that of
+    a client and window, so a busy client is spread over windows, and more pieces make smaller ones for more copies. When
+    the watermark passes a window's end the rows of its last slot come out and its state goes, also that of a client who
+    is silent since. Rows of a null client are one client. A row without a time is dropped, as the batch form has no
+    place for it either; one without an amount counts with nothing.
     """
     if span_s % pieces:
         raise ValueError("the span must be a whole number of seconds times the pieces")
-    span, slot = span_s * 1_000_000, span_s * 1_000_000 // pieces
-    micros = F.unix_micros(ts)
-    first = (micros - F.pmod(micros, F.lit(slot))) / slot
+    span, slot_s = span_s * 1_000_000, span_s // pieces
     cents = F.coalesce((F.col(amount).cast("decimal(18,2)") * 100).cast("bigint"), F.lit(0))
-    rows = (
+    row = F.struct(F.unix_micros(ts).alias("at"), cents.alias("cents"), F.col(bk).alias("bk"))
+    gathered = (
         events.where(F.col(ts).isNotNull())
-        .withWatermark(ts, delay)
-        .select(
-            key, ts, bk, micros.alias("_at"), cents.alias("_cents"), first.cast("bigint").alias("_first"),
-            F.explode(F.sequence(F.lit(0), F.lit(pieces))).alias("_step"),
-        )
-        .withColumn("_slot", F.col("_first") + F.col("_step"))
+        .withWatermark(ts, f"{delay} 1 millisecond")  # a window whose end the watermark only touches stays open
+        .groupBy(key, F.window(ts, f"{span_s + slot_s} seconds", f"{slot_s} seconds").alias("w"))
+        .agg(F.collect_list(row).alias("rows"))
+        .select(key, F.unix_micros("w.start").alias("_start"), F.col("rows.at").alias("_at"), F.col("rows.cents").alias("_cents"), F.col("rows.bk").alias("_bk"))
     )
-    fields = {f.name: f.dataType for f in events.schema.fields}
-    out = T.StructType(
-        [
-            T.StructField(bk, fields[bk]),
-            T.StructField(key, fields[key]),
-            T.StructField("_at", T.LongType()),
-            T.StructField("n_trailing", T.LongType()),
-            T.StructField("_sum", T.LongType()),
-        ]
-    )
+    names = {f.name: f.dataType.simpleString() for f in events.schema.fields}
+    ddl = f"`{bk}` {names[bk]}, `{key}` {names[key]}, _at bigint, n_trailing bigint, _sum bigint"
 
-    def work(group: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            at, cents, keys, own = (np.asarray(x) for x in state.get)
-            state.remove()
-            order = np.argsort(at, kind="stable")
-            at, keys, own = at[order], keys[order], own[order].astype(bool)
-            upto = np.concatenate([[0], np.cumsum(cents[order])])
-            lo, hi = np.searchsorted(at, at[own] - span, "right"), np.searchsorted(at, at[own], "right")
-            if own.any():
-                yield pd.DataFrame({bk: keys[own], key: group[0], "_at": at[own], "n_trailing": hi - lo, "_sum": upto[hi] - upto[lo]})
-            return
-        at, cents, keys, own = (list(x) for x in state.get) if state.exists else ([], [], [], [])
-        for frame in frames:
-            at += frame["_at"].tolist()
-            cents += frame["_cents"].tolist()
-            keys += frame[bk].tolist()
-            own += (frame["_step"] == 0).tolist()
-        state.update((at, cents, keys, own))
-        state.setTimeoutTimestamp((int(group[1]) + 1) * slot // 1000)
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _count(batch, key, bk, span, span + slot_s * 1_000_000)
 
-    counted = rows.groupBy(key, "_slot").applyInPandasWithState(work, out, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    counted = gathered.mapInArrow(work, ddl)
     return counted.select(
         bk, key, F.timestamp_micros("_at").alias(ts), "n_trailing", (F.col("_sum") / 100.0).cast("double").alias("amount_trailing")
     )
+
+
+def _count(batch: pa.RecordBatch, key: str, bk: str, span: int, width: int) -> pa.RecordBatch:
+    """Counters of the rows in the last slot of each window of a batch; the windows lie side by side on one axis."""
+    lists = batch.column("_at")
+    window = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+    at, cents = (batch.column(c).flatten().to_numpy() for c in ("_at", "_cents"))
+    inside = at - batch.column("_start").to_numpy()[window]
+    place = window * (width + span) + inside
+    order = np.argsort(place, kind="stable")
+    place, upto = place[order], np.concatenate([[0], np.cumsum(cents[order])])
+    own = np.flatnonzero(inside[order] >= span)
+    lo, hi = np.searchsorted(place, place[own] - span, "right"), np.searchsorted(place, place[own], "right")
+    picked = order[own]
+    columns = [
+        batch.column("_bk").flatten().take(pa.array(picked)), batch.column(key).take(pa.array(window[picked])),
+        pa.array(at[picked]), pa.array(hi - lo), pa.array(upto[hi] - upto[lo]),
+    ]
+    return pa.RecordBatch.from_arrays(columns, [bk, key, "_at", "n_trailing", "_sum"])

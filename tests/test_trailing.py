@@ -58,6 +58,14 @@ def test_equals_the_batch_form(spark, pieces):
     assert progress["stateOperators"][0]["numRowsTotal"] == 1 + pieces
 
 
+def test_state_is_kept_by_spark_and_no_python_runs_per_group(spark):
+    stream = spark.readStream.format("rate").load().select(
+        F.lit("x").alias("transaction_bk"), F.lit("c").alias("client_id"), F.col("timestamp").alias("event_ts"), F.lit(1).alias("amount")
+    )
+    plan = trailing_stream(stream)._jdf.queryExecution().analyzed().toString()
+    assert "FlatMapGroupsInPandasWithState" not in plan and "Aggregate" in plan
+
+
 def test_pieces_divide_the_span(spark):
     stream = spark.readStream.format("rate").load().select(
         F.lit("x").alias("transaction_bk"), F.lit("c").alias("client_id"), F.col("timestamp").alias("event_ts"), F.lit(1).alias("amount")
