@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cardwatch.session import with_package
 from cardwatch.streaming.ingest import DEDUP_MEMORY
 
 
@@ -50,6 +51,7 @@ def trailing_stream(
         for batch in batches:
             yield _count(batch, key, bk, span, span + slot_s * 1_000_000)
 
+    with_package(events.sparkSession)
     counted = gathered.mapInArrow(work, ddl)
     return counted.select(
         bk, key, F.timestamp_micros("_at").alias(ts), "n_trailing", (F.col("_sum") / 100.0).cast("double").alias("amount_trailing")
