@@ -6,10 +6,12 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardwatch.functions.spread import running_totals
+from cardwatch.session import with_package
 
 # Random projection trees, points of a leaf (about), and children of a node at most.
 TREES = 24
@@ -17,10 +19,6 @@ LEAF = 160
 FAN = 8
 
 
-def _distance(a: Column, b: Column) -> Column:
-    return F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, d: s + d))
-
-
 def leaves(points: DataFrame, trees: int, leaf: int, fan: int, seed: int) -> DataFrame:
     """Each point once per tree with its leaf `node`: (tree, node, id, v).
 
@@ -53,13 +51,42 @@ def nearest(
     random projection trees, so a point has at most about `trees * leaf` candidates, however many
     points there are. The search is approximate; its recall is tested against brute force.
     """
-    placed = leaves(points, trees, leaf, fan, seed).checkpoint()
-    others = placed.select("tree", "node", F.col("id").alias("other"), F.col("v").alias("other_v"))
-    pairs = placed.join(others, ["tree", "node"]).where(F.col("id") != F.col("other"))
-    found = pairs.select("id", "other", "other_v", _distance(F.col("v"), F.col("other_v")).alias("distance"))
-    found = found.dropDuplicates(["id", "other"])
+    with_package(points.sparkSession)
+    kind = points.schema["id"].dataType.simpleString()
+    placed = leaves(points, trees, leaf, fan, seed)
+
+    def near_in_leaf(members: pa.Table) -> pa.Table:
+        return _nearest_of(members, k)
+
+    # the nearest of all trees are among the nearest of each, so only those leave a leaf
+    found = placed.groupBy("tree", "node").applyInArrow(near_in_leaf, f"id {kind}, other {kind}, distance double")
+    found = found.repartition("id").dropDuplicates(["id", "other"])
     by_distance = Window.partitionBy("id").orderBy("distance", "other")
-    return found.withColumn("place", F.row_number().over(by_distance)).where(F.col("place") <= k)
+    best = found.withColumn("place", F.row_number().over(by_distance)).where(F.col("place") <= k)
+    others = points.select(F.col("id").alias("other"), F.col("v").alias("other_v"))
+    return best.join(others, "other").select("id", "other", "other_v", "distance", "place")
+
+
+def _nearest_of(members: pa.Table, k: int, tile: int = 1024) -> pa.Table:
+    """The `k` nearest others of each point of a leaf; equal distances are ordered by id."""
+    members = members.sort_by("id").combine_chunks()
+    n, ids = members.num_rows, members.column("id")
+    x = members.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
+    take = min(k, n - 1)
+    at, distances = [], []
+    for lo in range(0, n, tile):
+        own = x[lo : lo + tile]
+        total = np.zeros((len(own), n))
+        for d in range(x.shape[1]):
+            apart = own[:, d, None] - x[None, :, d]
+            total += apart * apart
+        gap = np.sqrt(total)
+        gap[np.arange(len(own)), np.arange(lo, lo + len(own))] = np.inf
+        first = np.argsort(gap, axis=1, kind="stable")[:, :take]
+        at.append(first)
+        distances.append(np.take_along_axis(gap, first, axis=1))
+    mine, theirs = np.repeat(np.arange(n), take), np.concatenate(at).ravel()
+    return pa.table({"id": ids.take(pa.array(mine)), "other": ids.take(pa.array(theirs)), "distance": np.concatenate(distances).ravel()})
 
 
 def _draw(seed: int, *parts: Column) -> Column:

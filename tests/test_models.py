@@ -4,11 +4,12 @@ from itertools import combinations
 from math import factorial
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from cardwatch.operators import drift, evaluate, explain, learn, profile, windows
-from cardwatch.operators.oversample import FAN, LEAF, TREES, leaves, nearest, oversample
+from cardwatch.operators.oversample import FAN, LEAF, TREES, _nearest_of, leaves, nearest, oversample
 from cardwatch.operators.prepare import apply_prep, fit_prep
 from cardwatch.plans import inputs, models
 from cardwatch.sources import logs
@@ -52,6 +53,19 @@ def test_compared_points_are_bounded(spark, n):
     assert max(r["count"] for r in sizes) <= 1.5 * LEAF
 
 
+def test_only_the_nearest_leave_a_leaf(spark):
+    """Ids of equal distance in order, a leaf of one point, and k rows of a point where all pairs were made before."""
+    x = [(f"p{i:03}", [float(i % 40), float(i // 40)]) for i in range(200)]
+    near = _nearest_of(pa.table({"id": [p for p, _ in x][::-1], "v": [v for _, v in x][::-1]}), 5, tile=64)
+    assert near.num_rows == 200 * 5
+    found = {}
+    for r in near.to_pylist():
+        found.setdefault(r["id"], []).append((r["distance"], r["other"]))
+    for p, v in x:
+        assert found[p] == sorted((float(np.hypot(v[0] - w[0], v[1] - w[1])), o) for o, w in x if o != p)[:5]
+    assert _nearest_of(pa.table({"id": ["a"], "v": [[1.0, 2.0]]}), 5).num_rows == 0
+
+
 def test_oversample_size_and_segments(spark):
     rng = np.random.default_rng(1)
     rows = [(f"n{i}", float(a), float(b), False) for i, (a, b) in enumerate(rng.normal(size=(400, 2)))]
