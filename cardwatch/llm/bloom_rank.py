@@ -51,6 +51,8 @@ HASHES = (10, 4, 4, 4, 4, 4, 4)
 SPARSE = 2.4
 #: Cells (bits times documents) of a block, and keys that a task holds back, at most about.
 BLOCK_CELLS, HELD_KEYS = 1 << 24, 1 << 22
+#: Documents of a block at most: a task holds their marks for each term of an item block, and short texts have few bits.
+BLOCK_DOCS = 4096
 #: Bytes of signatures in one column of the grid, about.
 COLUMN_BYTES = 1 << 25
 TERM_FILTER_BITS = 22
@@ -102,7 +104,7 @@ class _Builder:
         size = int(4 * np.log2(n_set))
         self.sizes.setdefault(size, []).append((*doc, int(n_set * SPARSE), keys))
         self.keys[size] += sum(map(len, keys))
-        if len(self.sizes[size]) * n_set * SPARSE >= BLOCK_CELLS:
+        if len(self.sizes[size]) >= BLOCK_DOCS or len(self.sizes[size]) * n_set * SPARSE >= BLOCK_CELLS:
             yield self.flush(size)
         elif self.keys.total() > HELD_KEYS:
             yield self.flush(self.keys.most_common(1)[0][0])

@@ -91,3 +91,12 @@ def test_bounds_hold_and_are_tight(frame, spark):
             loose += int(((bound > 0) & (exact == 0)).sum())
             all_ += len(exact)
     assert all_ == 200 * 520 and loose < all_ / 1000
+
+
+def test_blocks_of_short_texts_are_bounded():
+    build, blocks = br._Builder(0), []
+    for i in range(3 * br.BLOCK_DOCS - 5):
+        one = br._level_keys(np.array([i], np.uint64), 0)
+        blocks += build.add((i, i, 1, 1), [one, *[one[:0]] * (len(br.LEVELS) - 1)])
+    sizes = [row[3] for row in [*blocks, *build.rest()]]
+    assert sizes == [br.BLOCK_DOCS, br.BLOCK_DOCS, br.BLOCK_DOCS - 5]
