@@ -148,6 +148,8 @@ WAVES = [(None, "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", None
 
 #: Most rows of a micro-batch where all messages are read as lines.
 ROWS_PER_BATCH = 4000
+#: Streams that share those lines, so that the fixed costs of their micro-batches pass at the same time.
+LANES = 4
 
 
 def messages(spark: SparkSession, src: str) -> DataFrame:

@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from cardwatch import schema
 from cardwatch.functions.scalar import category_index
@@ -29,6 +31,7 @@ from cardwatch.operators.oversample import oversample
 from cardwatch.plans import inputs, models
 from cardwatch.session import run_dir
 from cardwatch.sources import logs, row_stream, tables
+from cardwatch.sources.events import ARRIVAL
 from cardwatch.streaming import ingest, labels, trailing, validate
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -442,20 +445,29 @@ def stream_trailing(spark: SparkSession, src: str) -> DataFrame:
 
 def stream_row_batches(spark: SparkSession, src: str) -> DataFrame:
     """All messages as a stream of text lines, in micro-batches of at most `inputs.ROWS_PER_BATCH` rows: their sizes,
-    and the rows that do not continue the line before."""
+    and the rows that do not continue the line before. `inputs.LANES` streams take the batches in turn."""
     folder = run_dir(spark, "rows")
     inputs.messages(spark, src).select("value").write.text(f"{folder}/inbox")
 
-    def keep(batch: DataFrame, batch_id: int) -> None:
-        batch.select("arrival", F.lit(batch_id).alias("batch_id")).write.mode("overwrite").parquet(f"{folder}/out/{batch_id}")
+    def start(lane: int) -> StreamingQuery:
+        def keep(batch: DataFrame, turn: int) -> None:
+            batch_id = turn * inputs.LANES + lane
+            batch.select("arrival", F.lit(batch_id).alias("batch_id")).write.mode("overwrite").parquet(f"{folder}/out/{batch_id}")
 
-    stream = row_stream.row_events(spark, f"{folder}/inbox", inputs.ROWS_PER_BATCH)
-    query = stream.writeStream.option("checkpointLocation", f"{folder}/checkpoint").foreachBatch(keep).start()
+        stream = row_stream.row_events(spark, f"{folder}/inbox", inputs.ROWS_PER_BATCH, lanes=inputs.LANES, lane=lane)
+        return stream.writeStream.option("checkpointLocation", f"{folder}/checkpoint/{lane}").foreachBatch(keep).start()
+
+    running = []
     try:
-        query.processAllAvailable()
+        for lane in range(inputs.LANES):
+            running.append(start(lane))
+        for query in running:
+            query.processAllAvailable()
     finally:
-        query.stop()
-    rows = spark.read.option("recursiveFileLookup", "true").parquet(f"{folder}/out")
+        for query in running:
+            query.stop()
+    kept = spark.read.schema(T.StructType([T.StructField("arrival", ARRIVAL), T.StructField("batch_id", T.IntegerType())]))
+    rows = kept.option("recursiveFileLookup", "true").parquet(f"{folder}/out")
     # a row per batch and file, then the gaps inside it and towards the batch before
     batch = F.col("batch_id").cast("bigint").alias("batch_id")
     runs = rows.groupBy(batch, F.col("arrival.part").alias("part")).agg(

@@ -15,7 +15,7 @@ from cardwatch.sources.events import BATCH_MESSAGES
 
 FORMAT = "text_rows"
 CHUNK = 1 << 16
-_START = {"time": -1, "name": "", "byte": 0, "row": 0}
+_START = {"time": -1, "name": "", "byte": 0, "row": 0, "n": 0}
 
 
 class Piece(InputPartition):
@@ -26,7 +26,8 @@ class Piece(InputPartition):
 
 
 class TextRows(DataSource):
-    """Options: `path`; `rows`, the most lines of a micro-batch; `settle`, seconds that a file rests before it is read."""
+    """Options: `path`; `rows`, the most lines of a micro-batch; `settle`, seconds that a file rests before it is read;
+    `lanes` and `lane`, to read one block of `rows` lines in so many."""
 
     @classmethod
     def name(cls) -> str:
@@ -36,23 +37,30 @@ class TextRows(DataSource):
         return "value binary, time bigint, name string, row bigint"
 
     def streamReader(self, schema) -> TextRowReader:
-        return TextRowReader(self.options["path"], int(self.options.get("rows", BATCH_MESSAGES)), float(self.options.get("settle", 0)))
+        rows, settle = int(self.options.get("rows", BATCH_MESSAGES)), float(self.options.get("settle", 0))
+        return TextRowReader(self.options["path"], rows, settle, int(self.options.get("lanes", 1)), int(self.options.get("lane", 0)))
 
 
 class TextRowReader(DataSourceStreamReader):
     """Lines in the order of the files' times (microseconds) and names.
 
-    An offset is the place after the last line: file, byte and row. The planner lists the folder and reads only
-    the lines of the next batch to find their end; the tasks read the bytes between two places again. A last
-    line without a line end waits for it, so a file may grow; a file whose time changes while it is read would count as
+    An offset is the place after the last line: file, byte, row, and the lines before it in all files. The planner lists
+    the folder and reads only the lines of the next batch to find their end; the tasks read the bytes between two places
+    again. A last line without a line end waits for it, so a file may grow; a file whose time changes while it is read would count as
     new, and one that comes with a time before the place is not seen: files are moved in whole, and `settle` gives
     those that come at about the same time the time to be listed in order.
+
+    The lines of all files are blocks of `rows` lines, and a reader takes the blocks of its lane (block number modulo
+    `lanes`), so that several streams share the lines and none is read twice. A micro-batch never spans two blocks then;
+    the planner also reads the lines of the other lanes, to count them. A checkpoint keeps its lanes.
     """
 
-    def __init__(self, path: str, rows: int, settle: float):
+    def __init__(self, path: str, rows: int, settle: float, lanes: int = 1, lane: int = 0):
         if rows < 1:
             raise ValueError("a micro-batch needs one row at least")
-        self.path, self.rows, self.settle = path, rows, settle
+        if not 0 <= lane < lanes:
+            raise ValueError("lanes are numbered from 0")
+        self.path, self.rows, self.settle, self.lanes, self.lane = path, rows, settle, lanes, lane
         self.at: dict | None = None
 
     def initialOffset(self) -> dict:
@@ -81,7 +89,8 @@ class TextRowReader(DataSourceStreamReader):
     def _walk(self, start: dict, end: dict | None = None) -> tuple[list[Piece], dict]:
         """The pieces from `start` on, up to `end` or as many rows as a batch has, and the place behind them."""
         store, files = self._files(start)
-        pieces, at, left = [], start, self.rows
+        pieces, at, (skip, left) = [], start, self._due(start.get("n", 0))
+        n_at = start.get("n", 0) + skip
         if end is None and self.settle:
             import time
 
@@ -89,22 +98,35 @@ class TextRowReader(DataSourceStreamReader):
         for stamp, name, size in files:
             here = (stamp, name) == (start["time"], start["name"])
             byte, row = (start["byte"], start["row"]) if here else (0, 0)
+            if end is not None and (stamp, name) > (end["time"], end["name"]):
+                break
+            if skip:
+                byte, n = _lines(store, name, byte, size, skip)
+                row, skip = row + n, skip - n
+                if skip:
+                    continue
             if end is None:
                 upto, n = _lines(store, name, byte, size, left)
             elif (stamp, name) < (end["time"], end["name"]):
                 upto, n = _lines(store, name, byte, size, self.rows)
-            elif (stamp, name) == (end["time"], end["name"]):
-                upto, n = end["byte"], end["row"] - row
             else:
-                break
+                upto, n = end["byte"], end["row"] - row
             if n:
                 pieces.append(Piece(stamp, name, byte, upto, row))
-                at = {"time": stamp, "name": name, "byte": upto, "row": row + n}
-                left -= n
+                n_at, left = n_at + n, left - n
+                at = {"time": stamp, "name": name, "byte": upto, "row": row + n, "n": n_at}
             if end is None and not left:
                 break
         return pieces, at
 
+    def _due(self, n: int) -> tuple[int, int]:
+        """How many lines of other lanes follow the first n lines, and how many of this lane then."""
+        if self.lanes == 1:
+            return 0, self.rows
+        block, inside = divmod(n, self.rows)
+        blocks = (self.lane - block) % self.lanes
+        return (blocks * self.rows - inside, self.rows) if blocks else (0, self.rows - inside)
+
     def read(self, partition: Piece) -> Iterator[pa.RecordBatch]:
         store = fs.FileSystem.from_uri(self.path)[0] if "://" in self.path or self.path.startswith("file:") else fs.LocalFileSystem()
         with store.open_input_file(partition.name) as f:
@@ -139,15 +161,18 @@ def _lines(store: fs.FileSystem, name: str, start: int, size: int, most: int) ->
     return end, n
 
 
-def row_events(spark: SparkSession, folder: str, rows: int = BATCH_MESSAGES, settle: float = 0) -> DataFrame:
+def row_events(
+    spark: SparkSession, folder: str, rows: int = BATCH_MESSAGES, settle: float = 0, lanes: int = 1, lane: int = 0
+) -> DataFrame:
     """`value` and `arrival` of the lines of text files in a folder, at most so many in a micro-batch.
 
     Lines come in the order of their files' time and name, and of the lines in them; the place in the query's
-    checkpoint is a line, so a restart goes on with the next one.
+    checkpoint is a line, so a restart goes on with the next one. A micro-batch has a fixed cost whatever its rows; where
+    that is too slow, `lanes` streams, each with its `lane` and checkpoint, take the blocks of `rows` lines in turn.
     """
     with_package(spark)
     spark.dataSource.register(TextRows)
-    raw = spark.readStream.format(FORMAT).option("rows", rows).option("settle", settle).load(folder)
+    raw = spark.readStream.format(FORMAT).option("rows", rows).option("settle", settle).option("lanes", lanes).option("lane", lane).load(folder)
     arrival = F.struct(
         F.timestamp_micros("time").alias("at"), F.col("name").alias("part"), F.lit(0).cast("bigint").alias("block"), F.col("row").alias("row")
     )

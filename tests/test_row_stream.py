@@ -71,3 +71,29 @@ def test_places_are_stable(inbox):
     assert [(os.path.basename(p.name), p.start, p.row) for p in again.partitions(end, last)] == [("1.txt", 2, 1), ("2.txt", 0, 0)]
     with pytest.raises(ValueError):
         TextRowReader(str(folder), 0, 0)
+
+
+def test_lanes_share_the_lines(inbox):
+    folder, put = inbox
+    put("a.txt", b"".join(b"%d\n" % i for i in range(5)), 2_000_000)
+    put("b.txt", b"".join(b"%d\n" % i for i in range(5, 20)), 2_000_001)
+
+    def drain(reader, at):
+        got = []
+        while (end := reader.latestOffset()) != at:
+            pieces = reader.partitions(at, end)
+            again = TextRowReader(str(folder), 3, 0, reader.lanes, reader.lane).partitions(at, end)
+            assert [vars(p) for p in again] == [vars(p) for p in pieces]
+            got.append([int(x) for p in pieces for b in reader.read(p) for x in b.column(0).to_pylist()])
+            at = end
+        return got, at
+
+    readers = [TextRowReader(str(folder), 3, 0, 4, lane) for lane in range(4)]
+    ends = [drain(r, r.initialOffset()) for r in readers]
+    # the blocks in turn, one of them from two files, and the last one not full yet
+    assert [got for got, _ in ends] == [[[0, 1, 2], [12, 13, 14]], [[3, 4, 5], [15, 16, 17]], [[6, 7, 8], [18, 19]], [[9, 10, 11]]]
+    # lines that come later go to the block that was not full, and then on
+    put("c.txt", b"".join(b"%d\n" % i for i in range(20, 24)), 2_000_002)
+    assert [drain(r, at)[0] for r, (_, at) in zip(readers, ends)] == [[], [], [[20]], [[21, 22, 23]]]
+    with pytest.raises(ValueError):
+        TextRowReader(str(folder), 3, 0, 4, 4)
