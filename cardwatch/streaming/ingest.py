@@ -214,7 +214,8 @@ def ingest_batch(
     before = house.commits.before(spark, batch_id)
     began = time.monotonic()
     run = {"run_id": f"stream-{batch_id}", "source": "stream", "mode": "stream"}
-    judged = judge_events(numbered(raw)).persist()
+    # the text of a valid message is not needed any more
+    judged = judge_events(numbered(raw)).withColumn("raw", F.when(F.col("reason").isNotNull(), F.col("raw"))).persist()
     valid = valid_events(judged).withColumn("ingested_at", F.current_timestamp())
     once = stage_insert(valid, None, ("arrival", "event_ts", "amount", "channel")).persist()
     try:

@@ -56,17 +56,19 @@ def judge_events(raw: DataFrame, fields: Sequence[Field] = EVENT_FIELDS) -> Data
     valid_text = F.when(F.is_valid_utf8(text), text)
     arrival = F.col("arrival") if "arrival" in raw.columns else F.lit(None)
     parsed = raw.select(F.col("value"), arrival.cast(ARRIVAL).alias("arrival"), F.try_parse_json(valid_text).alias("_v"))
-    typed, checks, value_checks = {}, [], []
+    # One pass over a message for the JSON types of all fields, and one for their values; no object gives NULL.
+    shape = lambda kinds: "struct<" + ", ".join(f"`{f.wire}`: {kinds(f)}" for f in fields) + ">"
+    items = F.try_variant_get("_v", "$", shape(lambda f: "variant")).alias("_items")
+    values = F.try_variant_get("_v", "$", shape(lambda f: "string" if f.cast == "timestamp" else f.cast)).alias("_values")
+    parsed = parsed.select("*", items, values)
+    typed, kinds, checks, value_checks = {}, {}, [], []
     for f in fields:
-        item = F.variant_get("_v", f"$.{f.wire}", "variant")
-        json_type = F.schema_of_variant(item)
-        checks.append((item.isNull(), f"{MISSING}: {f.wire}"))
+        kinds[f"_kind_{f.column}"] = F.schema_of_variant(F.col("_items")[f.wire])
+        json_type = F.col(f"_kind_{f.column}")
+        checks.append((json_type.isNull(), f"{MISSING}: {f.wire}"))
         checks.append((~_has_kind(json_type, f.kind), f"{BAD_TYPE}: {f.wire}"))
-        if f.cast == "timestamp":
-            value = iso_timestamp(F.try_variant_get("_v", f"$.{f.wire}", "string"))
-        else:
-            value = F.try_variant_get("_v", f"$.{f.wire}", f.cast)
-        typed[f.column] = value
+        value = F.col("_values")[f.wire]
+        typed[f.column] = iso_timestamp(value) if f.cast == "timestamp" else value
         bad = F.col(f.column).isNull()
         if f.max_length:
             bad = bad | (F.length(f.column) > f.max_length)
@@ -74,7 +76,7 @@ def judge_events(raw: DataFrame, fields: Sequence[Field] = EVENT_FIELDS) -> Data
     reason = F.when(F.col("_v").isNull(), F.lit(BAD_JSON))
     for failed, name in [*checks, *value_checks]:
         reason = reason.when(failed, F.lit(name))
-    judged = parsed.withColumns(typed).withColumn("reason", reason)
+    judged = parsed.withColumns({**typed, **kinds}).withColumn("reason", reason)
     # Filters on the reason must not move below this point: they would parse the text once per use.
     whole = F.struct(F.col("value").alias("raw"), "reason", "arrival", *typed)
     return judged.select(F.explode(F.array(whole)).alias("_judged")).select("_judged.*")

@@ -423,3 +423,8 @@ def test_commits_are_folded(spark):
     assert commits.before(spark, 72) == 69 and commits.before(spark, 73) == 72 and commits.before(spark, 0) is None
     ids = [r[0] for r in spark.range(80).where(commits.listed(spark, "id", before=73)).collect()]
     assert ids == [*range(70), 72]
+
+
+def test_a_message_is_searched_twice_only(spark):
+    plan = validate.judge_events(raw_batch(spark, ["{}"]))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("variant_get(") == 2
