@@ -16,6 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cardwatch.session import shared_dir
 from cardwatch.sources.tables import names, remove, touch
 
 #: Batches, or merged ranges of batches, that are folded into one.
@@ -110,7 +111,10 @@ class KeyIndex:
         stored = spark.read.schema("transaction_bk string, h bigint, bucket bigint").parquet(self._path("keys", segment))
         bits = stored.select("bucket", F.explode(F.array(*[place(F.col("h"), k) for k in range(HASHES)])).alias("place"))
         bitmaps = bits.groupBy("bucket").agg(F.bitmap_construct_agg("place").alias("bits"))
-        bitmaps.coalesce(files).write.mode("overwrite").parquet(self._path("filters", segment))
+        # as words, for a lookup reads one of them in place where it would copy a whole binary value for each key
+        word = lambda i: F.conv(F.hex(F.substring("bits", i * 8 + 1, F.lit(8))), 16, -10).cast("bigint")
+        words = bitmaps.select("bucket", F.transform(F.sequence(F.lit(0), F.lit(BITMAP_BITS // 64 - 1)), word).alias("words"))
+        words.coalesce(files).write.mode("overwrite").parquet(self._path("filter-words", segment))
         touch(spark, f"{self.root}/published/{'-'.join(map(str, segment))}")
 
     def add(self, keys: DataFrame, batch_id: int, rows: int) -> None:
@@ -137,11 +141,11 @@ class KeyIndex:
         segments = self.live(spark, before)
         if not segments:
             return None
-        filters = self._read(spark, "filters", segments, "bucket bigint, bits binary")
+        filters = self._read(spark, "filter-words", segments, "bucket bigint, words array<bigint>")
         asked = F.explode(F.array(*[F.struct(F.lit("-".join(map(str, s))).alias("segment"), F.lit(s[2]).alias("n")) for s in segments])).alias("s")
         rows = keys.select("transaction_bk", F.xxhash64("transaction_bk").alias("h"), asked)
         rows = rows.select("transaction_bk", "h", "s.segment", F.pmod("h", "s.n").alias("bucket"))
-        hit = reduce(lambda a, b: a & b, [is_set(F.col("bits"), place(F.col("h"), k)) for k in range(HASHES)])
+        hit = reduce(lambda a, b: a & b, [is_set(F.col("words"), place(F.col("h"), k)) for k in range(HASHES)])
         return rows.join(filters, ["segment", "bucket"]).where(hit).select("transaction_bk", "segment", "bucket")
 
     def known(self, keys: DataFrame, before: int) -> DataFrame | None:
@@ -150,6 +154,9 @@ class KeyIndex:
         found = self.suspects(keys, before)
         if found is None:
             return None
+        # stored, as it is read twice: for the names of the segments, and for the keys
+        shared_dir(spark)
+        found = found.checkpoint()
         opened = [r["segment"] for r in found.select("segment").distinct().collect()]  # a few names
         if not opened:
             return None
@@ -163,9 +170,10 @@ def place(h: Column, k: int) -> Column:
     return F.pmod(F.shiftright(h, 15 * k // 2 + 3).bitwiseXOR(F.xxhash64(h, F.lit(k))), F.lit(BITMAP_BITS))
 
 
-def is_set(bits: Column, at: Column) -> Column:
-    byte = F.conv(F.hex(F.substring(bits, (F.shiftright(at, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    return byte.bitwiseAND(F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), (at.bitwiseAND(F.lit(7)) + 1).cast("int"))) > 0
+def is_set(words: Column, at: Column) -> Column:
+    """A bit of a bitmap that is stored as words; the first of its eight bytes is the highest of a word."""
+    inside = F.lit(56) - at.bitwiseAND(F.lit(56)) + at.bitwiseAND(F.lit(7))
+    return F.getbit(F.get(words, F.shiftright(at, 6).cast("int")), inside.cast("int")) == 1
 
 
 @dataclass(frozen=True)

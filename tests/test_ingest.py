@@ -428,3 +428,12 @@ def test_commits_are_folded(spark):
 def test_a_message_is_searched_twice_only(spark):
     plan = validate.judge_events(raw_batch(spark, ["{}"]))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("variant_get(") == 2
+
+
+def test_lookup_reads_the_filters_once(spark):
+    index = store.KeyIndex(run_dir(spark, "t"))
+    index.add(spark.range(9_000).selectExpr("concat('k', id) AS transaction_bk"), 0, 9_000)
+    asked = spark.range(0, 18_000, 3).selectExpr("concat('k', id) AS transaction_bk")
+    found = index.known(asked, 1)
+    assert found.inputFiles() and all("/keys/" in f for f in found.inputFiles())
+    assert found.distinct().count() == found.count() == 3_000
