@@ -11,9 +11,11 @@ a document whose bound is below it, or equal to it with a greater id, is provabl
 are scored exactly too, and the best are taken. Bounds decide only what is left out, so the result is exact.
 
 Blocks of items and blocks of documents meet on a grid, as a stated query set against all rows: item blocks travel
-to all columns, signatures to one row as a rule. Weights come from counts over all documents; a bit filter of
-fixed size over the items' terms keeps other terms out of that count's shuffle. Texts are read once for the
-signatures and once for each round of exact scores, where they are joined with the wanted pairs only.
+to all columns, signatures to one row as a rule. A cell gets the blocks of both sides once, not a copy of the
+signatures for each block of items, and gives the best of each item over all its blocks. Weights come from counts
+over all documents; a bit filter of fixed size over the items' terms keeps other terms out of that count's shuffle.
+Texts are read once for the signatures and once for each round of exact scores, where they are joined with the
+wanted pairs only.
 Terms are counted by a 64-bit hash; exact scores compare the terms themselves.
 
 Defined results: a null or empty text, or one without a term, has no score, and is not counted in N. An item without a
@@ -51,10 +53,12 @@ HASHES = (10, 4, 4, 4, 4, 4, 4)
 SPARSE = 2.4
 #: Cells (bits times documents) of a block, and keys that a task holds back, at most about.
 BLOCK_CELLS, HELD_KEYS = 1 << 24, 1 << 22
+#: Bytes of text whose terms a task hashes at once: the hashes take some fifty times as much.
+TERM_BYTES = 1 << 18
 #: Documents of a block at most: a task holds their marks for each term of an item block, and short texts have few bits.
 BLOCK_DOCS = 4096
-#: Bytes of signatures in one column of the grid, about.
-COLUMN_BYTES = 1 << 25
+#: Bytes of signatures in one column of the grid, about: a task holds a cell of it, and Spark may deal it a few.
+COLUMN_BYTES = 1 << 23
 TERM_FILTER_BITS = 22
 _LAST_ID = np.iinfo(np.int64).max
 _BREAKS = np.ones(256, bool)
@@ -141,7 +145,7 @@ def index(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
         build = _Builder(TaskContext.get().partitionId() << 40)
         mask = np.uint64((1 << TERM_FILTER_BITS) - 1)
         for batch in batches:
-            for piece in slices(batch):
+            for piece in slices(batch, most=TERM_BYTES):
                 owner, h, tf = _term_runs(*text_bytes(piece.column("text")))
                 slot = (h & mask).astype(np.int64)
                 terms, df = np.unique(h[(sent.value[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1], return_counts=True)
@@ -239,31 +243,49 @@ def _pack_items(table: pa.Table) -> pa.Table:
     return pa.table([pa.array([int(rows.column("item_block")[0].as_py())], pa.int32()), *cells], ["item_block", *names])
 
 
-def _wanted_pairs(tiles: DataFrame, k: int | None, n_docs: int, n_terms: int) -> DataFrame:
-    """item, doc_id, h and bound: the k of greatest bound of each tile, or with k None all that a threshold lets through."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for pair in batch.to_pylist():
-                block, items = pair["d"], pair["q"]
-                ids, hashes = np.frombuffer(block["ids"], np.int64), np.frombuffer(block["hashes"], np.int64)
-                keys, least, ties = (np.frombuffer(items[c], np.int64) for c in ("items", "thresholds", "ties"))
-                item, doc, bound = [], [], []
-                for i, total in upper_bounds(block, items, n_docs, n_terms):
-                    if k is None:
-                        at = np.flatnonzero((total > least[i]) | ((total == least[i]) & (ids <= ties[i])))
-                    else:
-                        at = np.argpartition(-total, k - 1)[:k] if k < len(total) else np.arange(len(total))
-                        at = at[total[at] > 0]
-                    item.append(np.full(len(at), keys[i]))
-                    doc.append(at)
-                    bound.append(total[at])
-                item, doc, bound = (np.concatenate(x) for x in (item, doc, bound))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(item), pa.array(ids[doc], mask=ids[doc] == _LAST_ID), pa.array(hashes[doc]), pa.array(bound)], ["item", "doc_id", "h", "bound"]
-                )
-
-    return tiles.mapInArrow(run, "item bigint, doc_id bigint, h bigint, bound bigint")
+def _lines(table: pa.Table) -> Iterator[dict]:
+    """The rows of a table, binary cells as buffers of the table itself."""
+    for batch in table.to_batches():
+        binary = [pa.types.is_binary(f.type) or pa.types.is_large_binary(f.type) for f in batch.schema]
+        for i in range(batch.num_rows):
+            yield {f.name: c[i].as_buffer() if b else c[i].as_py() for f, c, b in zip(batch.schema, batch.columns, binary, strict=True)}
+
+
+def cell_pairs(items: pa.Table, blocks: pa.Table, k: int | None, n_docs: int, n_terms: int) -> pa.Table:
+    """The wanted pairs of a cell: the k of greatest bound of each item, or with k None all that a threshold lets through."""
+    asked = [(q, *(np.frombuffer(q[c], np.int64) for c in ("items", "thresholds", "ties"))) for q in _lines(items)]
+    found: dict[tuple[int, int], tuple[np.ndarray, ...]] = {}
+    for block in _lines(blocks):
+        ids, hashes = np.frombuffer(block["ids"], np.int64), np.frombuffer(block["hashes"], np.int64)
+        for n, (q, _, least, ties) in enumerate(asked):
+            for i, total in upper_bounds(block, q, n_docs, n_terms):
+                if k is None:
+                    at = np.flatnonzero((total > least[i]) | ((total == least[i]) & (ids <= ties[i])))
+                else:
+                    at = np.flatnonzero(total > 0)
+                if not len(at):
+                    continue
+                own = (ids[at], hashes[at], total[at])
+                if (n, i) in found:
+                    own = tuple(np.concatenate(x) for x in zip(found[n, i], own, strict=True))
+                if k is not None and len(own[2]) > k:
+                    most = np.argpartition(-own[2], k - 1)[:k]
+                    own = tuple(x[most] for x in own)
+                found[n, i] = own
+    none = np.zeros(0, np.int64)
+    item = np.concatenate([none, *(np.full(len(own[0]), asked[n][1][i]) for (n, i), own in found.items())])
+    doc, h, bound = (np.concatenate([none, *x]) for x in (zip(*found.values(), strict=True) if found else ([], [], [])))
+    return pa.table([pa.array(item), pa.array(doc, mask=doc == _LAST_ID), pa.array(h), pa.array(bound)], ["item", "doc_id", "h", "bound"])
+
+
+def _wanted_pairs(cells: tuple[DataFrame, DataFrame], k: int | None, n_docs: int, n_terms: int) -> DataFrame:
+    """item, doc_id, h and bound of the wanted pairs of all cells, each of which gets its blocks of both sides once."""
+
+    def work(items: pa.Table, blocks: pa.Table) -> pa.Table:
+        return cell_pairs(items, blocks, k, n_docs, n_terms)
+
+    q, d = (side.groupBy("row", "part") for side in cells)
+    return q.cogroup(d).applyInArrow(work, "item bigint, doc_id bigint, h bigint, bound bigint")
 
 
 def _exact(pairs: DataFrame, docs: DataFrame, items: DataFrame, n_docs: int, n_terms: int) -> DataFrame:
@@ -330,7 +352,7 @@ def search(docs: DataFrame, items: DataFrame, k: int = K, item_block: int = ITEM
     n_rows, n_columns = grid(n_items, total["docs"], spark.sparkContext.defaultParallelism, n_item_blocks, total["blocks"])
     n_columns = max(n_columns, min(total["blocks"], -(-total["bytes"] // COLUMN_BYTES)))
 
-    def tiles(of: DataFrame | None = None) -> DataFrame:
+    def cells(of: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
         numbered = weighted.withColumn("item_block", F.pmod("item", F.lit(n_item_blocks)).cast("int"))
         if of is None:
             numbered = numbered.withColumns({"threshold": F.lit(1).cast("bigint"), "tie": F.lit(_LAST_ID)})
@@ -338,21 +360,21 @@ def search(docs: DataFrame, items: DataFrame, k: int = K, item_block: int = ITEM
             numbered = numbered.join(of, "item", "left").withColumns({"threshold": F.coalesce("threshold", F.lit(1)).cast("bigint"), "tie": F.coalesce("tie", F.lit(_LAST_ID))})
         schema = "item_block int, items binary, thresholds binary, ties binary, ends binary, terms binary, weights binary"
         packed = numbered.select("item_block", "item", "term_hash", "weight", "threshold", "tie").groupBy("item_block").applyInArrow(_pack_items, schema)
-        q = packed.select(F.pmod("item_block", F.lit(n_rows)).alias("row"), F.explode(F.sequence(F.lit(0), F.lit(n_columns - 1))).alias("part"), F.struct("*").alias("q"))
-        whole = F.struct("n_docs", "bits", "ids", "hashes", "lengths", "most", "slices")
-        d = blocks.select(F.explode(F.sequence(F.lit(0), F.lit(n_rows - 1))).alias("row"), F.pmod(F.xxhash64("block"), F.lit(n_columns)).cast("int").alias("part"), whole.alias("d"))
-        cells = n_rows * n_columns
-        return q.repartition(cells, "row", "part").join(d.repartition(cells, "row", "part"), ["row", "part"]).select("q", "d")
+        q = packed.select("*", F.pmod("item_block", F.lit(n_rows)).alias("row"), F.explode(F.sequence(F.lit(0), F.lit(n_columns - 1))).alias("part"))
+        d = blocks.select(
+            F.explode(F.sequence(F.lit(0), F.lit(n_rows - 1))).alias("row"), F.pmod(F.xxhash64("block"), F.lit(n_columns)).cast("int").alias("part"), "n_docs", "bits", "ids", "hashes", "lengths", "most", "slices"
+        )
+        return tuple(side.repartition(n_rows * n_columns, "row", "part") for side in (q, d))
 
     def best(of: DataFrame, order: str, k: int = k) -> DataFrame:
         by = Window.partitionBy("item").orderBy(F.col(order).desc(), F.col("doc_id").asc_nulls_last(), "h")
         return of.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k)
 
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("k")
-    seeds = save(best(_wanted_pairs(tiles(), SEEDS * k, total["docs"], total["terms"]), "bound", SEEDS * k).select("item", name, "h").distinct(), "seeds")
+    seeds = save(best(_wanted_pairs(cells(), SEEDS * k, total["docs"], total["terms"]), "bound", SEEDS * k).select("item", name, "h").distinct(), "seeds")
     known = save(best(_exact(seeds, rows, by_item, total["docs"], total["terms"]).where("score > 0"), "score").drop("rank"), "seed-scores")
     last = best(known, "score").where(F.col("rank") == k).select("item", F.col("score").alias("threshold"), F.coalesce("doc_id", F.lit(_LAST_ID)).alias("tie"))
-    others = _wanted_pairs(tiles(save(last, "thresholds")), None, total["docs"], total["terms"]).select("item", name, "h").distinct()
+    others = _wanted_pairs(cells(save(last, "thresholds")), None, total["docs"], total["terms"]).select("item", name, "h").distinct()
     others = save(others.join(seeds, ["item", "k", "h"], "left_anti"), "others")
     found = known.union(_exact(others, rows, by_item, total["docs"], total["terms"]).where("score > 0"))
     return best(found, "score").join(by_item.select("item", "item_id"), "item").select("item_id", F.col("rank").cast("int").alias("rank"), "doc_id", "score")

@@ -100,3 +100,34 @@ def test_blocks_of_short_texts_are_bounded():
         blocks += build.add((i, i, 1, 1), [one, *[one[:0]] * (len(br.LEVELS) - 1)])
     sizes = [row[3] for row in [*blocks, *build.rest()]]
     assert sizes == [br.BLOCK_DOCS, br.BLOCK_DOCS, br.BLOCK_DOCS - 5]
+
+
+def test_cell_gets_each_block_once(frame, spark):
+    """A cell of several blocks of both sides gives the best of each item over all its blocks, k and not k of each block."""
+    rng = np.random.default_rng(5)
+    docs = frame([(i, " ".join(f"w{x}" for x in rng.zipf(1.3, 20 + i) % 200)) for i in range(240)]).select("doc_id", F.xxhash64("text").alias("h"), "text")
+    blocks = br.index(docs.repartition(3), np.zeros(1 << (br.TERM_FILTER_BITS - 3), np.uint8)).where("block IS NOT NULL").select("n_docs", "bits", "ids", "hashes", "lengths", "most", "slices").toArrow()
+    data = np.frombuffer(b"".join(b"w%d" % i for i in range(200)), np.uint8)
+    ends = np.cumsum([len(f"w{i}") for i in range(200)])
+    terms = br.textnum.RangeHash(data)(np.append(0, ends[:-1]), ends).view(np.int64)
+    asked = []
+    for block in range(3):
+        columns = {"item": np.repeat(np.arange(20) + 20 * block, 10), "term_hash": rng.choice(terms, 200), "weight": rng.integers(1, 9000, 200)}
+        columns |= {"threshold": np.full(200, 5_000_000), "tie": np.full(200, 120), "item_block": np.full(200, block)}
+        asked.append(br._pack_items(br.pa.table(columns)))
+    items = br.pa.concat_tables(asked)
+    want = defaultdict(list)
+    for q in items.to_pylist():
+        for block in blocks.to_pylist():
+            for i, total in br.upper_bounds(block, q, 240, 30_000):
+                want[int(np.frombuffer(q["items"], np.int64)[i])] += zip(total.tolist(), np.frombuffer(block["ids"], np.int64).tolist(), strict=True)
+    assert blocks.num_rows > 6 and len(want) == 60
+
+    best = defaultdict(list)
+    for row in br.cell_pairs(items, blocks, 7, 240, 30_000).to_pylist():
+        best[row["item"]].append(row["bound"])
+    assert {i: sorted(b) for i, b in best.items()} == {i: sorted(sorted(b for b, _ in w if b)[-7:]) for i, w in want.items()}
+    through = {(r["item"], r["bound"], r["doc_id"]) for r in br.cell_pairs(items, blocks, None, 240, 30_000).to_pylist()}
+    assert through == {(i, b, d) for i, w in want.items() for b, d in w if b > 5_000_000 or b == 5_000_000 and d <= 120}
+    assert 0 < len(through) < 60 * 240
+    assert br.cell_pairs(items.slice(0, 0), blocks, 7, 240, 30_000).num_rows == br.cell_pairs(items, blocks.slice(0, 0), None, 240, 30_000).num_rows == 0
