@@ -59,6 +59,8 @@ TERM_BYTES = 1 << 18
 BLOCK_DOCS = 4096
 #: Bytes of signatures in one column of the grid, about: a task holds a cell of it, and Spark may deal it a few.
 COLUMN_BYTES = 1 << 23
+#: The stored signatures are read by groups of rows, each into memory as a whole. Blocks are large, so each row is weighed.
+ROW_GROUPS = {"parquet.block.size": 1 << 22, "parquet.page.size.row.check.min": 1, "parquet.page.size.row.check.max": 1}
 TERM_FILTER_BITS = 22
 _LAST_ID = np.iinfo(np.int64).max
 _BREAKS = np.ones(256, bool)
@@ -145,16 +147,11 @@ def index(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
         build = _Builder(TaskContext.get().partitionId() << 40)
         mask = np.uint64((1 << TERM_FILTER_BITS) - 1)
         for batch in batches:
+            wanted_terms = []
             for piece in slices(batch, most=TERM_BYTES):
                 owner, h, tf = _term_runs(*text_bytes(piece.column("text")))
                 slot = (h & mask).astype(np.int64)
-                terms, df = np.unique(h[(sent.value[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1], return_counts=True)
-                if len(terms):
-                    rest = pa.nulls(len(terms))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(terms.view(np.int64)), pa.array(df), *[rest.cast(k) for k in (pa.int64(), pa.int32(), pa.int64(), pa.int32())], *[rest.cast(pa.binary())] * 5],
-                        [f.split()[0] for f in _INDEX.split(", ")],
-                    )
+                wanted_terms.append(h[(sent.value[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1])
                 ids = piece.column("doc_id").fill_null(_LAST_ID).to_numpy().tolist()
                 hashes = piece.column("h").to_numpy().tolist()
                 upto = np.searchsorted(owner, np.arange(piece.num_rows + 1))
@@ -166,11 +163,18 @@ def index(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
                     keys = [_level_keys(own[times >= least], level) for level, least in enumerate(LEVELS)]
                     for row in build.add((ids[d], hashes[d], int(times.sum()), int(times.max())), keys):
                         yield _index_batch([row])
+            terms, df = np.unique(np.concatenate(wanted_terms), return_counts=True) if wanted_terms else ((), ())
+            if len(terms):
+                rest = pa.nulls(len(terms))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(terms.view(np.int64)), pa.array(df), *[rest.cast(k) for k in (pa.int64(), pa.int32(), pa.int64(), pa.int32())], *[rest.cast(pa.binary())] * 5],
+                    [f.split()[0] for f in _INDEX.split(", ")],
+                )
         for row in build.rest():
             yield _index_batch([row])
 
     with_package(docs.sparkSession)
-    return save(docs.select("doc_id", "h", "text").mapInArrow(run, _INDEX), "signatures")
+    return save(docs.select("doc_id", "h", "text").mapInArrow(run, _INDEX), "signatures", **ROW_GROUPS)
 
 
 def gain(tf: np.ndarray, m: np.ndarray) -> np.ndarray:

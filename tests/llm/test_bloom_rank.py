@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -131,3 +132,19 @@ def test_cell_gets_each_block_once(frame, spark):
     assert through == {(i, b, d) for i, w in want.items() for b, d in w if b > 5_000_000 or b == 5_000_000 and d <= 120}
     assert 0 < len(through) < 60 * 240
     assert br.cell_pairs(items.slice(0, 0), blocks, 7, 240, 30_000).num_rows == br.cell_pairs(items, blocks.slice(0, 0), None, 240, 30_000).num_rows == 0
+
+
+def test_signatures_are_stored_in_small_groups_of_rows(spark):
+    """Readers hold a group of rows as a whole, so its bytes are bounded, and a term is counted once for a batch of texts."""
+    text = "concat_ws(' ', transform(sequence(1, {}), x -> cast(x * 1501 + {} as string)))"
+    docs = spark.range(0, 1500, 1, 1).selectExpr("id AS doc_id", "id AS h", text.format(3000, "id") + " AS text")
+    stored = br.index(docs, np.zeros(1 << (br.TERM_FILTER_BITS - 3), np.uint8))
+    groups = []
+    for name in stored.inputFiles():
+        meta = pq.read_metadata(name.removeprefix("file:").replace("///", "/"))
+        groups += [meta.row_group(i).total_byte_size for i in range(meta.num_row_groups)]
+    assert sum(groups) > 10_000_000 and max(groups) < 8_000_000
+
+    alike = spark.range(0, 150, 1, 1).selectExpr("id AS doc_id", "id AS h", text.format(600, "0") + " AS text")
+    rows = br.index(alike, np.full(1 << (br.TERM_FILTER_BITS - 3), 255, np.uint8)).where("h IS NOT NULL").collect()
+    assert len(rows) == 600 and {r["df"] for r in rows} == {150}
