@@ -1,13 +1,14 @@
-"""Fitting and applying the models, all on Spark ML."""
+"""Fitting and applying the models, which are Spark ML's."""
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from typing import NamedTuple
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from cardwatch.functions.scalar import one_hot, standardised
 from cardwatch.functions.spread import exact_quantiles
+from cardwatch.operators.boosting import as_model, boost
 from cardwatch.operators.prepare import Prep, with_weight
 
 
@@ -30,24 +32,29 @@ class Counts(NamedTuple):
         return (self.n - self.frauds) / self.frauds
 
 
+@contextmanager
+def _labelled(train: DataFrame, inputs: Sequence[str], extra: Sequence[str] = ()) -> Iterator[tuple[DataFrame, Counts]]:
+    """The labelled rows with their inputs, computed once and kept for all passes of a fit, and their numbers."""
+    label = F.col("is_fraud").cast("double").alias("label")
+    stored = train.where(F.col("is_fraud").isNotNull()).select(*inputs, *extra, "is_fraud", label).persist()
+    try:
+        counts = Counts(*stored.agg(F.count("*"), F.count_if("is_fraud")).first())
+        yield _dealt(stored), counts
+    finally:
+        stored.unpersist()
+
+
 def _fit(
     train: DataFrame,
     inputs: Sequence[str],
     classifier: Callable[[Counts], Estimator],
     fraud_weight: Callable[[Counts], float] | None = None,
-    extra: Sequence[str] = (),
 ) -> PipelineModel:
-    """Assemble the inputs of the labelled rows and fit; the rows are computed once and kept for all passes."""
-    label = F.col("is_fraud").cast("double").alias("label")
-    stored = train.where(F.col("is_fraud").isNotNull()).select(*inputs, *extra, "is_fraud", label).persist()
-    try:
-        counts = Counts(*stored.agg(F.count("*"), F.count_if("is_fraud")).first())
-        rows = _dealt(stored)
+    """Assemble the inputs of the labelled rows and fit."""
+    with _labelled(train, inputs) as (rows, counts):
         weighted = rows if fraud_weight is None else with_weight(rows, fraud_weight(counts))
         vector = VectorAssembler(inputCols=list(inputs), outputCol="features")
         return Pipeline(stages=[vector, classifier(counts)]).fit(weighted)
-    finally:
-        stored.unpersist()
 
 
 def _dealt(rows: DataFrame) -> DataFrame:
@@ -81,11 +88,15 @@ def fit_boosted(
     validation: str | None = None,
 ) -> PipelineModel:
     """Gradient-boosted trees; a fraud weighs as much as the legitimate rows per fraud."""
-    model = GBTClassifier(maxIter=trees, stepSize=step, maxDepth=depth, weightCol="weight", seed=seed)
-    if validation:
-        model = model.setValidationIndicatorCol(validation)
     extra = [validation] if validation else []
-    return _fit(train, inputs, lambda counts: model, lambda counts: counts.ratio, extra)
+    with _labelled(train, inputs, extra) as (stored, counts):
+        weights, spark = (1.0, float(counts.ratio)), train.sparkSession
+        tops, layout = boost(stored.drop("label"), inputs, weights, trees, step, depth, validation)
+        params = {"maxIter": trees, "stepSize": step, "maxDepth": depth, "weightCol": "weight", "seed": seed}
+        if validation:
+            params["validationIndicatorCol"] = validation
+        model = as_model(spark, tops, layout, weights, step, params)
+    return PipelineModel([VectorAssembler(inputCols=list(inputs), outputCol="features"), model])
 
 
 def apply_model(df: DataFrame, model: PipelineModel) -> DataFrame:
