@@ -6,13 +6,13 @@ from collections.abc import Iterator, Sequence
 from math import factorial
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardwatch.operators.score import linear_contributions, top_of
-from cardwatch.session import run_dir
+from cardwatch.session import run_dir, with_package
 
 
 def _tree_nodes(model: PipelineModel, spark) -> dict[int, dict[int, dict]]:
@@ -64,20 +64,36 @@ def _leaf_table(value: float, shares: Sequence[float]) -> np.ndarray:
 
 
 def ensemble_tables(model: PipelineModel, spark) -> tuple[float, list[tuple]]:
-    """Mean log-odds over the training rows, and one lookup table per leaf.
+    """Mean log-odds over the training rows, and one lookup table per distinct box of the leaves.
 
-    The boosted margin is doubled, which is the log-odds of the fraud class.
+    Leaves of several trees with the same conditions have the same patterns, so their tables are added. The
+    boosted margin is doubled, which is the log-odds of the fraud class.
     """
-    base, leaves = 0.0, []
+    base, boxes = 0.0, {}
     trees = _tree_nodes(model, spark)
     for tree_id, weight in enumerate(model.stages[-1].treeWeights):
         for value, path in _leaves(trees[tree_id], 2.0 * weight):
-            features = list(path)
+            features = sorted(path)
             shares = [path[f][2] for f in features]
             base += value * float(np.prod(shares))
-            lows, highs = [path[f][0] for f in features], [path[f][1] for f in features]
-            leaves.append((features, lows, highs, _leaf_table(value, shares)))
-    return base, leaves
+            box, table = tuple((f, *path[f][:2]) for f in features), _leaf_table(value, shares)
+            boxes[box] = boxes[box] + table if box in boxes else table
+    return base, [([f for f, _, _ in box], *zip(*[side[1:] for side in box]), table) for box, table in boxes.items() if box]
+
+
+def _explained(x: np.ndarray, leaves: Sequence[tuple]) -> np.ndarray:
+    """Contributions by (input, row) for inputs given in the same form; each condition on an input is judged once."""
+    total, held = np.zeros(x.shape), {}
+    for features, lows, highs, table in leaves:
+        pattern = np.zeros(x.shape[1], np.min_scalar_type(len(table) - 1))
+        for bit, side in enumerate(zip(features, lows, highs)):
+            if side not in held:
+                f, low, high = side
+                held[side] = ((x[f] > low) & (x[f] <= high)).view(np.uint8)
+            pattern |= held[side].astype(pattern.dtype, copy=False) << np.uint8(bit)
+        for f, column in zip(features, table.T):
+            total[f] += column.take(pattern)
+    return total
 
 
 def tree_contributions(df: DataFrame, model: PipelineModel, keep: Sequence[str] = ("transaction_bk",)) -> DataFrame:
@@ -87,25 +103,24 @@ def tree_contributions(df: DataFrame, model: PipelineModel, keep: Sequence[str]
     whose size depends on the model alone.
     """
     spark = df.sparkSession
+    with_package(spark)
     inputs = model.stages[0].getInputCols()
     tables = spark.sparkContext.broadcast(ensemble_tables(model, spark))
     kept = list(keep)
 
-    def explain_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def explain_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, leaves = tables.value
-        for pdf in batches:
-            x = pdf[list(inputs)].to_numpy(dtype="float64")
-            total = np.zeros_like(x)
-            for features, lows, highs, table in leaves:
-                pattern = np.zeros(len(x), dtype=np.int64)
-                for bit, (f, low, high) in enumerate(zip(features, lows, highs)):
-                    pattern |= ((x[:, f] > low) & (x[:, f] <= high)).astype(np.int64) << bit
-                total[:, features] += table[pattern]
-            yield pdf[kept].assign(base=base, contributions=list(total))
+        for batch in batches:
+            n = batch.num_rows
+            x = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype("float64") for c in inputs])
+            flat = np.ascontiguousarray(_explained(x, leaves).T).ravel()
+            each = pa.ListArray.from_arrays(np.arange(0, len(flat) + 1, len(x), dtype=np.int32), flat)
+            columns = [*map(batch.column, kept), pa.array(np.full(n, base)), each]
+            yield pa.RecordBatch.from_arrays(columns, [*kept, "base", "contributions"])
 
     fields = [f for f in df.select(*kept).schema.fields]
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    return df.select(*kept, *[c for c in inputs if c not in kept]).mapInPandas(
+    return df.select(*kept, *[c for c in inputs if c not in kept]).mapInArrow(
         explain_batches, f"{ddl}, base double, contributions array<double>"
     )
 

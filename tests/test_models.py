@@ -289,3 +289,15 @@ def test_a_fit_reads_as_many_partitions_as_there_are_cores(spark):
         seen = Seen()
         learn._fit(rows, ["x"], lambda counts: seen)
         assert (seen.partitions, seen.rows) == (cores, 400)
+
+
+def test_boxes_of_several_trees_are_looked_up_once(spark):
+    """One input of two values: however many trees there are, they have the same two leaves."""
+    rows = spark.range(300).select(
+        F.concat(F.lit("t"), "id").alias("transaction_bk"), (F.col("id") % 2).cast("double").alias("x_a"),
+        (F.col("id") % 6).cast("double").alias("x_b"), ((F.col("id") % 2 == 0) != (F.col("id") % 11 == 0)).alias("is_fraud"),
+    )
+    model = learn.fit_boosted(rows.withColumn("x_b", F.lit(1.0)), ["x_a", "x_b"], trees=9)
+    assert len(explain.ensemble_tables(model, spark)[1]) == 2
+    parts = explain.tree_contributions(rows, model, keep=("transaction_bk", "x_a")).select("x_a", "contributions").distinct().collect()
+    assert len(parts) == 2 and all(r["contributions"][1] == 0.0 for r in parts)
