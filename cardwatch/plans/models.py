@@ -13,6 +13,7 @@ from cardwatch.operators import learn, windows
 from cardwatch.operators.oversample import oversample
 from cardwatch.operators.prepare import Prep, apply_prep, fit_prep
 from cardwatch.plans import inputs
+from cardwatch.session import run_dir
 
 TREES = 300
 
@@ -25,8 +26,14 @@ class Split(NamedTuple):
 
 @lru_cache(maxsize=8)
 def split(spark: SparkSession, src: str) -> Split:
-    """First 80 % of the labelled rows for training, with the features prepared on them."""
-    rows = windows.split_positional(inputs.labelled(spark, src))
+    """First 80 % of the labelled rows for training, with the features prepared on them.
+
+    The labelled rows are a table of the shared folder: the split, the preparation, the fits and all queries on either side
+    read them again, and deriving them joins the facts with all dimensions.
+    """
+    labelled, folder = inputs.labelled(spark, src), run_dir(spark, "labelled")
+    labelled.write.parquet(folder)
+    rows = windows.split_positional(spark.read.schema(labelled.schema).parquet(folder))
     train, test = rows.where(F.col("split") == "train"), rows.where(F.col("split") == "test")
     prep = fit_prep(train)
     return Split(apply_prep(train, prep), apply_prep(test, prep), prep)

@@ -178,6 +178,17 @@ def test_top_factors_order(spark, small_trees):
         assert {f["feature"] for f in r["top_features"]} <= {"a", "b", "c"}
 
 
+def test_labelled_rows_are_derived_once_for_all_fits(spark, src):
+    """Both sides are read from one stored table, and are all labelled rows."""
+    data = models.split(spark, src)
+    for side in (data.train, data.test):
+        plan = side._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "Window" not in plan
+    columns = [c for c in data.train.columns if not c.startswith("x_") and c != "split"]
+    both, derived = data.train.unionByName(data.test).select(*columns), inputs.labelled(spark, src).select(*columns)
+    assert both.exceptAll(derived).isEmpty() and derived.exceptAll(both).isEmpty()
+
+
 def test_oversampling_raises_recall(spark, src):
     data = models.split(spark, src)
     plain = evaluate.evaluate(learn.apply_model(data.test, models.logistic(spark, src))).first()
