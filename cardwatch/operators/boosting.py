@@ -34,8 +34,10 @@ MAX_BINS = 32
 SUMMARY = 4096
 #: Rows that are worked on together.
 BLOCK_ROWS = 1 << 16
-#: After so many trees the margins are derived from the last kept ones again, so that lineage stays short.
-KEPT_EVERY = 16
+#: After so many trees the margins are stored; until then each pass adds the trees again, which costs less than storing.
+STORED_EVERY = 4
+#: After so many trees they are derived from the last kept ones at once, so that lineage stays short.
+KEPT_EVERY = 32
 #: Gains below this share of the mean square are rounding.
 ROUNDING = 1e-12
 #: A node of less variance is pure, as in Spark ML.
@@ -76,10 +78,10 @@ class Tree(NamedTuple):
 # Binning
 
 
-def _summary(value: np.ndarray, weight: np.ndarray, points: int = SUMMARY) -> tuple[np.ndarray, np.ndarray]:
+def _summary(value: np.ndarray, label: np.ndarray, weights: tuple[float, float], points: int = SUMMARY) -> tuple[np.ndarray, np.ndarray]:
     """Distinct values with their weights, or as many points of about equal weight when there are more."""
-    found, place = np.unique(value, return_inverse=True)
-    total = np.bincount(place, weights=weight, minlength=len(found))
+    by_class = [(np.unique(value[side], return_counts=True), w) for side, w in ((~label, weights[0]), (label, weights[1]))]
+    found, total = _merged([(distinct, n * w) for (distinct, n), w in by_class])
     if len(found) <= points:
         return found, total
     upto = np.cumsum(total)
@@ -142,12 +144,12 @@ def fit_layout(
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = [[] for _ in inputs]
         for batch in _gathered(batches, 4 * BLOCK_ROWS):
-            x, weight = _matrix(batch, inputs), np.where(_flag(batch, "is_fraud"), weights[1], weights[0])
+            x, label = _matrix(batch, inputs), _flag(batch, "is_fraud")
             if held:
-                x, weight = x[:, ~_flag(batch, held)], weight[~_flag(batch, held)]
+                x, label = x[:, ~_flag(batch, held)], label[~_flag(batch, held)]
             for i, value in enumerate(x):
                 if len(value):
-                    found[i].append(_summary(value, weight, summary))
+                    found[i].append(_summary(value, label, weights, summary))
         for i, parts in enumerate(found):
             if parts:
                 value, weight = _merged(parts)
@@ -222,12 +224,14 @@ def _residual(label: np.ndarray, margin: np.ndarray | None) -> np.ndarray:
     return y if margin is None else 4.0 * y / (1.0 + np.exp(2.0 * y * margin))
 
 
-def _advance(trees: Sequence[tuple[Tree, float]], depth: int, block: Block) -> Block:
-    """The block after some more trees."""
+def _advance(trees: Sequence[tuple[Tree, float]], depth: int, squared: bool, block: Block) -> Block:
+    """The block after some more trees, with the squares in the leaves of the last one if they are asked for."""
+    if not trees:
+        return block
     margin, squares = block.margin, None
     for i, (tree, weight) in enumerate(trees):
         at = _positions(block.codes, tree.levels, depth)
-        if i == len(trees) - 1 and not block.held:
+        if squared and i == len(trees) - 1 and not block.held:
             key = at.astype(np.intp) * 2 + block.label
             squares = np.bincount(key, weights=_residual(block.label, margin) ** 2, minlength=2 << depth).reshape(-1, 2)
         step = weight * tree.values[at]
@@ -252,9 +256,10 @@ def _add_up(
     depth: int,
     levels: Sequence[Sequence[tuple[int, int, int, int]]],
     slots: Sequence[int],
+    trees: Sequence[tuple[Tree, float]],
     blocks: Iterator[Block],
 ) -> Iterator[Sums]:
-    """Sums of the rows of a partition at the given positions of a level, which are the slots."""
+    """Sums of the rows of a partition at the given positions of a level, which are the slots; `trees` are not in the margins yet."""
     n_slots, columns = len(slots), layout.plain + layout.packed
     keys = n_slots * 2
     widths = [MAX_BINS] * layout.plain + [256] * layout.packed
@@ -266,8 +271,11 @@ def _add_up(
     slot_of = np.full(1 << len(levels), none, np.intp)
     slot_of[list(slots)] = np.arange(n_slots)
     for block in blocks:
+        if block.held and levels:
+            continue
+        block = _advance(trees, depth, not levels, block)
         if block.held:
-            if not levels and block.margin is not None:
+            if block.margin is not None:
                 weight = np.where(block.label, weights[1], weights[0])
                 wrong = np.where(block.label, -2.0, 2.0) * block.margin
                 held_loss += (weight * 2.0 * np.logaddexp(0.0, wrong)).sum(), weight.sum()
@@ -375,9 +383,10 @@ class _Grower:
         self.layout, self.weights, self.depth = layout, weights, depth
         self.kept = self.state = blocks.persist(StorageLevel.MEMORY_AND_DISK)
         self.since: list[tuple[Tree, float]] = []  # trees after the kept blocks
+        self.pending: list[tuple[Tree, float]] = []  # those that are not in the margins of the state
 
     def sums(self, levels, slots) -> Sums:
-        work = partial(_add_up, self.layout, self.weights, self.depth, levels, slots)
+        work = partial(_add_up, self.layout, self.weights, self.depth, levels, slots, self.pending)
         parts = self.state.mapPartitions(work).collect()
         return Sums(*[sum(p[1:], start=p[0]) for p in zip(*parts)])
 
@@ -423,16 +432,18 @@ class _Grower:
 
     def advance(self, tree: Tree, weight: float) -> Sums:
         """Adds a tree to the margins of all rows, and gives the sums of the next root."""
-        before, self.since = self.state, [*self.since, (tree, weight)]
-        if len(self.since) < KEPT_EVERY:
-            self.state = before.map(partial(_advance, [(tree, weight)], self.depth))
-        else:
-            self.state = self.kept.map(partial(_advance, self.since, self.depth))
-        self.state.persist(StorageLevel.MEMORY_AND_DISK)
+        self.since, self.pending = [*self.since, (tree, weight)], [*self.pending, (tree, weight)]
+        if len(self.pending) < STORED_EVERY:
+            return self.sums([], [0])
+        before, source, trees = self.state, self.state, self.pending
+        if len(self.since) >= KEPT_EVERY:
+            source, trees = self.kept, self.since
+        self.state = source.map(partial(_advance, trees, self.depth, True)).persist(StorageLevel.MEMORY_AND_DISK)
+        self.pending = []
         root = self.sums([], [0])
         if before is not self.kept:
             before.unpersist()
-        if len(self.since) == KEPT_EVERY:
+        if source is self.kept and len(self.since) >= KEPT_EVERY:
             self.kept.unpersist()
             self.kept, self.since = self.state, []
         return root

@@ -41,8 +41,8 @@ def nodes(model, spark):
 
 @pytest.mark.parametrize("held", [None, "is_validation"])
 def test_trees_are_those_of_spark_ml(spark, rows, held):
-    mine = learn.fit_boosted(rows, NAMES, trees=12, step=0.3, depth=4, validation=held)
-    learner = GBTClassifier(maxIter=12, stepSize=0.3, maxDepth=4, weightCol="weight", seed=42)
+    mine = learn.fit_boosted(rows, NAMES, trees=40, step=0.3, depth=4, validation=held)
+    learner = GBTClassifier(maxIter=40, stepSize=0.3, maxDepth=4, weightCol="weight", seed=42)
     if held:
         learner = learner.setValidationIndicatorCol(held)
     n, frauds = rows.count(), rows.where("is_fraud").count()
