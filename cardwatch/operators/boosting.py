@@ -78,10 +78,14 @@ class Tree(NamedTuple):
 # Binning
 
 
-def _summary(value: np.ndarray, label: np.ndarray, weights: tuple[float, float], points: int = SUMMARY) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct values with their weights, or as many points of about equal weight when there are more."""
+def _summary(value: np.ndarray, label: np.ndarray, weights: tuple[float, float]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values with their weights."""
     by_class = [(np.unique(value[side], return_counts=True), w) for side, w in ((~label, weights[0]), (label, weights[1]))]
-    found, total = _merged([(distinct, n * w) for (distinct, n), w in by_class])
+    return _merged([(distinct, n * w) for (distinct, n), w in by_class])
+
+
+def _shortened(found: np.ndarray, total: np.ndarray, points: int) -> tuple[np.ndarray, np.ndarray]:
+    """As many points of about equal weight when there are more values."""
     if len(found) <= points:
         return found, total
     upto = np.cumsum(total)
@@ -149,10 +153,10 @@ def fit_layout(
                 x, label = x[:, ~_flag(batch, held)], label[~_flag(batch, held)]
             for i, value in enumerate(x):
                 if len(value):
-                    found[i].append(_summary(value, label, weights, summary))
+                    found[i].append(_shortened(*_summary(value, label, weights), summary))
         for i, parts in enumerate(found):
             if parts:
-                value, weight = _merged(parts)
+                value, weight = _shortened(*_merged(parts), summary)
                 yield pa.record_batch({"input": [i], "value": [value], "weight": [weight]}, schema=schema)
 
     schema = pa.schema([("input", pa.int32()), ("value", pa.list_(pa.float64())), ("weight", pa.list_(pa.float64()))])

@@ -114,6 +114,14 @@ def test_thresholds_come_from_all_rows(spark):
     assert np.abs(share / share.sum() - 1 / boosting.MAX_BINS).max() < 4 / 512
 
 
+def test_a_summary_is_bounded_however_many_rows_a_task_has():
+    rng = np.random.default_rng(3)
+    parts = [boosting._shortened(*boosting._summary(rng.random(5000), rng.random(5000) < 0.1, (1.0, 9.0)), 256) for _ in range(20)]
+    value, weight = boosting._shortened(*boosting._merged(parts), 256)
+    assert len(value) <= 256 and np.isclose(weight.sum(), sum(w.sum() for _, w in parts))
+    assert np.abs(np.cumsum(weight) / weight.sum() - value).max() < 0.02
+
+
 def test_equal_splits_go_to_the_first_input(spark):
     rows = spark.range(400).select(
         (F.col("id") % 2).cast("double").alias("x_a"), (1 - F.col("id") % 2).cast("double").alias("x_b"),
